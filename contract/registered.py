@@ -14,11 +14,12 @@ from heartwood.operators.actions import build_action_center
 from heartwood.operators.workload import (
     add_next_renewal,
     categorise_workload,
-    compute_csm_workload,
+    owner_workload,
 )
 from heartwood.functions import as_of_day
 from heartwood.plans.scoring_run import run_summary, score_tables
-from heartwood.sources.star_binding import canonical_tables, known_by
+from heartwood.session import cut_lineage
+from heartwood.sources.star_binding import CanonicalTables, known_by
 
 AS_OF = datetime(2001, 8, 15)
 PREVIOUS = datetime(2001, 5, 15)
@@ -28,9 +29,21 @@ class Bound:
     """The canonical tables of one directory and what derives from them, all lazy."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        self.tables = canonical_tables(spark, directory)
-        self.accounts = self.tables["accounts"]
-        self.tickets = self.tables["support_tickets"]
+        self.tables = CanonicalTables(spark, directory)
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return self.tables["accounts"]
+
+    @cached_property
+    def tickets(self) -> DataFrame:
+        return self.tables["support_tickets"]
+
+    def store_scores(self) -> Bound:
+        """Cut both snapshots off, for a query with many branches over them."""
+        self.scores = cut_lineage(self.scores)
+        self.previous_scores = cut_lineage(self.previous_scores)
+        return self
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -53,9 +66,9 @@ class Bound:
         return build_action_center(self.scores, self.accounts, AS_OF)
 
     @cached_property
-    def workload(self) -> DataFrame:
+    def owner_workload(self) -> DataFrame:
         rolled = add_next_renewal(self.accounts, AS_OF)
-        return compute_csm_workload(self.scores, rolled, self.tickets)
+        return owner_workload(self.scores, rolled, self.tickets)
 
     def performance(self, fan_out: bool) -> DataFrame:
         return views.csm_performance(
@@ -94,11 +107,12 @@ class Bound:
 def _median_split(b: Bound) -> DataFrame:
     """Scores of 0 and 1 only, so quartile edges always coincide."""
     parity = F.col("open_tickets") % 2
-    owners = b.workload.select("csm_owner", parity.cast("double").alias("workload_score"))
+    owners = b.owner_workload.select("csm_owner", parity.cast("double").alias("workload_score"))
     return categorise_workload(owners)
 
 
 def _workload_latest(b: Bound) -> DataFrame:
+    b.store_scores()
     def run(tables, scores, as_of):
         return score_tables(tables, scores, as_of)[1]
 
@@ -107,6 +121,7 @@ def _workload_latest(b: Bound) -> DataFrame:
 
 
 def _last_two_snapshots(b: Bound) -> DataFrame:
+    b.store_scores()
     current, previous = snapshots.current_and_previous_scores(b.history)
     return (
         current.withColumn("snapshot", F.lit("current"))
@@ -114,7 +129,19 @@ def _last_two_snapshots(b: Bound) -> DataFrame:
     )
 
 
+def _changed_accounts(b: Bound) -> DataFrame:
+    b.store_scores()
+    ids = snapshots.changed_accounts(b.newly_critical, b.score_drops)
+    return snapshots.account_names(b.accounts, ids)
+
+
+def _run_summary(b: Bound) -> DataFrame:
+    b.scores = cut_lineage(b.scores)
+    return b.summary
+
+
 def _digest_lines(b: Bound) -> DataFrame:
+    b.store_scores()
     return digest.digest_lines(
         b.summary,
         b.newly_critical,
@@ -154,9 +181,9 @@ DEFINITIONS: dict[str, Callable[[Bound], DataFrame]] = {
     "next_renewal": lambda b: add_next_renewal(b.accounts, AS_OF).select(
         "account_id", "renewal_date", "next_renewal_date", "days_to_next_renewal"
     ),
-    "csm_workload": lambda b: b.workload.drop("workload_category"),
-    "workload_category": lambda b: b.workload.select(
-        "csm_owner", "workload_score", "workload_category"
+    "csm_workload": lambda b: b.owner_workload.orderBy(F.desc("workload_score"), "csm_owner"),
+    "workload_category": lambda b: categorise_workload(
+        b.owner_workload.select("csm_owner", "workload_score")
     ),
     "workload_category_median_split": _median_split,
     # views
@@ -184,11 +211,9 @@ DEFINITIONS: dict[str, Callable[[Bound], DataFrame]] = {
     "newly_critical": lambda b: b.newly_critical,
     "score_drops": lambda b: b.score_drops,
     "urgent_actions": lambda b: b.urgent,
-    "changed_accounts": lambda b: snapshots.account_names(
-        b.accounts, snapshots.changed_accounts(b.newly_critical, b.score_drops)
-    ),
+    "changed_accounts": _changed_accounts,
     "digest_lines": _digest_lines,
-    "run_summary": lambda b: b.summary,
+    "run_summary": _run_summary,
     # measures
     "accounts_by_account_status": lambda b: measures.accounts_by_account_status(b.accounts),
     "kpi_counts": lambda b: measures.kpi_counts(b.account_health),

@@ -34,7 +34,7 @@ from heartwood.operators.grouping import newest_per_key
 
 _METRICS = [name for name, _ in fixed.USAGE_WEIGHTS]
 _LAST_DAY = 2**31 - 1
-_LAST_ID = 2**63 - 1
+_FIRST_ID, _LAST_ID = -(2**63), 2**63 - 1
 _ID_BLOCK_BITS = 16
 
 
@@ -46,26 +46,32 @@ def _usage_sums(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _mark_ends(sums: DataFrame, group: list[str], order: str) -> DataFrame:
-    """How many rows of each order value are among the first/last ones wanted.
-
-    ``want_early`` and ``want_late`` say how many the whole group has to give.
-    """
+def _place(sums: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Rows of the group before, through and in all of each order value."""
     everything = W.partitionBy(*group)
     upto = everything.orderBy(order)
     rows = F.sum("rows")
-    before = F.coalesce(rows.over(upto.rangeBetween(W.unboundedPreceding, -1)), F.lit(0))
+    before = rows.over(upto.rangeBetween(W.unboundedPreceding, -1))
     through = rows.over(upto.rangeBetween(W.unboundedPreceding, W.currentRow))
-    placed = sums.withColumns(
-        {"_before": before, "_through": through, "_total": rows.over(everything)}
+    return sums.withColumns(
+        {
+            "before": F.coalesce(before, F.lit(0)),
+            "through": through,
+            "group_rows": rows.over(everything),
+        }
     )
-    here = F.col("_through") - F.col("_before")
-    after = F.col("_total") - F.col("_through")
-    early = F.least(here, F.greatest(F.lit(0), F.col("want_early") - F.col("_before")))
+
+
+def _mark_ends(placed: DataFrame) -> DataFrame:
+    """How many rows of each order value are among the first/last ones wanted.
+
+    ``want_early`` and ``want_late`` say how many the whole group has to give.
+    """
+    here = F.col("through") - F.col("before")
+    after = F.col("group_rows") - F.col("through")
+    early = F.least(here, F.greatest(F.lit(0), F.col("want_early") - F.col("before")))
     late = F.least(here, F.greatest(F.lit(0), F.col("want_late") - after))
-    return placed.withColumns({"here": here, "early": early, "late": late}).drop(
-        "_before", "_through", "_total"
-    )
+    return placed.withColumns({"here": here, "early": early, "late": late})
 
 
 def _end_totals(marked: DataFrame, whole_only: bool) -> DataFrame:
@@ -115,19 +121,10 @@ def _split_values(marked: DataFrame, *keys: str) -> DataFrame:
 
 def _refine(rows: DataFrame, split: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The same marking one level down, for the rows of the split values only."""
-    bounds = split.agg(F.min("account_id").alias("low"), F.max("account_id").alias("high"))
-    concerned = rows.filter(
-        # usually nothing is split: both bounds are NULL and no row is read on
-        F.col("account_id").between(
-            bounds.select("low").scalar(), bounds.select("high").scalar()
-        )
-    )
-    sums = _usage_sums(concerned, *keys, order).join(split, keys)
-    return _mark_ends(sums, keys, order)
+    return _mark_ends(_place(_usage_sums(rows, *keys, order).join(split, keys), keys, order))
 
 
 def score_engagement(usage: DataFrame) -> DataFrame:
-    usage_id = F.coalesce(F.col("usage_id").cast("bigint"), F.lit(_LAST_ID))
     missing = [
         F.when(F.col(name).isNull(), F.lit(1 << bit)).otherwise(F.lit(0))
         for bit, name in enumerate(_METRICS)
@@ -135,26 +132,32 @@ def score_engagement(usage: DataFrame) -> DataFrame:
     rows = usage.filter(F.col("account_id").isNotNull()).select(
         "account_id",
         F.coalesce(F.unix_date("usage_date"), F.lit(_LAST_DAY)).alias("day"),
-        F.shiftright(usage_id, _ID_BLOCK_BITS).alias("id_block"),
-        usage_id.alias("usage_id"),
+        F.col("usage_id").cast("bigint").alias("usage_id"),
         *_METRICS,
         sum(missing, F.lit(0)).alias("missing"),
     )
 
+    by_day = _place(_usage_sums(rows, "account_id", "day"), ["account_id"], "day")
     account = W.partitionBy("account_id")
-    by_day = _usage_sums(rows, "account_id", "day")
     means = {}
     for bit, name in enumerate(_METRICS):
         present = F.when(F.col("missing").bitwiseAND(1 << bit) == 0, F.col("rows"))
         means[f"{name}_mean"] = F.try_divide(
             F.sum(name).over(account).cast("double"), F.sum(present).over(account)
         )
-    by_day = by_day.withColumns({"account_rows": F.sum("rows").over(account), **means})
+    by_day = by_day.withColumns(means).withColumn("account_rows", F.col("group_rows"))
     quarter = F.greatest(F.lit(1), F.floor(F.col("account_rows") / 4))
-    by_day = by_day.withColumns({"want_early": quarter, "want_late": quarter})
+    days = _mark_ends(by_day.withColumns({"want_early": quarter, "want_late": quarter}))
 
-    days = _mark_ends(by_day, ["account_id"], "day")
     split_days = _split_values(days, "account_id", "day")
+    # Usually no day is split. Then no usage id passes this bound, which reaches the
+    # scan; a bound on the join keys would be copied to the days and recompute them.
+    any_split = F.count(F.lit(1)) > 0
+    bound = split_days.agg(F.when(any_split, _LAST_ID).otherwise(_FIRST_ID).alias("bound"))
+    usage_id = F.col("usage_id")
+    rows = rows.filter(usage_id.isNull() | (usage_id <= bound.scalar()))
+    rows = rows.withColumn("usage_id", F.coalesce(usage_id, F.lit(_LAST_ID)))
+    rows = rows.withColumn("id_block", F.shiftright("usage_id", _ID_BLOCK_BITS))
     blocks = _refine(rows, split_days, ["account_id", "day"], "id_block")
     split_blocks = _split_values(blocks, "account_id", "day", "id_block")
     ids = _refine(rows, split_blocks, ["account_id", "day", "id_block"], "usage_id")

@@ -25,13 +25,13 @@ def _renewal_in_window() -> Column:
     return F.col("days_to_next_renewal").between(0, fixed.RENEWAL_WINDOW_DAYS)
 
 
-def compute_csm_workload(
+def owner_workload(
     scores: DataFrame,
     accounts: DataFrame,
     tickets: DataFrame,
     renewals_upcoming: DataFrame | None = None,
 ) -> DataFrame:
-    """Weighted workload per owner with its category, heaviest first.
+    """Weighted workload per owner.
 
     An account has an upcoming renewal if ``renewals_upcoming`` lists it with
     ``days_to_next_renewal`` inside the window; without that frame the column is
@@ -66,7 +66,17 @@ def compute_csm_workload(
         count_where(F.col("upcoming")).alias("upcoming_renewals"),
     )
     points = sum((F.col(name) * weight for name, weight in fixed.WORKLOAD_POINTS), F.lit(0.0))
-    scored = per_owner.withColumn("workload_score", np_round(points, 1))
+    return per_owner.withColumn("workload_score", np_round(points, 1))
+
+
+def compute_csm_workload(
+    scores: DataFrame,
+    accounts: DataFrame,
+    tickets: DataFrame,
+    renewals_upcoming: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`owner_workload` with its category, heaviest first."""
+    scored = owner_workload(scores, accounts, tickets, renewals_upcoming)
     return categorise_workload(scored).orderBy(F.desc("workload_score"), "csm_owner")
 
 

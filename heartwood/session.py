@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,3 +28,17 @@ def build_session(
     for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store the rows in the cluster's checkpoint folder and go on from there.
+
+    For a result that several branches of one query read. The folder is the one in
+    ``spark.checkpoint.dir``; a local one is used only where none is set (tests).
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="heartwood-"))
+    return df.checkpoint()

@@ -7,12 +7,14 @@ operators can run on data of any scale that has no customer-success tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heartwood.functions import as_of_day, as_of_moment, np_round
+from heartwood.sources.schemas import RAW_SCHEMAS
 
 
 def _accounts(customer, orders, nation, region) -> DataFrame:
@@ -167,25 +169,66 @@ def _renewals(orders) -> DataFrame:
     )
 
 
-def canonical_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    def read(name):
-        return spark.read.parquet(f"{directory}/{name}.parquet")
-
-    orders, lineitem = read("orders"), read("lineitem")
-    accounts = _accounts(read("customer"), orders, read("nation"), read("region"))
-    return {
-        "accounts": accounts,
-        "contacts": _contacts(read("supplier")),
-        "opportunities": _opportunities(lineitem, orders),
-        "customer_success": _customer_success(accounts),
-        "support_tickets": _support_tickets(orders, lineitem),
-        "product_usage": _product_usage(read("events")),
-        "surveys": _surveys(orders),
-        "renewals": _renewals(orders),
-    }
-
-
-def known_by(tables: dict[str, DataFrame], as_of: datetime) -> dict[str, DataFrame]:
+STAR_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string,"
+    " o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
+class CanonicalTables(Mapping):
+    """The canonical tables of one directory by name, each derived on first use."""
+
+    def __init__(self, spark: SparkSession, directory: str):
+        self._spark, self._directory = spark, directory
+        self._derived: dict[str, DataFrame] = {}
+
+    def _star(self, name: str) -> DataFrame:
+        reader = self._spark.read.schema(STAR_SCHEMAS[name])
+        return reader.parquet(f"{self._directory}/{name}.parquet")
+
+    def _derive(self, name: str) -> DataFrame:
+        star = self._star
+        if name == "accounts":
+            return _accounts(star("customer"), star("orders"), star("nation"), star("region"))
+        if name == "contacts":
+            return _contacts(star("supplier"))
+        if name == "opportunities":
+            return _opportunities(star("lineitem"), star("orders"))
+        if name == "customer_success":
+            return _customer_success(self["accounts"])
+        if name == "support_tickets":
+            return _support_tickets(star("orders"), star("lineitem"))
+        if name == "product_usage":
+            return _product_usage(star("events"))
+        if name == "surveys":
+            return _surveys(star("orders"))
+        return _renewals(star("orders"))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in RAW_SCHEMAS:
+            raise KeyError(name)
+        if name not in self._derived:
+            self._derived[name] = self._derive(name)
+        return self._derived[name]
+
+    def __iter__(self):
+        return iter(RAW_SCHEMAS)
+
+    def __len__(self) -> int:
+        return len(RAW_SCHEMAS)
+
+
+def known_by(tables: Mapping[str, DataFrame], as_of: datetime) -> dict[str, DataFrame]:
     """The tables with only the tickets and surveys dated up to ``as_of``."""
     tickets, surveys = tables["support_tickets"], tables["surveys"]
     return {

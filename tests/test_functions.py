@@ -1,0 +1,156 @@
+import random
+from datetime import date, datetime
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from heartwood.functions import (
+    classify_status,
+    clip_score,
+    elapsed_days,
+    elapsed_hours_rounded,
+    next_renewal_date,
+    np_round,
+    py_round,
+    risk_drivers,
+    sla_breached,
+    sql_average,
+    whole_number_text,
+)
+from tests.conftest import as_dict
+
+AS_OF = datetime(2024, 6, 1)
+
+
+def _values():
+    rng = random.Random(7)
+    values = [rng.uniform(0, 100) for _ in range(2000)]
+    values += [rng.randrange(20001) / 200 for _ in range(3000)]  # halves at two digits
+    values += [w * n / 100 for n in range(0, 10001, 37) for w in (0.15, 0.2, 0.25)]
+    return values + [99.995, 99.875, 2.675, 0.005, 0.0, 100.0]
+
+
+def test_np_round_is_numpys(spark):
+    df = spark.createDataFrame([(v,) for v in _values()], "x double")
+    for row in df.select("x", np_round(F.col("x"), 2).alias("r")).collect():
+        assert row.r == float(np.round(row.x, 2))
+
+
+def test_py_round_is_pythons(spark):
+    df = spark.createDataFrame([(v,) for v in _values()], "x double")
+    for row in df.select("x", py_round(F.col("x"), 2).alias("r")).collect():
+        assert row.r == round(row.x, 2), row.x
+
+
+def test_the_two_rules_differ_where_the_product_is_inexact(spark):
+    row = spark.sql("SELECT 2.675D AS x").select(
+        np_round(F.col("x"), 2).alias("np"), py_round(F.col("x"), 2).alias("py")
+    ).first()
+    assert (row.np, row.py) == (2.68, 2.67)
+
+
+def test_clip_turns_a_missing_value_into_100(frames):
+    df = frames.of("x double", (-5.0,), (42.0,), (170.0,), (None,))
+    assert [r.c for r in df.select(clip_score(F.col("x")).alias("c")).collect()] == [
+        0.0, 42.0, 100.0, 100.0,
+    ]
+
+
+def test_sql_average_rounds_halves_away_from_zero(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (CAST(24.90 AS DECIMAL(20,2)), 2L), (0.90, 2L), (-0.90, 2L),"
+        " (10.00, 3L), (0.00, 0L) AS t(total, n)"
+    )
+    got = [r.a for r in df.select(sql_average(F.col("total"), F.col("n"), 1).alias("a")).collect()]
+    assert got == [12.5, 0.5, -0.5, 3.3, None]
+
+
+@pytest.mark.parametrize(
+    "score, status",
+    [
+        (95.0, "Healthy"), (80.0, "Healthy"), (100.0, "Healthy"), (79.9995, "Unknown"),
+        (79.999, "Monitor"), (70.0, "Monitor"), (65.0, "Monitor"), (64.9995, "Unknown"),
+        (64.99, "At Risk"), (50.0, "At Risk"), (45.0, "At Risk"), (44.99, "Critical"),
+        (10.0, "Critical"), (0.0, "Critical"), (101.0, "Unknown"), (-1.0, "Unknown"),
+        (None, "Unknown"),
+    ],
+)
+def test_status_bands(frames, score, status):
+    df = frames.of("s double", (score,))
+    assert df.select(classify_status(F.col("s")).alias("x")).first().x == status
+
+
+def test_risk_drivers(frames):
+    names = ["engagement_score", "support_score", "csat_score", "nps_score", "onboarding_score"]
+    df = frames.of(
+        ", ".join(f"{n} double" for n in names),
+        (42.5, 49.99, 59.5, 49.5, 59.99),
+        (50.0, 50.0, 60.0, 50.0, 60.0),
+        (90.0, 10.0, 90.0, 0.0, 90.0),
+    )
+    got = [r.d for r in df.select(risk_drivers({n: F.col(n) for n in names}).alias("d")).collect()]
+    assert got == [
+        "product usage declining (engagement 42/100); "
+        "high support burden / SLA breaches (support 50/100); low CSAT (60/100); "
+        "negative NPS trend (50/100); slow onboarding/handoff (onboarding 60/100)",
+        "No significant risk drivers",
+        "high support burden / SLA breaches (support 10/100); negative NPS trend (0/100)",
+    ]
+
+
+def test_whole_numbers_round_halves_to_even(frames):
+    df = frames.of("x double", (42.5,), (43.5,), (99.6,), (0.0,))
+    got = [r.t for r in df.select(whole_number_text(F.col("x")).alias("t")).collect()]
+    assert got == ["42", "44", "100", "0"]
+
+
+def test_elapsed_days_round_down(spark):
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2024-01-10 00:00:00' AS a, e FROM VALUES"
+        " (TIMESTAMP_NTZ'2024-01-08 23:00:00'), (TIMESTAMP_NTZ'2024-01-13 23:00:00'),"
+        " (TIMESTAMP_NTZ'2024-01-14 00:00:00'), (TIMESTAMP_NTZ'2024-01-13 23:59:59.999999')"
+        " AS t(e)"
+    )
+    got = [r.d for r in df.select(elapsed_days(F.col("a"), F.col("e")).alias("d")).collect()]
+    assert got == [-2, 3, 4, 3]
+
+
+def test_hours_are_exact_with_halves_away_from_zero(spark):
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2024-01-10 00:00:00' AS a, e FROM VALUES"
+        " (TIMESTAMP_NTZ'2024-01-10 00:15:00'), (TIMESTAMP_NTZ'2024-01-09 23:45:00'),"
+        " (TIMESTAMP_NTZ'2024-01-10 00:14:59.999999') AS t(e)"
+    )
+    expr = elapsed_hours_rounded(F.col("a"), F.col("e")).alias("h")
+    assert [r.h for r in df.select(expr).collect()] == [0.3, -0.3, 0.2]
+
+
+def test_sla_breach(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES"
+        " (1, TIMESTAMP_NTZ'2024-05-01 00:00:00', TIMESTAMP_NTZ'2024-05-01 08:00:00', 8),"
+        " (2, TIMESTAMP_NTZ'2024-05-01 00:00:00', TIMESTAMP_NTZ'2024-05-01 08:00:00.000001', 8),"
+        " (3, TIMESTAMP_NTZ'2024-05-01 00:00:00', NULL, 8),"
+        " (4, TIMESTAMP_NTZ'2024-05-31 20:00:00', NULL, 8),"
+        " (5, TIMESTAMP_NTZ'2024-05-01 00:00:00', NULL, NULL),"
+        " (6, NULL, TIMESTAMP_NTZ'2024-05-01 00:00:00', 8) AS t(id, c, r, sla)"
+    )
+    expr = sla_breached(F.col("c"), F.col("r"), F.col("sla"), AS_OF).alias("b")
+    got = as_dict(df.select("id", expr), "id", "b")
+    assert got == {1: False, 2: True, 3: True, 4: False, 5: False, 6: False}
+
+
+def test_next_renewal_rolls_by_365_days(frames):
+    days = ["2024-06-01", "2023-06-02", "2023-06-01", "2024-06-11", None, "2020-01-01"]
+    df = frames.table("accounts", *[{"account_id": i, "renewal_date": d} for i, d in enumerate(days)])
+    expr = next_renewal_date(F.col("renewal_date"), AS_OF).alias("n")
+    got = as_dict(df.select("account_id", expr), "account_id", "n")
+    # 2023-06-02 is 365 days back, 2023-06-01 366
+    assert got[0] == date(2024, 6, 1)
+    assert got[1] == date(2024, 6, 1)
+    assert got[2] == date(2025, 5, 31)
+    assert (got[2] - AS_OF.date()).days == 364
+    assert got[3] == date(2024, 6, 11)
+    assert got[4] is None
+    assert 0 <= (got[5] - AS_OF.date()).days < 365

@@ -1,0 +1,221 @@
+import math
+import random
+from datetime import date, datetime, timedelta
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from heartwood.operators import health
+from tests.conftest import as_dict
+
+AS_OF = datetime(2024, 6, 1)
+DAY = date(2024, 1, 1)
+
+
+def usage(frames, *rows):
+    """Rows are (usage_id, account_id, day offset, sessions, active_users, feature pct)."""
+    return frames.table(
+        "product_usage",
+        *[
+            {
+                "usage_id": u,
+                "account_id": a,
+                "usage_date": None if d is None else DAY + timedelta(days=d),
+                "sessions": s,
+                "active_users": n,
+                "feature_usage_pct": f,
+            }
+            for u, a, d, s, n, f in rows
+        ],
+    )
+
+
+def mean(values):
+    values = [v for v in values if v is not None]
+    return sum(values) / len(values) if values else None
+
+
+def engagement_by_rows(rows):
+    """One account, row by row; rows as in :func:`usage`."""
+    if len(rows) < 4:
+        return 60.0
+    far = 10**9
+    ordered = sorted(
+        rows, key=lambda r: (far if r[2] is None else r[2], math.inf if r[0] is None else r[0])
+    )
+    means = [mean([r[i] for r in rows]) for i in (3, 4, 5)]
+
+    def index(row):
+        total = 0.0
+        for value, average, weight in zip(row[3:], means, (0.4, 0.4, 0.2)):
+            if average == 0:
+                total += weight
+            elif average is None or value is None:
+                return None
+            else:
+                total += weight * value / average
+        return total
+
+    k = max(1, len(rows) // 4)
+    early = mean([index(r) for r in ordered[:k]])
+    late = mean([index(r) for r in ordered[-k:]])
+    if early == 0:
+        change = 0.0
+    elif early is None or late is None:
+        return 100.0
+    else:
+        change = (late - early) / (early + 1e-9)
+    return float(np.round(max(0, min(100, 50 + change * 150)), 2))
+
+
+def check_engagement(frames, rows):
+    by_account = {}
+    for row in rows:
+        by_account.setdefault(row[1], []).append(row)
+    expected = {a: engagement_by_rows(own) for a, own in by_account.items() if a is not None}
+    got = as_dict(health.score_engagement(usage(frames, *rows)), "account_id", "engagement_score")
+    assert got == pytest.approx(expected, abs=1e-9)
+
+
+def test_engagement_edge_rows(frames):
+    rows = [(i, 1, i, 5, 5, 50) for i in range(3)]  # short history
+    rows += [(i, 2, i, 0, 10 + i, 40) for i in range(4)]  # sessions all 0
+    rows += [(i, 3, i, None, 10, 40) for i in range(4)]  # one metric all missing
+    rows += [(i, 4, i, 10 * i, 10, 40) for i in range(7)]  # quarter is one row
+    rows += [(i, 5, i, 0, 0, 0) for i in range(4)]
+    rows += [(i, None, i, 1, 1, 1) for i in range(4)]
+    df = health.score_engagement(usage(frames, *rows))
+    got = as_dict(df, "account_id", "engagement_score")
+    assert got[1] == 60.0
+    assert got[3] == 100.0
+    assert got[5] == 50.0
+    assert None not in got
+    check_engagement(frames, rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_engagement_with_shared_days_and_missing_values(frames, seed):
+    rng = random.Random(seed)
+    rows = []
+    for account in range(40):
+        days = rng.choice([1, 2, 3, 30])
+        for _ in range(rng.randrange(1, 30)):
+            rows.append(
+                (
+                    rng.choice([rng.randrange(200_000), rng.randrange(2**40)]),
+                    account,
+                    rng.choice([None] + [rng.randrange(days)] * 9),
+                    rng.choice([None] + list(range(5)) * 3),
+                    rng.randrange(20),
+                    rng.randrange(101),
+                )
+            )
+    # ids decide among rows of a day, so they have to differ
+    rows = list({(r[1], r[0]): r for r in rows}.values())
+    check_engagement(frames, rows)
+
+
+def test_engagement_of_one_hot_account_on_one_day(spark):
+    """Half of all rows belong to one account, most of them to a single day."""
+    n = 400_000
+    rows = spark.range(n).select(
+        F.col("id").alias("usage_id"),
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 1000).alias("account_id"),
+        F.when(F.col("id") % 2 == 0, F.date_add(F.lit(DAY), (F.col("id") % 10 == 0).cast("int")))
+        .otherwise(F.date_add(F.lit(DAY), (F.col("id") % 300).cast("int")))
+        .alias("usage_date"),
+        (F.col("id") % 977).cast("int").alias("sessions"),
+        (F.col("id") % 31).cast("int").alias("active_users"),
+        (F.col("id") % 101).cast("decimal(5,2)").alias("feature_usage_pct"),
+    )
+    got = health.score_engagement(rows).filter("account_id = 0").first().engagement_score
+    own = [
+        (i, 0, int(i % 10 == 0), i % 977, i % 31, i % 101) for i in range(0, n, 2)
+    ]
+    assert got == engagement_by_rows(own)
+
+
+def ticket(i, account, created, resolved=None, sla=8, priority="Low", status="Resolved"):
+    return {
+        "ticket_id": i, "account_id": account, "priority": priority, "created_date": created,
+        "resolved_date": resolved, "sla_hours": sla, "status": status,
+    }
+
+
+def test_support(frames):
+    fresh, old = "2024-05-31 23:00:00", "2024-05-01 00:00:00"
+    rows = [ticket(1, 1, old)]  # unresolved past its hours
+    rows += [ticket(2, 2, old, sla=None), ticket(3, 2, None)]
+    rows += [ticket(10 + i, 3, fresh, sla=72, status="Open") for i in range(7)]
+    rows += [ticket(20, 4, old, "2024-05-01 02:00:00", priority="High")]
+    rows += [ticket(21, 4, old, "2024-05-01 20:00:00", priority="Critical")]
+    rows += [ticket(22, 4, old, "2024-05-01 02:00:00", status="Escalated")]
+    got = as_dict(
+        health.score_support(frames.table("support_tickets", *rows), AS_OF),
+        "account_id", "support_score",
+    )
+    # 4: two of three severe, one breached (the third is escalated, not open)
+    assert got == {1: 60.0, 2: 100.0, 3: 80.0, 4: 60.0}
+
+
+def test_latest_survey_prefers_missing_date_then_id(frames):
+    rows = [
+        {"survey_id": 1, "account_id": 1, "survey_date": "2024-05-01", "csat_score": 10, "nps_score": 0},
+        {"survey_id": 2, "account_id": 1, "survey_date": None, "csat_score": 90, "nps_score": 50},
+        {"survey_id": 3, "account_id": 2, "survey_date": "2024-05-01", "csat_score": 20, "nps_score": -100},
+        {"survey_id": 4, "account_id": 2, "survey_date": "2024-05-01", "csat_score": 120, "nps_score": 300},
+        {"survey_id": 5, "account_id": 3, "survey_date": "2024-05-01", "csat_score": None, "nps_score": None},
+        {"survey_id": 6, "account_id": None, "survey_date": "2024-05-01", "csat_score": 1, "nps_score": 1},
+    ]
+    got = {
+        r.account_id: (r.csat_score, r.nps_score)
+        for r in health.score_csat_nps(frames.table("surveys", *rows)).collect()
+    }
+    assert got == {1: (90.0, 75.0), 2: (100.0, 100.0), 3: (None, None)}
+
+
+def test_onboarding(frames):
+    start = datetime(2024, 1, 1)
+
+    def row(account, handoff, onboarding):
+        return {
+            "account_id": account,
+            "handoff_created_at": start,
+            "handoff_accepted_at": None if handoff is None else start + handoff,
+            "onboarding_started_at": start,
+            "onboarding_completed_at": None if onboarding is None else start + onboarding,
+        }
+
+    rows = [
+        row(1, timedelta(hours=-25), None),
+        row(2, timedelta(days=3, hours=23), timedelta(days=14, hours=23)),
+        row(3, timedelta(days=4), timedelta(days=15)),
+        row(4, timedelta(days=99), timedelta(days=99)),
+        row(5, None, timedelta(days=20)),
+    ]
+    df = frames.table("customer_success", *rows)
+    got = as_dict(health.score_onboarding(df), "account_id", "onboarding_score")
+    assert got == {1: 100.0, 2: 100.0, 3: 94.0, 4: 20.0, 5: 88.0}
+    without = df.drop("handoff_accepted_at")
+    got = as_dict(health.score_onboarding(without), "account_id", "onboarding_score")
+    assert got[4] == 50.0
+
+
+def test_account_without_any_signal_is_neutral(frames):
+    tables = {
+        "accounts": frames.table("accounts", {"account_id": 1}, {"account_id": 2}),
+        "product_usage": frames.table("product_usage"),
+        "support_tickets": frames.table(
+            "support_tickets", ticket(1, 2, "2024-05-01 00:00:00", "2024-05-01 01:00:00")
+        ),
+        "surveys": frames.table("surveys"),
+        "customer_success": frames.table("customer_success"),
+    }
+    rows = {r.account_id: r for r in health.compute_health_scores(tables, AS_OF).collect()}
+    assert rows[1].overall_score == 50.0
+    assert rows[1].health_status == "At Risk"
+    assert rows[1].risk_drivers == "low CSAT (50/100); slow onboarding/handoff (onboarding 50/100)"
+    assert rows[1].score_date == date(2024, 6, 1)
+    assert rows[2].support_score == 100.0
+    assert rows[2].overall_score == 60.0
