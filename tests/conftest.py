@@ -10,13 +10,14 @@ from heartwood.sources import schemas  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "heartwood-tests",
         master="local[4]",
         settings={
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.ui.showConsoleProgress": "false",
         },
     )
