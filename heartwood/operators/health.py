@@ -34,8 +34,9 @@ from heartwood.operators.grouping import newest_per_key
 
 _METRICS = [name for name, _ in fixed.USAGE_WEIGHTS]
 _LAST_DAY = 2**31 - 1
-_FIRST_ID, _LAST_ID = -(2**63), 2**63 - 1
+_LAST_ID = 2**63 - 1
 _ID_BLOCK_BITS = 16
+_BUCKETS = 2**18
 
 
 def _usage_sums(rows: DataFrame, *keys: str) -> DataFrame:
@@ -62,19 +63,28 @@ def _place(sums: DataFrame, group: list[str], order: str) -> DataFrame:
     )
 
 
-def _mark_ends(placed: DataFrame) -> DataFrame:
+def _mark_ends(placed: DataFrame, divisible: bool = False) -> DataFrame:
     """How many rows of each order value are among the first/last ones wanted.
 
-    ``want_early`` and ``want_late`` say how many the whole group has to give.
+    ``want_early`` and ``want_late`` say how many the whole group has to give. The shares
+    tell what to count here: all or nothing, as the rows of a split value are looked at
+    one level down, unless they are ``divisible``: rows that agree even in their id have
+    no order, so each counts in part.
     """
     here = F.col("through") - F.col("before")
     after = F.col("group_rows") - F.col("through")
     early = F.least(here, F.greatest(F.lit(0), F.col("want_early") - F.col("before")))
     late = F.least(here, F.greatest(F.lit(0), F.col("want_late") - after))
-    return placed.withColumns({"here": here, "early": early, "late": late})
+    marked = placed.withColumns({"here": here, "early": early, "late": late})
 
+    def share(end: str) -> Column:
+        part = F.col(end) / F.col("here")
+        return part if divisible else F.floor(part).cast("double")
+
+    return marked.withColumns({f"{end}_share": share(end) for end in ("early", "late")})
 
-def _end_totals(marked: DataFrame, whole_only: bool) -> DataFrame:
+
+def _end_totals(marked: DataFrame) -> DataFrame:
     """Index sums and row counts of the early and late end, per account."""
     index = sum(
         (
@@ -87,18 +97,12 @@ def _end_totals(marked: DataFrame, whole_only: bool) -> DataFrame:
         F.lit(0.0),
     )
     marked = marked.withColumn("index", index)
-
-    def share(end: str) -> Column:
-        if whole_only:
-            return F.when(F.col(end) == F.col("here"), F.lit(1.0)).otherwise(F.lit(0.0))
-        # rows that agree even in their id have no order: each counts in part
-        return F.col(end) / F.col("here")
-
     counted = F.when(F.col("index").isNotNull(), F.col("rows"))
+    ends = ("early", "late")
     return marked.groupBy("account_id").agg(
         F.max("account_rows").alias("account_rows"),
-        *[F.sum(F.col("index") * share(end)).alias(f"{end}_index") for end in ("early", "late")],
-        *[F.sum(counted * share(end)).alias(f"{end}_rows") for end in ("early", "late")],
+        *[F.sum(F.col("index") * F.col(f"{end}_share")).alias(f"{end}_index") for end in ends],
+        *[F.sum(counted * F.col(f"{end}_share")).alias(f"{end}_rows") for end in ends],
     )
 
 
@@ -119,56 +123,76 @@ def _split_values(marked: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _refine(rows: DataFrame, split: DataFrame, keys: list[str], order: str) -> DataFrame:
+def _sift(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key shares a hash bucket with a wanted key.
+
+    The buckets are broadcast: never more than ``_BUCKETS`` integers, however many keys
+    are wanted. When none is, Spark leaves out all that is done with the rows.
+    """
+    # a mask and not a modulus: it is never NULL, so no filter on it is added to scans
+    bucket = F.xxhash64(*keys).bitwiseAND(F.lit(_BUCKETS - 1)).alias("bucket")
+    hit = wanted.select(bucket).distinct()
+    return rows.select("*", bucket).join(F.broadcast(hit), "bucket", "left_semi").drop("bucket")
+
+
+def _mark_days(sums: DataFrame) -> DataFrame:
+    """Days with the account's means and their part in its first and last quarter."""
+    by_day = _place(sums, ["account_id"], "day")
+    account = W.partitionBy("account_id")
+    means = {}
+    for bit, name in enumerate(_METRICS):
+        present = F.when(F.col("missing").bitwiseAND(1 << bit) == 0, F.col("rows"))
+        means[f"{name}_mean"] = F.try_divide(
+            F.sum(name).over(account).cast("double"), F.sum(present).over(account)
+        )
+    by_day = by_day.withColumns(means).withColumn("account_rows", F.col("group_rows"))
+    quarter = F.greatest(F.lit(1), F.floor(F.col("account_rows") / 4))
+    return _mark_ends(by_day.withColumns({"want_early": quarter, "want_late": quarter}))
+
+
+def _refine(
+    rows: DataFrame, split: DataFrame, keys: list[str], order: str, divisible: bool = False
+) -> DataFrame:
     """The same marking one level down, for the rows of the split values only."""
-    return _mark_ends(_place(_usage_sums(rows, *keys, order).join(split, keys), keys, order))
+    sums = _usage_sums(_sift(rows, split, keys), *keys, order).join(split, keys)
+    return _mark_ends(_place(sums, keys, order), divisible)
 
 
 def score_engagement(usage: DataFrame) -> DataFrame:
+    """Late against early usage of each account; 60 where it has fewer than four rows."""
     missing = [
         F.when(F.col(name).isNull(), F.lit(1 << bit)).otherwise(F.lit(0))
         for bit, name in enumerate(_METRICS)
     ]
+    usage_id = F.coalesce(F.col("usage_id").cast("bigint"), F.lit(_LAST_ID))
     rows = usage.filter(F.col("account_id").isNotNull()).select(
         "account_id",
         F.coalesce(F.unix_date("usage_date"), F.lit(_LAST_DAY)).alias("day"),
-        F.col("usage_id").cast("bigint").alias("usage_id"),
+        usage_id.alias("usage_id"),
+        F.shiftright(usage_id, _ID_BLOCK_BITS).alias("id_block"),
         *_METRICS,
         sum(missing, F.lit(0)).alias("missing"),
     )
-
-    by_day = _place(_usage_sums(rows, "account_id", "day"), ["account_id"], "day")
-    account = W.partitionBy("account_id")
-    means = {}
-    for bit, name in enumerate(_METRICS):
-        present = F.when(F.col("missing").bitwiseAND(1 << bit) == 0, F.col("rows"))
-        means[f"{name}_mean"] = F.try_divide(
-            F.sum(name).over(account).cast("double"), F.sum(present).over(account)
-        )
-    by_day = by_day.withColumns(means).withColumn("account_rows", F.col("group_rows"))
-    quarter = F.greatest(F.lit(1), F.floor(F.col("account_rows") / 4))
-    days = _mark_ends(by_day.withColumns({"want_early": quarter, "want_late": quarter}))
-
-    split_days = _split_values(days, "account_id", "day")
-    # Usually no day is split. Then no usage id passes this bound, which reaches the
-    # scan; a bound on the join keys would be copied to the days and recompute them.
-    any_split = F.count(F.lit(1)) > 0
-    bound = split_days.agg(F.when(any_split, _LAST_ID).otherwise(_FIRST_ID).alias("bound"))
-    usage_id = F.col("usage_id")
-    rows = rows.filter(usage_id.isNull() | (usage_id <= bound.scalar()))
-    rows = rows.withColumn("usage_id", F.coalesce(usage_id, F.lit(_LAST_ID)))
-    rows = rows.withColumn("id_block", F.shiftright("usage_id", _ID_BLOCK_BITS))
+    sums = _usage_sums(rows, "account_id", "day")
+    days = _mark_days(sums)
+
+    # Only a day with several rows can be split: one with a count above 1, or with
+    # several sets of missing metrics. This reads all sums, so that it shares their
+    # shuffle; reading fewer columns would make it a scan and a shuffle of its own.
+    crowded = F.col("rows") > 1
+    for name in _METRICS:
+        crowded = crowded | F.col(name).isNull()
+    suspects = _usage_sums(_sift(rows, sums.filter(crowded), ["account_id"]), "account_id", "day")
+    split_days = _split_values(_mark_days(suspects), "account_id", "day")
     blocks = _refine(rows, split_days, ["account_id", "day"], "id_block")
     split_blocks = _split_values(blocks, "account_id", "day", "id_block")
-    ids = _refine(rows, split_blocks, ["account_id", "day", "id_block"], "usage_id")
+    keys = ["account_id", "day", "id_block"]
+    ids = _refine(rows, split_blocks, keys, "usage_id", divisible=True)
 
-    whole = _end_totals(days, whole_only=True)
     ends = ["early_index", "late_index", "early_rows", "late_rows"]
-    parts = (
-        _end_totals(blocks, whole_only=True)
-        .unionByName(_end_totals(ids, whole_only=False))
-        .groupBy("account_id")
-        .agg(*[F.sum(end).alias(f"part_{end}") for end in ends])
+    whole = _end_totals(days)
+    parts = _end_totals(blocks.unionByName(ids, allowMissingColumns=True)).select(
+        "account_id", *[F.col(end).alias(f"part_{end}") for end in ends]
     )
     totals = whole.join(parts, "account_id", "left").select(
         "account_id",
