@@ -28,9 +28,14 @@ def snapshot_dates(health_scores: DataFrame) -> tuple[Column, Column]:
     return newest.scalar(), oldest.scalar()
 
 
-def current_and_previous_scores(health_scores: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The rows of the newest snapshot and of the one before (none on a first run)."""
-    newest, previous = snapshot_dates(health_scores)
+def current_and_previous_scores(
+    health_scores: DataFrame, dates: tuple[Column, Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of the newest snapshot and of the one before (none on a first run).
+
+    ``dates`` are the two dates where they are known already.
+    """
+    newest, previous = dates or snapshot_dates(health_scores)
     score = F.col("overall_score").cast("double").alias("overall_score")
     columns = ["account_id", "health_status", score]
     current = health_scores.filter(F.col("score_date") == newest)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 from datetime import datetime
 
@@ -51,7 +52,9 @@ def generate_digest(
     dates = [row["score_date"] for row in snapshots.last_two_dates(history).collect()]
     if not dates:
         raise RuntimeError("no health scores: run the scoring pipeline before the digest")
-    current, previous = snapshots.current_and_previous_scores(history)
+    newest = F.lit(dates[0])
+    previous_date = F.lit(dates[1] if len(dates) > 1 else None).cast("date")
+    current, previous = snapshots.current_and_previous_scores(history, (newest, previous_date))
     actions = read_result(spark, root, "action_center")
     if summary is None:
         summary = standalone_summary(current, actions)
@@ -61,8 +64,8 @@ def generate_digest(
         snapshots.find_score_drops(current, previous),
         snapshots.urgent_action_items(actions, accounts, as_of, fixed.URGENT_DAYS_AHEAD),
         accounts,
-        F.lit(dates[0]),
-        F.lit(dates[1] if len(dates) > 1 else None).cast("date"),
+        newest,
+        previous_date,
     )
     path = f"{root}/reports/digest_{dates[0].isoformat()}.md"
     write_digest(lines, path)
@@ -88,7 +91,10 @@ def run_once(
         figures = spark.createDataFrame([summary])
         generate_digest(spark, tables["accounts"], root, as_of, figures)
     except Exception as error:
-        append_run(spark, root, started_at, clock(), "Failed", error_message=str(error))
+        try:
+            append_run(spark, root, started_at, clock(), "Failed", error_message=str(error))
+        except Exception:
+            logging.getLogger(__name__).exception("the failed run could not be recorded")
         raise
     append_run(spark, root, started_at, clock(), "Success", summary)
     return summary

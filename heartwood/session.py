@@ -33,12 +33,17 @@ def build_session(
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store the rows in the cluster's checkpoint folder and go on from there.
 
-    For a result that several branches of one query read. The folder is the one in
-    ``spark.checkpoint.dir``; a local one is used only where none is set (tests).
+    For a result that several branches of one query read. The folder is the one named in
+    ``spark.checkpoint.dir``. Only a session on one machine (tests) may do without: it
+    gets a folder of its own.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="heartwood-"))
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="heartwood-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()

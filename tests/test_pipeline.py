@@ -82,6 +82,11 @@ def test_two_runs_then_digest_and_views(spark, tables, tmp_path):
     assert spark.table("vw_action_center").count() == actions.count()
     assert spark.table("vw_latest_survey").count() == 8
     assert spark.table("vw_usage_trend").count() == 0
+    owned = spark.sql(
+        "SELECT account_id FROM vw_account_health WHERE csm_owner = :owner AND account_id = :id",
+        args={"owner": "o1", "id": 4},
+    )
+    assert owned.count() == 1
 
 
 def test_rerun_of_a_day_replaces_it(spark, tables, tmp_path):
