@@ -28,14 +28,16 @@ from heartwood.operators.grouping import newest_per_key
 # date. Ranking rows in a window per account would put all rows of an account into
 # one task. Instead rows are first summed per account and day (map-side combine, and
 # spread by day), and the quarter boundaries are found on the days, of which there
-# are only as many as calendar days. Where a boundary falls between rows of one day,
-# the rows of just these days are split again, by blocks of usage ids, then by id.
+# are only as many as calendar days. Where a boundary falls between rows of one day, the
+# usage ids of just these days decide; a very full day is first narrowed down by leading
+# bits of the ids, so that no group ordered in one task has more than 2^22 members.
 # A row's index is linear in its metrics, so sums over rows are all it takes.
 
 _METRICS = [name for name, _ in fixed.USAGE_WEIGHTS]
 _LAST_DAY = 2**31 - 1
 _LAST_ID = 2**63 - 1
-_ID_BLOCK_BITS = 16
+_FULL_DAY_ROWS = 2**20
+_ID_PREFIXES = {"id_top": 42, "id_middle": 21}  # column, bits shifted out
 _BUCKETS = 2**18
 
 
@@ -115,6 +117,7 @@ def _split_values(marked: DataFrame, *keys: str) -> DataFrame:
         .select(
             *keys,
             "account_rows",
+            F.col("here").alias("split_rows"),
             *[f"{name}_mean" for name in _METRICS],
             F.when(early_cut, F.col("early")).otherwise(F.lit(0)).alias("want_early"),
             F.when(late_cut, F.col("late")).otherwise(F.lit(0)).alias("want_late"),
@@ -150,12 +153,28 @@ def _mark_days(sums: DataFrame) -> DataFrame:
     return _mark_ends(by_day.withColumns({"want_early": quarter, "want_late": quarter}))
 
 
-def _refine(
-    rows: DataFrame, split: DataFrame, keys: list[str], order: str, divisible: bool = False
-) -> DataFrame:
-    """The same marking one level down, for the rows of the split values only."""
-    sums = _usage_sums(_sift(rows, split, keys), *keys, order).join(split, keys)
-    return _mark_ends(_place(sums, keys, order), divisible)
+def _order_by_id(rows: DataFrame, split_days: DataFrame, *orders: str) -> DataFrame:
+    """The rows of split days, marked in the order of their usage ids.
+
+    ``orders`` lead from the first bits of an id to the id. Values of each are placed
+    among those that agree in the bits before, and offset by where these begin.
+    """
+    keys = ["account_id", "day"]
+    rows = _sift(rows, split_days, keys)
+    begins = split_days.withColumn("offset", F.lit(0))
+    carried = [name for name in begins.columns if name not in (*keys, "offset")]
+    for order in orders:
+        if order == orders[-1]:
+            counted = _usage_sums(rows, *keys, order)
+        else:
+            counted = rows.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("rows"))
+        placed = _place(counted, keys, order).join(begins, keys)
+        placed = placed.withColumns(
+            {name: F.col(name) + F.col("offset") for name in ("before", "through")}
+        )
+        keys = [*keys, order]
+        begins = placed.select(*keys, *carried, F.col("before").alias("offset"))
+    return _mark_ends(placed.withColumn("group_rows", F.col("split_rows")), divisible=True)
 
 
 def score_engagement(usage: DataFrame) -> DataFrame:
@@ -169,7 +188,7 @@ def score_engagement(usage: DataFrame) -> DataFrame:
         "account_id",
         F.coalesce(F.unix_date("usage_date"), F.lit(_LAST_DAY)).alias("day"),
         usage_id.alias("usage_id"),
-        F.shiftright(usage_id, _ID_BLOCK_BITS).alias("id_block"),
+        *[F.shiftright(usage_id, bits).alias(name) for name, bits in _ID_PREFIXES.items()],
         *_METRICS,
         sum(missing, F.lit(0)).alias("missing"),
     )
@@ -184,14 +203,15 @@ def score_engagement(usage: DataFrame) -> DataFrame:
         crowded = crowded | F.col(name).isNull()
     suspects = _usage_sums(_sift(rows, sums.filter(crowded), ["account_id"]), "account_id", "day")
     split_days = _split_values(_mark_days(suspects), "account_id", "day")
-    blocks = _refine(rows, split_days, ["account_id", "day"], "id_block")
-    split_blocks = _split_values(blocks, "account_id", "day", "id_block")
-    keys = ["account_id", "day", "id_block"]
-    ids = _refine(rows, split_blocks, keys, "usage_id", divisible=True)
 
     ends = ["early_index", "late_index", "early_rows", "late_rows"]
     whole = _end_totals(days)
-    parts = _end_totals(blocks.unionByName(ids, allowMissingColumns=True)).select(
+    full = F.col("split_rows") > _FULL_DAY_ROWS
+    split_rows = _order_by_id(rows, split_days.filter(~full), "usage_id").unionByName(
+        _order_by_id(rows, split_days.filter(full), *_ID_PREFIXES, "usage_id"),
+        allowMissingColumns=True,
+    )
+    parts = _end_totals(split_rows).select(
         "account_id", *[F.col(end).alias(f"part_{end}") for end in ends]
     )
     totals = whole.join(parts, "account_id", "left").select(

@@ -94,8 +94,9 @@ def test_engagement_edge_rows(frames):
     check_engagement(frames, rows)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_engagement_with_shared_days_and_missing_values(frames, seed):
+@pytest.mark.parametrize("seed, full_day_rows", [(0, 2**20), (1, 2**20), (2, 1), (3, 5)])
+def test_engagement_with_shared_days_and_missing_values(frames, monkeypatch, seed, full_day_rows):
+    monkeypatch.setattr(health, "_FULL_DAY_ROWS", full_day_rows)
     rng = random.Random(seed)
     rows = []
     for account in range(40):
@@ -103,7 +104,7 @@ def test_engagement_with_shared_days_and_missing_values(frames, seed):
         for _ in range(rng.randrange(1, 30)):
             rows.append(
                 (
-                    rng.choice([rng.randrange(200_000), rng.randrange(2**40)]),
+                    rng.choice([rng.randrange(200_000), rng.randrange(2**40), rng.randrange(2**62)]),
                     account,
                     rng.choice([None] + [rng.randrange(days)] * 9),
                     rng.choice([None] + list(range(5)) * 3),
@@ -116,8 +117,10 @@ def test_engagement_with_shared_days_and_missing_values(frames, seed):
     check_engagement(frames, rows)
 
 
-def test_engagement_of_one_hot_account_on_one_day(spark):
+@pytest.mark.parametrize("full_day_rows", [2**20, 1000])
+def test_engagement_of_one_hot_account_on_one_day(spark, monkeypatch, full_day_rows):
     """Half of all rows belong to one account, most of them to a single day."""
+    monkeypatch.setattr(health, "_FULL_DAY_ROWS", full_day_rows)
     n = 400_000
     rows = spark.range(n).select(
         F.col("id").alias("usage_id"),
@@ -136,6 +139,13 @@ def test_engagement_of_one_hot_account_on_one_day(spark):
     assert got == engagement_by_rows(own)
 
 
+def test_rows_that_agree_even_in_their_id_count_in_part(frames):
+    # the quarter is one row; two rows share day and id, their values average
+    rows = [(1, 1, 0, 10, 10, 10), (1, 1, 0, 30, 10, 10), (2, 1, 1, 20, 10, 10), (3, 1, 2, 20, 10, 10)]
+    got = health.score_engagement(usage(frames, *rows)).first().engagement_score
+    assert got == pytest.approx(50.0, abs=0.01)
+
+
 def ticket(i, account, created, resolved=None, sla=8, priority="Low", status="Resolved"):
     return {
         "ticket_id": i, "account_id": account, "priority": priority, "created_date": created,
