@@ -40,9 +40,13 @@ class Bound:
         return self.tables["support_tickets"]
 
     def store_scores(self) -> Bound:
-        """Cut both snapshots off, for a query with many branches over them."""
-        self.scores = cut_lineage(self.scores)
-        self.previous_scores = cut_lineage(self.previous_scores)
+        """Cut both snapshots off, for a query with many branches over them.
+
+        They are stored together, so that what they have in common is computed once.
+        """
+        self.history = cut_lineage(self.history)
+        self.scores = self.history.filter(F.col("score_date") == as_of_day(AS_OF))
+        self.previous_scores = self.history.filter(F.col("score_date") == as_of_day(PREVIOUS))
         return self
 
     @cached_property

@@ -16,16 +16,38 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+GIB = 2**30
+TIB = 2**40
+
+
+def settings_for(input_bytes: int) -> dict[str, str]:
+    """Split and shuffle sizes for raw tables of ``input_bytes`` in total.
+
+    What is shuffled is pre-aggregated and has few columns, at most a twentieth of the
+    input: one partition per 5 GiB of input receives about 256 MiB. Adaptive execution
+    joins small partitions, so the number may be generous; beyond 20,000 the blocks of
+    a shuffle get too many, which larger splits also hold down.
+    """
+    partitions = min(max(-(-input_bytes // (5 * GIB)), 200), 20_000)
+    split = "512m" if input_bytes > 10 * TIB else "128m"
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": split,
+    }
+
 
 def build_session(
     app_name: str = "heartwood",
     master: str | None = None,
     settings: dict[str, str] | None = None,
+    input_bytes: int = 0,
 ) -> SparkSession:
+    """A session; ``input_bytes`` sizes splits and shuffles, ``settings`` have the last word."""
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **(settings or {})}.items():
+    sized = settings_for(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
