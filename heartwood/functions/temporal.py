@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,11 +14,12 @@ MICROS_PER_DAY = 86_400_000_000
 
 
 def to_datetime(as_of: datetime | date | str) -> datetime:
-    if isinstance(as_of, datetime):
-        return as_of
-    if isinstance(as_of, date):
+    """A datetime without zone, like the stored ones; one with zone is moved to UTC."""
+    if isinstance(as_of, str):
+        as_of = datetime.fromisoformat(as_of)
+    if not isinstance(as_of, datetime):
         return datetime(as_of.year, as_of.month, as_of.day)
-    return datetime.fromisoformat(as_of)
+    return as_of.astimezone(UTC).replace(tzinfo=None) if as_of.tzinfo else as_of
 
 
 def as_of_moment(as_of: datetime | date | str) -> Column:

@@ -8,18 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 from heartwood.sources import schemas
 
 
+# quotes inside a value are doubled and blanks belong to the value, as pandas writes them
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _read_csv(spark: SparkSession, path: str, types: dict[str, str], options: dict):
+    """Columns by the names in the header, so in any order; unknown ones are text.
+
+    A value that does not fit its type stops the read instead of becoming NULL. So does
+    a line break inside a value, unless ``multiLine`` is set (then a file is one split).
+    """
+    settings = {**CSV_OPTIONS, "mode": "FAILFAST", **options}
+    names = spark.read.options(**settings).csv(path).columns
+    schema = ", ".join(f"`{name}` {types.get(name, 'string')}" for name in names)
+    return spark.read.schema(schema).options(**settings).csv(path)
+
+
 def _read(spark: SparkSession, name: str, location: str, fmt: str, options: dict):
-    schema = schemas.ddl(schemas.RAW_SCHEMAS[name])
+    types = schemas.RAW_SCHEMAS[name]
     if fmt == "csv":
-        # a value that does not fit its type stops the read instead of becoming NULL
-        settings = {"header": True, "mode": "FAILFAST", **options}
-        return spark.read.schema(schema).options(**settings).csv(f"{location}/{name}.csv")
+        return _read_csv(spark, f"{location}/{name}.csv", types, options)
     if fmt == "table":
         return spark.table(f"{location}.{name}")
     if fmt == "jdbc":
         return spark.read.format("jdbc").options(**{**options, "dbtable": name}).load()
-    path = f"{location}/{name}"
-    return spark.read.schema(schema).format(fmt).options(**options).load(path)
+    reader = spark.read.schema(schemas.ddl(types)).format(fmt).options(**options)
+    return reader.load(f"{location}/{name}")
 
 
 def load_tables(

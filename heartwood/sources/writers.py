@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heartwood.sources import schemas
+from heartwood.sources.readers import CSV_OPTIONS
 
 
 def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
@@ -40,7 +41,7 @@ def export_csv(
         (
             df.drop(*internal)
             .write.mode("overwrite")
-            .option("header", True)
+            .options(**CSV_OPTIONS)
             .csv(f"{location}/{name}.csv")
         )
 

@@ -16,6 +16,7 @@ from heartwood.functions import (
     risk_drivers,
     sla_breached,
     sql_average,
+    to_datetime,
     whole_number_text,
 )
 from tests.conftest import as_dict
@@ -141,6 +142,13 @@ def test_sla_breach(spark):
     assert got == {1: False, 2: True, 3: True, 4: False, 5: False, 6: False}
 
 
+def test_as_of_forms():
+    assert to_datetime(date(2024, 6, 1)) == datetime(2024, 6, 1)
+    assert to_datetime("2024-06-01T12:30:00") == datetime(2024, 6, 1, 12, 30)
+    assert to_datetime("2024-06-01T12:30:00+02:00") == datetime(2024, 6, 1, 10, 30)
+    assert to_datetime(AS_OF) is AS_OF
+
+
 def test_next_renewal_rolls_by_365_days(frames):
     days = ["2024-06-01", "2023-06-02", "2023-06-01", "2024-06-11", None, "2020-01-01"]
     df = frames.table("accounts", *[{"account_id": i, "renewal_date": d} for i, d in enumerate(days)])

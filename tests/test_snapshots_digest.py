@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from heartwood.operators import snapshots
 from heartwood.operators.digest import digest_lines
+from heartwood.sources.readers import read_result
+from heartwood.sources.writers import write_health_scores
 from tests.conftest import as_dict
 
 AS_OF = datetime(2024, 6, 1)
@@ -46,6 +48,18 @@ def test_last_two_snapshots(history):
     assert sorted(r.account_id for r in previous.collect()) == [1, 2, 3, 5]
 
 
+def test_stored_history_is_pruned_to_the_two_dates(spark, history, tmp_path):
+    write_health_scores(history, str(tmp_path))
+    stored = read_result(spark, str(tmp_path), "health_scores")
+    dates = (F.lit(date(2024, 6, 1)), F.lit(date(2024, 5, 1)))
+    for known in (dates, None):
+        for snapshot in snapshots.current_and_previous_scores(stored, known):
+            plan = snapshot._jdf.queryExecution().executedPlan().toString()
+            scan = plan[: plan.index("FileScan") + 2000]
+            assert "score_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+            assert snapshot.count() == 4
+
+
 def test_first_run_has_no_previous_snapshot(history):
     only = history.filter("score_date = '2024-06-01'")
     current, previous = snapshots.current_and_previous_scores(only)

@@ -11,7 +11,7 @@ def raw(frames):
     return {
         "accounts": frames.table(
             "accounts",
-            {"account_id": 1, "company_name": 'A, "B"', "contract_value": "12.50",
+            {"account_id": 1, "company_name": ' A, "B" \\ ', "contract_value": "12.50",
              "start_date": "2024-01-31"},
             {"account_id": 2, "company_name": None},
         ),
@@ -60,6 +60,18 @@ def test_csv_written_elsewhere(spark, tmp_path):
     assert handoff.onboarding_started_at is None
 
 
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "accounts.csv").write_text(
+        "contract_value,risk_profile,company_name,account_id\n"
+        '1.50,high,"A ""B"", C ",3\n'
+    )
+    accounts = readers.load_tables(spark, str(tmp_path), "csv", optional=True)["accounts"]
+    row = accounts.first()
+    assert (row.account_id, row.company_name, float(row.contract_value)) == (3, 'A "B", C ', 1.5)
+    assert row.risk_profile == "high"
+    assert "region" not in accounts.columns
+
+
 def test_malformed_csv_stops_the_read(spark, tmp_path):
     (tmp_path / "surveys.csv").write_text(
         "survey_id,account_id,survey_date,csat_score,nps_score,feedback_category\n"
