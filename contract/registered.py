@@ -17,6 +17,7 @@ from heartwood.operators.workload import (
     owner_workload,
 )
 from heartwood.functions import as_of_day
+from heartwood.plans.automation_run import standalone_summary
 from heartwood.plans.scoring_run import run_summary, score_tables
 from heartwood.session import cut_lineage
 from heartwood.sources.star_binding import CanonicalTables, known_by
@@ -144,6 +145,11 @@ def _run_summary(b: Bound) -> DataFrame:
     return b.summary
 
 
+def _standalone_summary(b: Bound) -> DataFrame:
+    b.scores = cut_lineage(b.scores)
+    return standalone_summary(b.scores, b.actions)
+
+
 def _digest_lines(b: Bound) -> DataFrame:
     b.store_scores()
     return digest.digest_lines(
@@ -218,6 +224,7 @@ DEFINITIONS: dict[str, Callable[[Bound], DataFrame]] = {
     "changed_accounts": _changed_accounts,
     "digest_lines": _digest_lines,
     "run_summary": _run_summary,
+    "standalone_summary": _standalone_summary,
     # measures
     "accounts_by_account_status": lambda b: measures.accounts_by_account_status(b.accounts),
     "kpi_counts": lambda b: measures.kpi_counts(b.account_health),

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heartwood.operators import health
+from heartwood.operators import engagement, health
 from tests.conftest import as_dict
 
 AS_OF = datetime(2024, 6, 1)
@@ -96,7 +96,7 @@ def test_engagement_edge_rows(frames):
 
 @pytest.mark.parametrize("seed, full_day_rows", [(0, 2**20), (1, 2**20), (2, 1), (3, 5)])
 def test_engagement_with_shared_days_and_missing_values(frames, monkeypatch, seed, full_day_rows):
-    monkeypatch.setattr(health, "_FULL_DAY_ROWS", full_day_rows)
+    monkeypatch.setattr(engagement, "_FULL_DAY_ROWS", full_day_rows)
     rng = random.Random(seed)
     rows = []
     for account in range(40):
@@ -120,7 +120,7 @@ def test_engagement_with_shared_days_and_missing_values(frames, monkeypatch, see
 @pytest.mark.parametrize("full_day_rows", [2**20, 1000])
 def test_engagement_of_one_hot_account_on_one_day(spark, monkeypatch, full_day_rows):
     """Half of all rows belong to one account, most of them to a single day."""
-    monkeypatch.setattr(health, "_FULL_DAY_ROWS", full_day_rows)
+    monkeypatch.setattr(engagement, "_FULL_DAY_ROWS", full_day_rows)
     n = 400_000
     rows = spark.range(n).select(
         F.col("id").alias("usage_id"),
