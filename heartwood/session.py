@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    # a hot account in a fact table is split even where that costs one more shuffle
+    # a hot account in a fact table is split even where that costs one more shuffle, and
+    # early, since its many equal keys compress well and look smaller than they are
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
