@@ -20,10 +20,10 @@ CSV_OPTIONS = {
 def _read_csv(spark: SparkSession, path: str, types: dict[str, str], options: dict):
     """Columns by the names in the header, so in any order; unknown ones are text.
 
-    A value that does not fit its type stops the read instead of becoming NULL. So does
+    In a folder of files all headers have to agree. A value that does not fit its type stops the read instead of becoming NULL. So does
     a line break inside a value, unless ``multiLine`` is set (then a file is one split).
     """
-    settings = {**CSV_OPTIONS, "mode": "FAILFAST", **options}
+    settings = {**CSV_OPTIONS, "mode": "FAILFAST", "enforceSchema": False, **options}
     names = spark.read.options(**settings).csv(path).columns
     schema = ", ".join(f"`{name}` {types.get(name, 'string')}" for name in names)
     return spark.read.schema(schema).options(**settings).csv(path)

@@ -72,6 +72,20 @@ def test_csv_columns_go_by_name(spark, tmp_path):
     assert "region" not in accounts.columns
 
 
+def test_csv_headers_of_a_folder_have_to_agree(spark, tmp_path):
+    folder = tmp_path / "renewals.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("renewal_id,account_id\n1,2\n")
+    (folder / "b.csv").write_text("renewal_id,account_id\n3,4\n")
+    renewals = readers.load_tables(spark, str(tmp_path), "csv", optional=True)["renewals"]
+    assert sorted((r.renewal_id, r.account_id) for r in renewals.collect()) == [(1, 2), (3, 4)]
+    assert renewals.select("account_id").count() == 2
+    (folder / "c.csv").write_text("account_id,renewal_id\n5,6\n")
+    renewals = readers.load_tables(spark, str(tmp_path), "csv", optional=True)["renewals"]
+    with pytest.raises(Exception, match="(?i)header"):
+        renewals.collect()
+
+
 def test_malformed_csv_stops_the_read(spark, tmp_path):
     (tmp_path / "surveys.csv").write_text(
         "survey_id,account_id,survey_date,csat_score,nps_score,feedback_category\n"
