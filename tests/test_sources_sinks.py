@@ -170,3 +170,23 @@ def test_audit_rows_are_appended(spark, tmp_path):
     assert good.error_message is None
     assert (bad.status, bad.error_message) == ("Failed", "it's broken")
     assert bad.total_accounts is None and bad.data_quality_score is None
+
+
+def test_long_digest_keeps_its_order_over_parts(spark, tmp_path):
+    n = 5000
+    lines = spark.range(n).select(
+        (F.col("id") % 5).cast("int").alias("block"),
+        (F.col("id") * 7919 % 101).cast("double").alias("sort_value"),
+        F.col("id").alias("account_id"),
+        F.concat_ws(" ", F.col("id") % 5, F.col("id") * 7919 % 101, "id").alias("line"),
+    )
+    path = tmp_path / "digest"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_digest(lines.repartition(3), str(path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = sorted(path.glob("part-*"))
+    assert len(parts) > 1
+    got = [tuple(map(int, line.split())) for p in parts for line in p.read_text().splitlines()]
+    assert got == sorted((i % 5, i * 7919 % 101, i) for i in range(n))
