@@ -23,7 +23,6 @@ from heartwood.functions import (
     sla_breached,
 )
 from heartwood.operators.engagement import score_engagement
-from heartwood.operators.grouping import newest_per_key
 
 def score_support(tickets: DataFrame, as_of: datetime) -> DataFrame:
     breached = sla_breached(
@@ -53,18 +52,27 @@ def score_support(tickets: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def latest_survey(surveys: DataFrame) -> DataFrame:
-    """The newest survey of each account; a survey without date counts as newest."""
-    return newest_per_key(
-        surveys, "account_id", F.desc_nulls_first("survey_date"), F.desc("survey_id")
+def latest_survey(surveys: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of the newest survey per account; one without date counts as newest.
+
+    The greatest struct of date, id and columns: an aggregate, so combined before the
+    shuffle, and cheaper than ranking where all columns are needed anyway.
+    """
+    newest = F.max(
+        F.struct(F.col("survey_date").isNull(), "survey_date", "survey_id", *columns)
+    )
+    return (
+        surveys.groupBy("account_id")
+        .agg(newest.alias("newest"))
+        .select("account_id", *[F.col(f"newest.{name}") for name in columns])
     )
 
 
 def score_csat_nps(surveys: DataFrame) -> DataFrame:
-    latest = latest_survey(surveys.filter(F.col("account_id").isNotNull()))
+    known = surveys.filter(F.col("account_id").isNotNull())
     csat = F.col("csat_score").cast("double")
     nps = (F.col("nps_score") + 100) / 2
-    return latest.select(
+    return latest_survey(known, "csat_score", "nps_score").select(
         "account_id",
         F.when(csat.isNotNull(), clip_score(csat)).alias("csat_score"),
         F.when(nps.isNotNull(), clip_score(nps)).alias("nps_score"),

@@ -99,9 +99,9 @@ def usage_trend(usage: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def latest_survey_view(surveys: DataFrame) -> DataFrame:
-    return latest_survey(surveys).select(
-        "account_id", "survey_date", "csat_score", "nps_score", "feedback_category"
-    )
+    named = surveys.withColumn("date", F.col("survey_date"))
+    latest = latest_survey(named, "date", "csat_score", "nps_score", "feedback_category")
+    return latest.withColumnRenamed("date", "survey_date")
 
 
 def csm_performance(
