@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from heartwood.sources import schemas
 
@@ -29,14 +30,22 @@ def _read_csv(spark: SparkSession, path: str, types: dict[str, str], options: di
     return spark.read.schema(schema).options(**settings).csv(path)
 
 
+def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Columns of the schema in its types, others as they are."""
+    return df.select(
+        *[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns]
+    )
+
+
 def _read(spark: SparkSession, name: str, location: str, fmt: str, options: dict):
     types = schemas.RAW_SCHEMAS[name]
     if fmt == "csv":
         return _read_csv(spark, f"{location}/{name}.csv", types, options)
     if fmt == "table":
-        return spark.table(f"{location}.{name}")
+        return _typed(spark.table(f"{location}.{name}"), types)
     if fmt == "jdbc":
-        return spark.read.format("jdbc").options(**{**options, "dbtable": name}).load()
+        settings = {"preferTimestampNTZ": True, **options, "dbtable": name}
+        return _typed(spark.read.format("jdbc").options(**settings).load(), types)
     reader = spark.read.schema(schemas.ddl(types)).format(fmt).options(**options)
     return reader.load(f"{location}/{name}")
 

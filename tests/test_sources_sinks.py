@@ -117,10 +117,12 @@ def test_reload_is_idempotent_and_empties_missing_tables(spark, frames, tmp_path
 def test_catalog_tables(spark, frames):
     tables = raw(frames)
     spark.sql("CREATE DATABASE IF NOT EXISTS heartwood_test")
-    tables["accounts"].write.mode("overwrite").saveAsTable("heartwood_test.accounts")
+    narrow = tables["accounts"].withColumn("account_id", F.col("account_id").cast("int"))
+    narrow.write.mode("overwrite").saveAsTable("heartwood_test.accounts")
     try:
         back = readers.load_tables(spark, "heartwood_test", "table", optional=True)
         assert same(back["accounts"], tables["accounts"])
+        assert dict(back["accounts"].dtypes) == schemas.ACCOUNTS
     finally:
         spark.sql("DROP DATABASE heartwood_test CASCADE")
 
