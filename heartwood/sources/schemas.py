@@ -110,14 +110,15 @@ ACTION_CENTER = {
     "status": "string",
     "created_at": "timestamp_ntz",
 }
+# Counts have 64 bits, and the workload score room for owners of any size.
 CSM_WORKLOAD = {
     "csm_owner": "string",
-    "total_accounts": "int",
-    "at_risk_accounts": "int",
-    "critical_accounts": "int",
-    "open_tickets": "int",
-    "upcoming_renewals": "int",
-    "workload_score": "decimal(6,1)",
+    "total_accounts": "bigint",
+    "at_risk_accounts": "bigint",
+    "critical_accounts": "bigint",
+    "open_tickets": "bigint",
+    "upcoming_renewals": "bigint",
+    "workload_score": "decimal(18,1)",
     "workload_category": "string",
     "run_date": "date",
 }
@@ -127,12 +128,12 @@ AUTOMATION_RUNS = {
     "run_completed_at": "timestamp_ntz",
     "status": "string",
     "data_quality_score": "decimal(5,2)",
-    "total_accounts": "int",
-    "healthy_count": "int",
-    "monitor_count": "int",
-    "at_risk_count": "int",
-    "critical_count": "int",
-    "action_items_created": "int",
+    "total_accounts": "bigint",
+    "healthy_count": "bigint",
+    "monitor_count": "bigint",
+    "at_risk_count": "bigint",
+    "critical_count": "bigint",
+    "action_items_created": "bigint",
     "error_message": "string",
 }
 

@@ -150,9 +150,11 @@ def test_actions_are_refreshed_and_workload_replaced_by_date(spark, frames, tmp_
         writers.write_action_center(actions, root)
     assert [r.action_id for r in readers.read_result(spark, root, "action_center").collect()] == [4]
     for day, owner in (("2024-05-01", "x"), ("2024-06-01", "y"), ("2024-06-01", "z")):
-        row = {"csm_owner": owner, "run_date": day, "workload_score": "12.5"}
+        row = {"csm_owner": owner, "run_date": day, "workload_score": "123456789.5",
+               "open_tickets": 2**40}
         writers.write_csm_workload(frames.table("csm_workload", row), root)
     back = readers.read_result(spark, root, "csm_workload")
+    assert (float(back.first().workload_score), back.first().open_tickets) == (123456789.5, 2**40)
     assert sorted(r.csm_owner for r in back.collect()) == ["x", "z"]
 
 
