@@ -66,6 +66,12 @@ class Bound:
     def account_health(self) -> DataFrame:
         return views.account_health(self.accounts, self.scores, self.tables["renewals"], AS_OF)
 
+    @cached_property
+    def health_counted(self) -> DataFrame:
+        return views.account_health_counted(
+            self.accounts, self.scores, self.tables["renewals"], AS_OF
+        )
+
     @cached_property
     def actions(self) -> DataFrame:
         return build_action_center(self.scores, self.accounts, AS_OF)
@@ -77,7 +83,7 @@ class Bound:
 
     def performance(self, fan_out: bool) -> DataFrame:
         return views.csm_performance(
-            self.accounts, self.account_health, self.tickets, fan_out
+            self.accounts, self.health_counted, self.tickets, fan_out
         )
 
     @cached_property
@@ -227,19 +233,19 @@ DEFINITIONS: dict[str, Callable[[Bound], DataFrame]] = {
     "standalone_summary": _standalone_summary,
     # measures
     "accounts_by_account_status": lambda b: measures.accounts_by_account_status(b.accounts),
-    "kpi_counts": lambda b: measures.kpi_counts(b.account_health),
-    "kpi_averages": lambda b: measures.kpi_averages(b.account_health),
-    "retention_rate": lambda b: measures.retention_rate(b.account_health),
-    "portfolio_value": lambda b: measures.portfolio_value(b.account_health),
+    "kpi_counts": lambda b: measures.kpi_counts(b.health_counted),
+    "kpi_averages": lambda b: measures.kpi_averages(b.health_counted),
+    "retention_rate": lambda b: measures.retention_rate(b.health_counted),
+    "portfolio_value": lambda b: measures.portfolio_value(b.health_counted),
     "open_tickets": lambda b: measures.open_tickets(b.tickets, b.accounts, AS_OF),
     "sla_breach_rate": lambda b: measures.sla_breach_rate(b.tickets, b.accounts, AS_OF),
-    "accounts_by_status": lambda b: measures.accounts_by(b.account_health, "health_status"),
-    "accounts_by_segment": lambda b: measures.accounts_by(b.account_health, "segment"),
+    "accounts_by_status": lambda b: measures.accounts_by(b.health_counted, "health_status"),
+    "accounts_by_segment": lambda b: measures.accounts_by(b.health_counted, "segment"),
     "upcoming_renewals": lambda b: measures.upcoming_renewals(b.account_health),
     "score_vs_value": lambda b: measures.score_vs_value(b.account_health),
     "sessions_over_time": lambda b: measures.sessions_over_time(b.usage_trend),
-    "score_by_industry": lambda b: measures.average_score_by(b.account_health, "industry"),
-    "score_by_region": lambda b: measures.average_score_by(b.account_health, "region"),
+    "score_by_industry": lambda b: measures.average_score_by(b.health_counted, "industry"),
+    "score_by_region": lambda b: measures.average_score_by(b.health_counted, "region"),
     "critical_by_owner": lambda b: measures.critical_by_owner(b.performance(fan_out=True)),
     # validation
     "score_outcome_gap": lambda b: validation.score_outcome_gap(b.scores, b.tables["renewals"]),
@@ -248,15 +254,15 @@ DEFINITIONS: dict[str, Callable[[Bound], DataFrame]] = {
     ),
     "max_status_share": lambda b: validation.max_status_share(b.scores),
     "score_bounds": lambda b: validation.score_bounds(b.scores),
-    "view_checks": lambda b: validation.view_checks(b.accounts, b.account_health),
+    "view_checks": lambda b: validation.view_checks(b.accounts, b.health_counted),
     "latest_survey_checks": lambda b: validation.latest_survey_checks(
         b.tables["surveys"], views.latest_survey_view(b.tables["surveys"])
     ),
     "renewal_rule_mismatches": lambda b: validation.renewal_rule_mismatches(
-        b.account_health, b.accounts, AS_OF
+        b.health_counted, b.accounts, AS_OF
     ),
     "owner_critical_mismatches": lambda b: validation.owner_critical_mismatches(
-        b.performance(fan_out=True), b.account_health
+        b.performance(fan_out=True), b.health_counted
     ),
 }
 

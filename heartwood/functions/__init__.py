@@ -12,6 +12,8 @@ from heartwood.functions.numeric import (
     np_round,
     py_round,
     sql_average,
+    view_rows,
+    weighted_count,
     whole_number_text,
 )
 from heartwood.functions.temporal import (
@@ -43,5 +45,7 @@ __all__ = [
     "sla_breached",
     "sql_average",
     "to_datetime",
+    "view_rows",
+    "weighted_count",
     "whole_number_text",
 ]

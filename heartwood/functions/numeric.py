@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,3 +56,14 @@ def whole_number_text(value: Column) -> Column:
 def count_where(predicate: Column) -> Column:
     """Rows where the predicate holds; NULL does not count. BIGINT, 0 if none."""
     return F.count(F.when(predicate, F.lit(1)))
+
+
+def view_rows(view: DataFrame) -> Column:
+    """How many rows of a view each of its rows stands for: 1 unless it says so."""
+    return F.col("view_rows") if "view_rows" in view.columns else F.lit(1).cast("bigint")
+
+
+def weighted_count(weight: Column, predicate: Column | None = None) -> Column:
+    """Sum of the weights where the predicate holds. BIGINT, 0 if there are none."""
+    counted = weight if predicate is None else F.when(predicate, weight)
+    return F.coalesce(F.sum(counted), F.lit(0))

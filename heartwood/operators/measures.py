@@ -1,4 +1,7 @@
-"""Dashboard measures and datasets over the reporting views."""
+"""Dashboard measures and datasets over the reporting views.
+
+``health`` is the account-health view, for counts and averages in either of its forms.
+"""
 
 from __future__ import annotations
 
@@ -7,47 +10,49 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.functions import count_where, sla_breached
+from heartwood.functions import count_where, sla_breached, view_rows, weighted_count
 
 
 def accounts_by_account_status(accounts: DataFrame) -> DataFrame:
     return accounts.groupBy("account_status").agg(F.count(F.lit(1)).alias("accounts"))
 
 
-def _average(name: str) -> Column:
+def _average(health: DataFrame, name: str) -> Column:
     """Mean as sum over count. The sum is taken over decimals, so it is exact."""
-    total = F.sum(F.col(name).cast("decimal(12,2)")).cast("double")
-    return F.try_divide(total, F.count(name))
+    value, weight = F.col(name), view_rows(health)
+    total = F.sum(value.cast("decimal(12,2)") * weight.cast("decimal(18,0)"))
+    return F.try_divide(total.cast("double"), F.sum(F.when(value.isNotNull(), weight)))
 
 
 def kpi_counts(health: DataFrame) -> DataFrame:
-    status = F.col("health_status")
+    weight, status = view_rows(health), F.col("health_status")
     return health.agg(
-        F.count(F.lit(1)).alias("total_accounts"),
-        count_where(status == "Healthy").alias("healthy_accounts"),
-        count_where(status == "At Risk").alias("at_risk_accounts"),
-        count_where(status == "Critical").alias("critical_accounts"),
+        weighted_count(weight).alias("total_accounts"),
+        weighted_count(weight, status == "Healthy").alias("healthy_accounts"),
+        weighted_count(weight, status == "At Risk").alias("at_risk_accounts"),
+        weighted_count(weight, status == "Critical").alias("critical_accounts"),
     )
 
 
 def kpi_averages(health: DataFrame) -> DataFrame:
     return health.agg(
-        _average("overall_score").alias("avg_health_score"),
-        _average("csat_score").alias("avg_csat"),
-        _average("nps_score").alias("avg_nps"),
+        _average(health, "overall_score").alias("avg_health_score"),
+        _average(health, "csat_score").alias("avg_csat"),
+        _average(health, "nps_score").alias("avg_nps"),
     )
 
 
 def retention_rate(health: DataFrame) -> DataFrame:
     """Renewed out of Renewed and Churned; NULL when there are neither."""
-    status = F.col("renewal_status")
-    renewed = count_where(status == "Renewed")
-    decided = count_where(status.isin("Renewed", "Churned"))
+    weight, status = view_rows(health), F.col("renewal_status")
+    renewed = weighted_count(weight, status == "Renewed")
+    decided = weighted_count(weight, status.isin("Renewed", "Churned"))
     return health.agg(F.try_divide(renewed, decided).alias("retention_rate"))
 
 
 def portfolio_value(health: DataFrame) -> DataFrame:
-    return health.agg(F.sum("contract_value").alias("total_portfolio_value"))
+    value = F.col("contract_value") * view_rows(health).cast("decimal(18,0)")
+    return health.agg(F.sum(value).alias("total_portfolio_value"))
 
 
 def _ticket_counts(tickets: DataFrame, accounts: DataFrame, as_of: datetime) -> DataFrame:
@@ -76,7 +81,7 @@ def sla_breach_rate(tickets: DataFrame, accounts: DataFrame, as_of: datetime) ->
 
 def accounts_by(health: DataFrame, column: str) -> DataFrame:
     """Accounts per ``health_status``, ``segment`` or another attribute."""
-    return health.groupBy(column).agg(F.count(F.lit(1)).alias("accounts"))
+    return health.groupBy(column).agg(weighted_count(view_rows(health)).alias("accounts"))
 
 
 def upcoming_renewals(health: DataFrame, days: int = 90) -> DataFrame:
@@ -110,7 +115,7 @@ def sessions_over_time(usage_trend: DataFrame, account_id: int | None = None) ->
 
 
 def average_score_by(health: DataFrame, column: str) -> DataFrame:
-    return health.groupBy(column).agg(_average("overall_score").alias("avg_health_score"))
+    return health.groupBy(column).agg(_average(health, "overall_score").alias("avg_health_score"))
 
 
 def critical_by_owner(performance: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heartwood import fixed_values as fixed
-from heartwood.functions import count_where
+from heartwood.functions import count_where, view_rows, weighted_count
 from heartwood.operators.workload import add_next_renewal
 
 
@@ -61,11 +61,12 @@ def score_bounds(scores: DataFrame) -> DataFrame:
 
 def view_checks(accounts: DataFrame, health: DataFrame) -> DataFrame:
     """Row counts of accounts and the view, past next renewals, blank status or owner."""
+    weight = view_rows(health)
     return health.agg(
-        F.count(F.lit(1)).alias("view_rows"),
-        count_where(F.col("days_to_next_renewal") < 0).alias("negative_days"),
-        count_where(F.col("health_status").isNull()).alias("blank_status"),
-        count_where(F.col("csm_owner").isNull()).alias("blank_owner"),
+        weighted_count(weight).alias("rows_in_view"),
+        weighted_count(weight, F.col("days_to_next_renewal") < 0).alias("negative_days"),
+        weighted_count(weight, F.col("health_status").isNull()).alias("blank_status"),
+        weighted_count(weight, F.col("csm_owner").isNull()).alias("blank_owner"),
     ).withColumn("account_rows", accounts.agg(F.count(F.lit(1)).alias("n")).scalar())
 
 

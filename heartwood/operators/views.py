@@ -15,50 +15,90 @@ from heartwood.functions import (
     elapsed_hours_rounded,
     sla_breached,
     sql_average,
+    view_rows,
 )
 from heartwood.operators.grouping import left_join_many, newest_per_key
 from heartwood.operators.health import latest_survey
 from heartwood.operators.workload import add_next_renewal
 
 
-def account_health(
-    accounts: DataFrame, health_scores: DataFrame, renewals: DataFrame, as_of: datetime
+_ACCOUNT_COLUMNS = (
+    "account_id",
+    "company_name",
+    "industry",
+    "segment",
+    "region",
+    "csm_owner",
+    "account_status",
+    "contract_value",
+    "start_date",
+    "renewal_date",
+)
+_SCORE_COLUMNS = (
+    "score_date",
+    "engagement_score",
+    "support_score",
+    "csat_score",
+    "nps_score",
+    "onboarding_score",
+    "overall_score",
+    "health_status",
+    "risk_drivers",
+)
+_ROLLED_COLUMNS = ("days_to_renewal", "next_renewal_date", "days_to_next_renewal")
+
+
+def _scored_accounts(
+    accounts: DataFrame, health_scores: DataFrame, as_of: datetime
 ) -> DataFrame:
-    """Accounts with their newest score and their renewals, one row per renewal."""
+    """Accounts with their newest score and the distance to their renewal."""
     newest = newest_per_key(
         health_scores.filter(F.col("account_id").isNotNull()),
         "account_id",
         F.desc_nulls_first("score_date"),
     )
-    renewed = renewals.select("account_id", "renewal_status", "renewal_value", "churn_reason")
+    days = F.datediff("renewal_date", as_of_day(as_of))
     scored = accounts.join(newest, "account_id", "left")
-    joined = left_join_many(scored, renewed, "account_id", accounts)
-    return add_next_renewal(joined, as_of).select(
-        "account_id",
-        "company_name",
-        "industry",
-        "segment",
-        "region",
-        "csm_owner",
-        "account_status",
-        "contract_value",
-        "start_date",
-        "renewal_date",
-        "score_date",
-        "engagement_score",
-        "support_score",
-        "csat_score",
-        "nps_score",
-        "onboarding_score",
-        "overall_score",
-        "health_status",
-        "risk_drivers",
+    return add_next_renewal(scored, as_of).withColumn("days_to_renewal", days)
+
+
+def account_health(
+    accounts: DataFrame, health_scores: DataFrame, renewals: DataFrame, as_of: datetime
+) -> DataFrame:
+    """Accounts with their newest score and their renewals, one row per renewal."""
+    renewed = renewals.select("account_id", "renewal_status", "renewal_value", "churn_reason")
+    scored = _scored_accounts(accounts, health_scores, as_of)
+    return left_join_many(scored, renewed, "account_id", accounts).select(
+        *_ACCOUNT_COLUMNS,
+        *_SCORE_COLUMNS,
         "renewal_status",
         "renewal_value",
         "churn_reason",
-        F.datediff("renewal_date", as_of_day(as_of)).alias("days_to_renewal"),
-        "next_renewal_date",
-        "days_to_next_renewal",
+        *_ROLLED_COLUMNS,
+    )
+
+
+def account_health_counted(
+    accounts: DataFrame, health_scores: DataFrame, renewals: DataFrame, as_of: datetime
+) -> DataFrame:
+    """:func:`account_health` for counting: one row per account and renewal status.
+
+    ``view_rows`` says how many rows of the view it stands for. Renewals are counted
+    before the join, so neither they nor a hot account among them are shuffled. The
+    measures and :func:`csm_performance` take either form.
+    """
+    per_status = (
+        renewals.filter(F.col("account_id").isNotNull())
+        .groupBy("account_id", "renewal_status")
+        .agg(F.count(F.lit(1)).alias("renewals"))
+    )
+    scored = _scored_accounts(accounts, health_scores, as_of)
+    return scored.join(per_status, "account_id", "left").select(
+        *_ACCOUNT_COLUMNS,
+        *_SCORE_COLUMNS,
+        "renewal_status",
+        *_ROLLED_COLUMNS,
+        F.coalesce("renewals", F.lit(1)).alias("view_rows"),
     )
 
 
@@ -117,7 +157,7 @@ def csm_performance(
     scores = ["overall_score", "csat_score", "nps_score"]
     # one row per account again, however many renewals it has
     per_account = health.groupBy("account_id", "health_status", *scores).agg(
-        F.count(F.lit(1)).alias("health_rows")
+        F.sum(view_rows(health)).alias("health_rows")
     )
     per_account_tickets = tickets.groupBy("account_id").agg(
         F.count(F.lit(1)).alias("ticket_rows")
@@ -212,13 +252,14 @@ def register_views(
 ) -> None:
     """All seven views as temp views under their names."""
     accounts, tickets = tables["accounts"], tables["support_tickets"]
-    health = account_health(accounts, health_scores, tables["renewals"], as_of)
+    scored = (accounts, health_scores, tables["renewals"], as_of)
+    counted = account_health_counted(*scored)
     views = {
-        "vw_account_health": health,
+        "vw_account_health": account_health(*scored),
         "vw_ticket_sla": ticket_sla(tickets, accounts, as_of),
         "vw_usage_trend": usage_trend(tables["product_usage"], accounts),
         "vw_latest_survey": latest_survey_view(tables["surveys"]),
-        "vw_csm_performance": csm_performance(accounts, health, tickets),
+        "vw_csm_performance": csm_performance(accounts, counted, tickets),
         "vw_action_center": action_center_view(action_center, accounts),
         "vw_csm_workload_latest": csm_workload_latest(csm_workload),
     }

@@ -65,10 +65,16 @@ def tickets(frames):
 
 
 @pytest.fixture(scope="module")
-def health(accounts, scores, renewals):
+def rows_of_health(accounts, scores, renewals):
     return views.account_health(accounts, scores, renewals, AS_OF)
 
 
+@pytest.fixture(scope="module", params=["rows", "counted"])
+def health(request, accounts, scores, renewals):
+    make = {"rows": views.account_health, "counted": views.account_health_counted}
+    return make[request.param](accounts, scores, renewals, AS_OF)
+
+
 def test_left_join_many_equals_a_left_join(frames):
     left = frames.of("k bigint, a string", (1, "p"), (1, "q"), (2, "r"), (None, "s"), (3, "t"))
     right = frames.of("k bigint, b string", (1, "u"), (1, "v"), (None, "w"), (9, "x"), (3, None))
@@ -77,8 +83,8 @@ def test_left_join_many_equals_a_left_join(frames):
     assert sorted(map(repr, got)) == sorted(map(repr, expected))
 
 
-def test_account_health(health):
-    rows = health.collect()
+def test_account_health(rows_of_health):
+    rows = rows_of_health.collect()
     assert len(rows) == 4  # account 1 has two renewals
     first = [r for r in rows if r.account_id == 1]
     assert {r.renewal_status for r in first} == {"Renewed", "Churned"}
@@ -93,6 +99,19 @@ def test_account_health(health):
     )
 
 
+def test_counted_rows_stand_for_the_view(frames, accounts, scores):
+    many = frames.table(
+        "renewals",
+        *[{"renewal_id": i, "account_id": a, "renewal_status": s}
+          for i, (a, s) in enumerate([(1, "Renewed")] * 3 + [(1, None), (2, "Churned"), (9, "Renewed")])],
+    )
+    columns = ["account_id", "overall_score", "renewal_status", "days_to_next_renewal"]
+    expected = views.account_health(accounts, scores, many, AS_OF).groupBy(columns).count()
+    counted = views.account_health_counted(accounts, scores, many, AS_OF)
+    got = counted.select(*columns, F.col("view_rows").alias("count"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+
+
 def test_ticket_sla(tickets, accounts):
     rows = {r.ticket_id: r for r in views.ticket_sla(tickets, accounts, AS_OF).collect()}
     assert sorted(rows) == [1, 2, 3]  # ticket 4 has no account
@@ -215,7 +234,7 @@ def test_validation(frames, accounts, health, scores, renewals):
     gap = validation.score_outcome_gap(scores.filter("score_date = '2024-06-01'"), renewals)
     assert gap.first().asDict() == {"churned_avg": 40.25, "renewed_avg": 40.25, "gap": 0.0}
     checks = validation.view_checks(accounts, health).first()
-    assert (checks.view_rows, checks.account_rows) == (4, 3)
+    assert (checks.rows_in_view, checks.account_rows) == (4, 3)
     assert (checks.negative_days, checks.blank_status, checks.blank_owner) == (0, 1, 1)
     assert validation.renewal_rule_mismatches(health, accounts, AS_OF).first().mismatches == 0
     engagement = frames.of(
