@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heartwood.llm import suffix_dedup
+from heartwood.llm import minhash_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -21,8 +21,13 @@ def op1_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op9_minhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {}
