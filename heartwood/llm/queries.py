@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heartwood.llm import minhash_dedup, suffix_dedup
+from heartwood.llm import line_dedup, minhash_dedup, packing, suffix_dedup
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -21,12 +22,24 @@ def op1_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(_table(spark, directory, "documents"), min_docs=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_packing(spark: SparkSession, directory: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_table(spark, directory, "documents"), path, capacity=4096, end=1)
+
+
 def op9_minhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, directory, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_line_dedup": op2_line_dedup,
+    "op7_packing": op7_packing,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
 
