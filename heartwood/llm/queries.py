@@ -8,7 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heartwood.llm import line_dedup, minhash_dedup, packing, suffix_dedup
+from heartwood.llm import (
+    language_id,
+    line_dedup,
+    minhash_dedup,
+    packing,
+    suffix_dedup,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -27,6 +34,12 @@ def op2_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity.scored_documents(
+        _table(spark, directory, "documents"), _table(spark, directory, "labels")
+    )
+
+
 def op7_packing(spark: SparkSession, directory: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(_table(spark, directory, "documents"), path, capacity=4096, end=1)
@@ -36,11 +49,17 @@ def op9_minhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, directory, "documents"))
 
 
+def op10_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    return language_id.identified_documents(_table(spark, directory, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
     "op9_minhash_dedup": op9_minhash_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
