@@ -28,7 +28,8 @@ GRAMS = (2, 3, 4)
 #: n-grams overlap, so a word's log-likelihood is the sum over its n-grams times this
 SHARE = 1 / 3
 BLOCK = 1 << 18
-STEPS = 12
+#: EM steps over all languages, and over each set that is tried
+FIRST_STEPS, STEPS = 6, 10
 
 _TABLE = letter_words()
 _SALT = [int(x) for x in mix(np.arange(1, 9, dtype=np.uint64))]
@@ -39,7 +40,7 @@ class Model:
     """Languages in order and the log-probability of each bucket, one table per n-gram length."""
 
     langs: tuple[str, ...]
-    tables: np.ndarray  # (len(GRAMS), BUCKETS, languages)
+    tables: np.ndarray  # (len(GRAMS), languages, BUCKETS)
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[list, np.ndarray, np.ndarray]:
@@ -133,76 +134,88 @@ def train(labelled: DataFrame) -> Model:
     names = counts.column("lang").to_pylist()
     langs = tuple(sorted(set(names)))
     place = {x: i for i, x in enumerate(langs)}
-    tables = np.full((len(GRAMS), BUCKETS, max(len(langs), 1)), 0.5)
+    tables = np.full((len(GRAMS), max(len(langs), 1), BUCKETS), 0.5)
     at = np.array([place[x] for x in names], np.int64)
     tables[
-        counts.column("gram").to_numpy(), counts.column("bucket").to_numpy(), at
+        counts.column("gram").to_numpy(), at, counts.column("bucket").to_numpy()
     ] += counts.column("n").to_numpy()
-    return Model(langs, np.log(tables / tables.sum(axis=1, keepdims=True)).astype(np.float32))
+    return Model(langs, np.log(tables / tables.sum(axis=2, keepdims=True)).astype(np.float32))
 
 
 def _word_likelihoods(model: Model, grams, words: int) -> np.ndarray:
-    """Log-likelihood of each word under each language."""
-    out = np.zeros((words, len(model.langs)))
+    """Log-likelihood of each word (column) under each language (row)."""
+    out = np.zeros((len(model.langs), words), np.float32)
     for g, (bucket, word) in enumerate(grams):
         if len(bucket):
             heads = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            out[word[heads]] += np.add.reduceat(model.tables[g][bucket], heads, axis=0)
-    return out * SHARE
+            for k in range(len(model.langs)):
+                out[k, word[heads]] += np.add.reduceat(model.tables[g, k][bucket], heads)
+    out *= SHARE
+    return out
 
 
-def mixtures(
-    likelihood: np.ndarray, owner: np.ndarray, n: int
+def _proportions(
+    words: np.ndarray, count: np.ndarray, p: np.ndarray, steps: int
 ) -> tuple[np.ndarray, np.ndarray]:
+    """EM from proportions ``p`` (languages, texts) on, and the log-likelihood of each text.
+
+    ``words`` has the words' likelihoods (languages, words), those of a text side by side.
+    """
+    first = np.cumsum(count) - count
+    langs = [k for k in range(len(words)) if p[k].any()]
+    p = p.copy()
+    for step in range(steps + 1):
+        weighted = {k: words[k] * np.repeat(p[k].astype(np.float32), count) for k in langs}
+        total = np.maximum(sum(weighted.values()), np.float32(1e-30))
+        if step == steps:
+            return p, np.add.reduceat(np.log(total, dtype=np.float64), first)
+        np.reciprocal(total, out=total)
+        for k in langs:
+            weighted[k] *= total
+            p[k] = np.add.reduceat(weighted[k], first, dtype=np.float64) / count
+
+
+def mixtures(likelihood: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Proportions of the languages in ``n`` texts and the set selected for each.
 
-    ``likelihood`` has a row per word, ``owner`` the text of each in order. Texts without words
+    ``likelihood`` has a column per word and a row per language, ``owner`` the text of each word
+    in order. A language that explains less than one word is out at once. Texts without words
     get no language.
     """
-    langs = likelihood.shape[1]
+    langs = len(likelihood)
     share, chosen = np.zeros((n, langs)), np.zeros((n, langs), bool)
     if not len(owner) or not langs:
         return share, chosen
     heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     texts = owner[heads]
     count = np.diff(np.append(heads, len(owner)))
-    row = np.repeat(np.arange(len(texts)), count)
-    top = likelihood.max(axis=1)
-    scaled = np.exp(np.maximum(likelihood - top[:, None], -60.0))
-
-    def fit(active: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """EM for the texts ``which`` with the languages in ``active``."""
-        take = which[row]
-        words, back = scaled[take], np.cumsum(which)[row[take]] - 1
-        first = np.flatnonzero(np.r_[True, back[1:] != back[:-1]])
-        size = count[which][:, None]
-        p = active[which] / active[which].sum(axis=1, keepdims=True)
-        for _ in range(STEPS):
-            weighted = words * p[back]
-            total = weighted.sum(axis=1)
-            p = np.add.reduceat(weighted / np.maximum(total, 1e-300)[:, None], first) / size
-        total = (words * p[back]).sum(axis=1)
-        return p, np.add.reduceat(np.log(np.maximum(total, 1e-300)), first)
-
-    active = np.ones((len(texts), langs), bool)
-    everything = np.ones(len(texts), bool)
-    p, fitness = fit(active, everything)
-    penalty = 0.5 * np.log(count + 1.0)
-    open_texts = everything.copy()
-    for _ in range(langs - 1):
-        open_texts &= active.sum(axis=1) > 1
-        if not open_texts.any():
-            break
-        weakest = np.where(active, p, np.inf).argmin(axis=1)
-        trial = active.copy()
-        trial[np.arange(len(texts)), weakest] = False
-        q, other = fit(trial, open_texts)
-        better = other + penalty[open_texts] >= fitness[open_texts]
-        at = np.flatnonzero(open_texts)[better]
-        active[at], p[at], fitness[at] = trial[at], q[better], other[better]
-        open_texts[:] = False
-        open_texts[at] = True
-    share[texts], chosen[texts] = p, active
+    top = likelihood.max(axis=0)
+    scaled = np.exp(np.maximum(likelihood - top, -60.0), dtype=np.float32)
+
+    p, _ = _proportions(scaled, count, np.full((langs, len(texts)), 1 / langs), FIRST_STEPS)
+    best = p.argmax(axis=0)
+    active = p * count >= 1
+    active[best, np.arange(len(texts))] = True
+
+    # texts with several languages left: take out the weakest while the penalty pays for it
+    todo = np.flatnonzero(active.sum(axis=0) > 1)
+    fitness = np.full(len(texts), -np.inf)
+    while len(todo):
+        which = np.zeros(len(texts), bool)
+        which[todo] = True
+        words, size = scaled[:, np.repeat(which, count)], count[todo]
+        several = np.isneginf(fitness[todo])
+        trial = active[:, todo].copy()
+        weakest = np.where(trial, p[:, todo], np.inf).argmin(axis=0)
+        trial[weakest, np.arange(len(todo))] &= several  # the first visit measures the full set
+        start = np.where(trial, np.maximum(p[:, todo], 0.01), 0.0)
+        q, other = _proportions(words, size, start / start.sum(axis=0), STEPS)
+        better = several | (other + 0.5 * np.log(size + 1.0) >= fitness[todo])
+        at = todo[better]
+        active[:, at], p[:, at], fitness[at] = trial[:, better], q[:, better], other[better]
+        todo = at[active[:, at].sum(axis=0) > 1]
+    p = np.where(active, p, 0.0)
+    share[texts], chosen[texts] = (p / p.sum(axis=0)).T, active.T
     return share, chosen
 
 

@@ -62,11 +62,11 @@ def test_nothing_learnt_and_empty_table(spark):
 
 def test_em_equals_a_plain_loop():
     r = np.random.default_rng(4)
-    likelihood = np.log(r.random((30, 2)))
+    likelihood = np.log(r.random((2, 30)))
     share, chosen = mixtures(likelihood, np.zeros(30, int), 1)
     p = np.array([0.5, 0.5])
     for _ in range(200):
-        w = np.exp(likelihood) * p
+        w = np.exp(likelihood.T) * p
         p = (w / w.sum(axis=1, keepdims=True)).mean(axis=0)
     if chosen[0].all():
         assert np.allclose(share[0], p, atol=0.05)
