@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heartwood.llm import (
+    ann,
+    embedding_dedup,
     language_id,
     line_dedup,
     minhash_dedup,
@@ -34,6 +36,15 @@ def op2_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_ann(spark: SparkSession, directory: str) -> DataFrame:
+    vectors = _table(spark, directory, "embeddings")
+    return ann.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+def op5_embedding_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, directory, "embeddings"), least=0.98)
+
+
 def op6_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     return toxicity.scored_documents(
         _table(spark, directory, "documents"), _table(spark, directory, "labels")
@@ -56,6 +67,8 @@ def op10_language_id(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
+    "op4_ann": op4_ann,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
     "op9_minhash_dedup": op9_minhash_dedup,
