@@ -8,10 +8,10 @@
 3. Classes that share a band are candidates. In a bucket each class is compared with the
    bucket's pivot (smallest class); sketches that are too far apart end the candidacy.
 4. Each class is confirmed against the pivot nearest by sketch, on full sets. That settles
-   most of a group without its pairs. The remaining candidates, and members of a bucket that
-   did not end up with its pivot against the rest of the bucket, are confirmed afterwards if
-   their components still differ.
-5. Confirmed links form components.
+   most of a group without its pairs, and confirmed links form components.
+5. In buckets that still hold several components, members outside the largest one are compared
+   with all others by sketch. Their nearest candidates in other components are confirmed, in
+   rounds of growing numbers; the last round takes all that are left.
 """
 
 from __future__ import annotations
@@ -31,8 +31,12 @@ SHINGLE = 5
 BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
-#: the estimate's standard deviation at 0.75 is about 0.04
-SLACK = 0.2
+#: four times the estimate's standard deviation at 0.75
+SLACK = 0.15
+#: candidates tried per class and bucket in the rounds that join what is still apart
+ROUNDS = (4, 64, None)
+#: members of a bucket that meet in one task
+MEMBERS = 8192
 BLOCK = 1 << 19
 
 _SALTS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -169,8 +173,81 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _nearest_apart(least: float, most: int | None):
+    """Arrow function on members of a bucket outside its main component and all members of one of
+    its blocks: pairs of different components, the nearest by sketch first."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out_a, out_b = [], []
+        if left.num_rows and right.num_rows:
+            sides = []
+            for table in (left, right):
+                sketch = table.column("sketch").combine_chunks().flatten().to_numpy()
+                sides.append(
+                    (
+                        table.column("node").to_numpy(),
+                        table.column("inside").to_numpy(),
+                        sketch.view(np.uint64).reshape(table.num_rows, -1),
+                    )
+                )
+            (node, inside, sketch), (others, of, bits) = sides
+            for i in range(len(node)):
+                ones = np.bitwise_count(bits ^ sketch[i]).sum(axis=1)
+                far = 1 - 2 * ones / SKETCH_BITS
+                near = 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(np.maximum(far, 1e-9))
+                at = np.flatnonzero((near >= least) & (of != inside[i]))
+                if most is not None and len(at) > most:
+                    at = at[np.lexsort((others[at], -near[at]))[:most]]
+                out_a.append(np.full(len(at), node[i]))
+                out_b.append(others[at])
+        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
+        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
+        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    return run
+
+
+def _across(
+    members: DataFrame, sketches: DataFrame, linked: DataFrame, least: float, most: int | None
+) -> DataFrame:
+    """Candidate pairs (a, b) of a bucket that lie in different components.
+
+    A bucket is dealt to blocks of members; those outside its main component go to each block.
+    """
+    placed = (
+        members.select("band", "node")
+        .join(linked, "node", "left")
+        .select("band", "node", F.coalesce("component", "node").alias("inside"))
+    )
+    mixed = (
+        placed.groupBy("band", "inside")
+        .agg(F.count("*").alias("n"))
+        .groupBy("band")
+        .agg(
+            F.max_by("inside", F.struct("n", "inside")).alias("home"),
+            F.ceil(F.sum("n") / MEMBERS).cast("int").alias("blocks"),
+            F.count("*").alias("parts"),
+        )
+        .where("parts > 1")
+    )
+    there = placed.join(mixed, "band").join(sketches, "node")
+    apart = there.where("inside <> home").withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    every = there.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    columns = ["band", "block", "node", "inside", "sketch"]
+    return (
+        apart.select(*[F.col(c).alias(c) for c in columns])  # both sides come from one frame
+        .groupBy("band", "block")
+        .cogroup(every.select(*columns).groupBy("band", "block"))
+        .applyInArrow(_nearest_apart(least, most), "a long, b long")
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """Each row's near-duplicate component: doc_id, n_shingles, component_id, kept.
+    """Each row's near-duplicate component: doc_id, n_shingles, component_id, kept, and the two
+    hashes that name its text.
 
     Words are what ASCII white space separates, A-Z lower-cased. Texts link at a Jaccard
     similarity of ``percent`` / 100 or more of their sets of five-word shingles; with fewer
@@ -225,37 +302,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
 
     best = candidates.groupBy("a").agg(F.max_by("b", F.struct("similar", "b")).alias("b"))
-    first_links = store(_confirmed(best, sets, percent))
-    found = store(components(first_links))
-
-    def placed(df: DataFrame, *names: str) -> DataFrame:
-        """With the component so far of each named node column."""
-        for name in names:
-            df = df.join(
-                found.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in")),
-                name,
-                "left",
-            ).withColumn(f"{name}_in", F.coalesce(f"{name}_in", name))
-        return df
-
-    others = placed(candidates.select("a", "b"), "a", "b").where("a_in <> b_in").select("a", "b")
-    spread = placed(members, "node", "pivot")
-    apart = spread.where("node_in <> pivot_in").join(sketches, "node")
-    rest = spread.join(sketches, "node").select(
-        "band",
-        F.col("node").alias("b"),
-        F.col("node_in").alias("b_in"),
-        F.col("sketch").alias("b_sketch"),
-    )
-    across = (
-        apart.join(rest, "band")
-        .where("node_in <> b_in and b <> pivot")
-        .where(estimated_similarity(F.col("sketch"), F.col("b_sketch")) >= least)
-        .select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b"))
-        .distinct()
-    )
-    more = _confirmed(others.union(across).distinct(), sets, percent)
-    linked = components(store(first_links.union(more)))
+    links = store(_confirmed(best, sets, percent))
+    linked = components(links)
+    for most in ROUNDS:
+        tries = store(_across(members, sketches, linked, least, most))
+        if tries.isEmpty():
+            break
+        links = store(links.union(_confirmed(tries, sets, percent)))
+        linked = components(links)
 
     return (
         signed.withColumn("node", F.when(F.col("n_shingles") > 0, F.col("set_a")))
@@ -284,5 +338,35 @@ def _with_least(rows: DataFrame, classes: DataFrame, linked: DataFrame) -> DataF
             "n_shingles",
             "component_id",
             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+            "text_a",
+            "text_b",
+        )
+    )
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: the one with the smallest doc_id;
+    of repeated rows with one doc_id and text one stays. All columns stay."""
+    keep = (
+        near_duplicates(docs, percent)
+        .where("kept")
+        .select(F.col("doc_id").alias("_id"), "text_a", "text_b")
+        .distinct()
+    )
+    named = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        F.col("doc_id").cast("long").alias("_key"),
+        *text_id(F.col("text")),
+    )
+    return (
+        named.join(
+            keep.withColumnsRenamed({"text_a": "_a", "text_b": "_b"}),
+            (F.col("text_a") == F.col("_a"))
+            & (F.col("text_b") == F.col("_b"))
+            & F.col("_key").eqNullSafe(F.col("_id")),
+            "left_semi",
         )
+        .groupBy("text_a", "text_b", "_key")
+        .agg(F.first("_row").alias("_row"))
+        .select("_row.*")
     )

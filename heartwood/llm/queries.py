@@ -108,7 +108,8 @@ def op8_piece_codec(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op9_minhash_dedup(spark: SparkSession, directory: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(_table(spark, directory, "documents"))
+    found = minhash_dedup.near_duplicates(_table(spark, directory, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op10_language_id(spark: SparkSession, directory: str) -> DataFrame:

@@ -328,37 +328,47 @@ def _merge(window: int):
     return merge
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of documents without the removed ranges."""
-    for batch in batches:
-        n_bytes, n_removed, n_spans, kept = [], [], [], []
-        for text, ranges in zip(batch.column("text"), batch.column("ranges")):
-            data = text.as_buffer().to_pybytes() if text.is_valid else b""
-            joined: list[list[int]] = []
-            for r in sorted((r["lo"], r["hi"]) for r in ranges.as_py() or ()):
-                if joined and r[0] <= joined[-1][1]:
-                    joined[-1][1] = max(joined[-1][1], r[1])
-                else:
-                    joined.append(list(r))
-            parts, at = [], 0
-            for lo, hi in joined:
-                parts.append(data[at:lo])
-                at = hi
-            parts.append(data[at:])
-            n_bytes.append(len(data))
-            n_removed.append(sum(hi - lo for lo, hi in joined))
-            n_spans.append(len(joined))
-            kept.append(b"".join(parts))
-        rest = [c for c in batch.schema.names if c not in ("text_a", "text_b", "text", "ranges")]
-        yield pa.record_batch(
-            {
-                **{c: batch.column(c) for c in rest},
-                "n_bytes": pa.array(n_bytes, pa.int64()),
-                "n_removed": pa.array(n_removed, pa.int64()),
-                "n_spans": pa.array(n_spans, pa.int64()),
-                "kept": pa.array(kept, pa.binary()),
-            }
-        )
+def _apply(as_text: bool):
+    """Arrow function: the rows of documents without the removed ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _cut(batch, as_text)
+
+    return run
+
+
+def _cut(batch: pa.RecordBatch, as_text: bool) -> pa.RecordBatch:
+    n_bytes, n_removed, n_spans, kept = [], [], [], []
+    for text, ranges in zip(batch.column("text"), batch.column("ranges")):
+        data = text.as_buffer().to_pybytes() if text.is_valid else b""
+        joined: list[list[int]] = []
+        for r in sorted((r["lo"], r["hi"]) for r in ranges.as_py() or ()):
+            if joined and r[0] <= joined[-1][1]:
+                joined[-1][1] = max(joined[-1][1], r[1])
+            else:
+                joined.append(list(r))
+        parts, at = [], 0
+        for lo, hi in joined:
+            parts.append(data[at:lo])
+            at = hi
+        parts.append(data[at:])
+        if as_text:
+            parts = [p.decode("utf-8", "ignore").encode() for p in parts]
+        n_bytes.append(len(data))
+        n_removed.append(sum(hi - lo for lo, hi in joined))
+        n_spans.append(len(joined))
+        kept.append(b"".join(parts))
+    rest = [c for c in batch.schema.names if c not in ("text_a", "text_b", "text", "ranges")]
+    return pa.record_batch(
+        {
+            **{c: batch.column(c) for c in rest},
+            "n_bytes": pa.array(n_bytes, pa.int64()),
+            "n_removed": pa.array(n_removed, pa.int64()),
+            "n_spans": pa.array(n_spans, pa.int64()),
+            "kept": pa.array(kept, pa.binary()).cast(pa.string() if as_text else pa.binary()),
+        }
+    )
 
 
 def repeated_ranges(docs: DataFrame, window: int = 200) -> DataFrame:
@@ -393,12 +403,17 @@ def repeated_ranges(docs: DataFrame, window: int = 200) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, window: int = 200, carry: tuple[str, ...] = ("doc_id",)):
+def remove_repeats(
+    docs: DataFrame,
+    window: int = 200,
+    carry: tuple[str, ...] = ("doc_id",),
+    as_text: bool = False,
+) -> DataFrame:
     """Each row of ``docs`` without the bytes that ``window``-byte strings repeat.
 
     Returns the ``carry`` columns, n_bytes, n_removed, n_spans (maximal removed runs) and kept
-    (binary: the remaining bytes; a cut may fall inside a character). Strings are judged on
-    the input, overlaps count, and both places of a string lose it. Rows, not ids, are
+    (binary: the remaining bytes; a cut may fall inside a character; with ``as_text`` a string,
+    from which the bytes of such characters are gone). Strings are judged on the input, overlaps count, and both places of a string lose it. Rows, not ids, are
     documents: two rows with one text repeat each other. A missing text is empty; texts
     shorter than ``window`` stay whole; an empty table gives an empty result.
     """
@@ -416,6 +431,10 @@ def remove_repeats(docs: DataFrame, window: int = 200, carry: tuple[str, ...] =
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     return (
         named.join(removed, ["text_a", "text_b"], "left")
-        .mapInArrow(_apply, f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary")
+        .mapInArrow(
+            _apply(as_text),
+            f"{schema}, n_bytes long, n_removed long, n_spans long, "
+            f"kept {'string' if as_text else 'binary'}",
+        )
         .withColumnsRenamed({f"carry_{c}": c for c in carry})
     )

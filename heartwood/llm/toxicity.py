@@ -52,7 +52,7 @@ class Machine:
             np.add.at(total, owner, self.vectors[terms])
             np.add.at(square, owner, (self.vectors[terms] ** 2).sum(axis=1))
             z += 0.5 * ((total**2).sum(axis=1) - square)
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(z, -700, 40)))
 
 
 def text_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +170,8 @@ def train(labelled: DataFrame, terms: int = TERMS, sample: int = SAMPLE) -> Mach
     All rows decide which ``terms`` are known (the largest chi-squared statistics of their
     document counts); at most ``sample`` rows of each label, those with the smallest text
     hash, set the weights. Both bounds keep what reaches the driver small at any corpus size.
-    Without rows of both labels nothing is learnt and every score is one half.
+    Without rows of both labels nothing is learnt and every score is 0; without a telling term
+    every score is the share of toxic rows.
     """
     rows = labelled.where("toxic in (0, 1)").select(
         F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")
@@ -178,7 +179,7 @@ def train(labelled: DataFrame, terms: int = TERMS, sample: int = SAMPLE) -> Mach
     sums = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     empty = np.zeros(0, np.int64)
     if len(sums) < 2:
-        return Machine(empty, np.zeros(0), np.zeros((0, 1)), 0.0)
+        return Machine(empty, np.zeros(0), np.zeros((0, 1)), -np.inf)
     pos, neg = sums[1], sums[0]
     per_bucket = (
         rows.mapInArrow(_term_rows, "bucket long, clean int, toxic int")
@@ -201,6 +202,8 @@ def train(labelled: DataFrame, terms: int = TERMS, sample: int = SAMPLE) -> Mach
         .select("bucket")
     )
     buckets = np.array(sorted(r.bucket for r in known.collect()), np.int64)
+    if not len(buckets):
+        return Machine(empty, np.zeros(0), np.zeros((0, 1)), float(np.log(pos / neg)))
     some = [
         rows.where(F.col("toxic") == y).orderBy(F.xxhash64("text")).limit(sample)
         for y in (0, 1)

@@ -10,6 +10,7 @@ from heartwood.llm.minhash_dedup import (
     estimated_similarity,
     minhash,
     near_duplicates,
+    without_near_duplicates,
 )
 
 
@@ -64,7 +65,7 @@ def test_equals_brute_force(spark):
     docs = spark.createDataFrame(
         [(k, t, k, "x") for k, t in rows], "doc_id long, text string, node long, band string"
     ).repartition(3)
-    got = sorted(tuple(r) for r in near_duplicates(docs).collect())
+    got = sorted(tuple(r)[:4] for r in near_duplicates(docs).collect())
     assert got == sorted(brute(rows))
     assert sum(not k for *_, k in got) > 20
 
@@ -80,6 +81,18 @@ def test_repeated_rows_and_missing_ids(spark):
     ]
 
 
+def test_one_row_of_each_group_stays(spark):
+    text = "a b c d e f g"
+    docs = spark.createDataFrame(
+        [(4, text, 1), (4, text, 2), (5, text, 3), (None, "q r", 4), (None, "q r", 5), (6, "", 6),
+         (7, None, 7), (8, None, 8)],
+        "doc_id long, text string, _row int",
+    )
+    rows = without_near_duplicates(docs).collect()
+    assert sorted(str(r.doc_id) for r in rows) == ["4", "6", "7", "8", "None"]
+    assert rows[0].__fields__ == ["doc_id", "text", "_row"]
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -59,7 +59,7 @@ def test_missing_texts_labels_and_rows(spark):
     none = train(docs.select("text", F.lit(None).cast("int").alias("toxic")))
     got = score(docs, none)
     assert got.columns == ["doc_id", "text", "toxicity"]
-    assert {r.toxicity for r in got.collect()} == {0.5}
+    assert max(r.toxicity for r in got.collect()) < 1e-300
     assert score(docs.where("false"), none).count() == 0
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert scored_documents(docs, labels).count() == 3
