@@ -19,7 +19,6 @@ from heartwood.operators.workload import (
 from heartwood.functions import as_of_day
 from heartwood.plans.automation_run import standalone_summary
 from heartwood.plans.scoring_run import run_summary, score_tables
-from heartwood.session import cut_lineage
 from heartwood.sources.star_binding import CanonicalTables, known_by
 
 AS_OF = datetime(2001, 8, 15)
@@ -31,6 +30,7 @@ class Bound:
 
     def __init__(self, spark: SparkSession, directory: str):
         self.tables = CanonicalTables(spark, directory)
+        self.events = spark.read.parquet(f"{directory}/events.parquet")
 
     @cached_property
     def accounts(self) -> DataFrame:
@@ -40,16 +40,6 @@ class Bound:
     def tickets(self) -> DataFrame:
         return self.tables["support_tickets"]
 
-    def store_scores(self) -> Bound:
-        """Cut both snapshots off, for a query with many branches over them.
-
-        They are stored together, so that what they have in common is computed once.
-        """
-        self.history = cut_lineage(self.history)
-        self.scores = self.history.filter(F.col("score_date") == as_of_day(AS_OF))
-        self.previous_scores = self.history.filter(F.col("score_date") == as_of_day(PREVIOUS))
-        return self
-
     @cached_property
     def scores(self) -> DataFrame:
         return health.compute_health_scores(self.tables, AS_OF)
@@ -60,7 +50,13 @@ class Bound:
 
     @cached_property
     def history(self) -> DataFrame:
-        return self.previous_scores.unionByName(self.scores)
+        return health.compute_health_history(
+            [(known_by(self.tables, PREVIOUS), PREVIOUS), (self.tables, AS_OF)]
+        )
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return snapshots.pair_snapshots(self.history, as_of_day(AS_OF), as_of_day(PREVIOUS))
 
     @cached_property
     def account_health(self) -> DataFrame:
@@ -92,15 +88,15 @@ class Bound:
 
     @cached_property
     def newly_critical(self) -> DataFrame:
-        return snapshots.find_newly_critical(self.scores, self.previous_scores)
+        return snapshots.newly_critical_in(self.pairs)
 
     @cached_property
     def score_drops(self) -> DataFrame:
-        return snapshots.find_score_drops(self.scores, self.previous_scores)
+        return snapshots.score_drops_in(self.pairs)
 
     @cached_property
     def urgent(self) -> DataFrame:
-        return snapshots.urgent_action_items(self.actions, self.accounts, AS_OF)
+        return snapshots.due_actions(self.actions, self.accounts, AS_OF)
 
     @cached_property
     def report(self) -> DataFrame:
@@ -115,6 +111,21 @@ class Bound:
         return quality.run_checks(self.tables, quality.rules_of(*kinds)).drop("rule")
 
 
+def _event_usage(events: DataFrame) -> DataFrame:
+    """Every event as a usage row: many rows per day, and a ninth of them dealt to accounts of
+    three rows."""
+    few = F.lit(1_000_000_000) + F.floor(F.col("event_id") / 27)
+    pct = F.least(F.lit(100.0), "value").cast("decimal(5,2)")
+    return events.select(
+        F.col("event_id").alias("usage_id"),
+        F.when(F.col("event_id") % 9 == 0, few).otherwise(F.col("user_id")).alias("account_id"),
+        F.col("ts").cast("date").alias("usage_date"),
+        F.floor("value").cast("int").alias("sessions"),
+        F.length("event_type").alias("active_users"),
+        F.when(F.col("event_id") % 11 > 0, pct).alias("feature_usage_pct"),
+    )
+
+
 def _median_split(b: Bound) -> DataFrame:
     """Scores of 0 and 1 only, so quartile edges always coincide."""
     parity = F.col("open_tickets") % 2
@@ -123,7 +134,6 @@ def _median_split(b: Bound) -> DataFrame:
 
 
 def _workload_latest(b: Bound) -> DataFrame:
-    b.store_scores()
     def run(tables, scores, as_of):
         return score_tables(tables, scores, as_of)[1]
 
@@ -132,7 +142,6 @@ def _workload_latest(b: Bound) -> DataFrame:
 
 
 def _last_two_snapshots(b: Bound) -> DataFrame:
-    b.store_scores()
     current, previous = snapshots.current_and_previous_scores(b.history)
     return (
         current.withColumn("snapshot", F.lit("current"))
@@ -141,23 +150,19 @@ def _last_two_snapshots(b: Bound) -> DataFrame:
 
 
 def _changed_accounts(b: Bound) -> DataFrame:
-    b.store_scores()
     ids = snapshots.changed_accounts(b.newly_critical, b.score_drops)
     return snapshots.account_names(b.accounts, ids)
 
 
 def _run_summary(b: Bound) -> DataFrame:
-    b.scores = cut_lineage(b.scores)
     return b.summary
 
 
 def _standalone_summary(b: Bound) -> DataFrame:
-    b.scores = cut_lineage(b.scores)
     return standalone_summary(b.scores, b.actions)
 
 
 def _digest_lines(b: Bound) -> DataFrame:
-    b.store_scores()
     return digest.digest_lines(
         b.summary,
         b.newly_critical,
@@ -184,6 +189,7 @@ def _plain_numbers(df: DataFrame) -> DataFrame:
 DEFINITIONS: dict[str, Callable[[Bound], DataFrame]] = {
     # scoring
     "engagement_score": lambda b: health.score_engagement(b.tables["product_usage"]),
+    "engagement_score_events": lambda b: health.score_engagement(_event_usage(b.events)),
     "support_score": lambda b: health.score_support(b.tickets, AS_OF),
     "csat_nps_score": lambda b: health.score_csat_nps(b.tables["surveys"]),
     "onboarding_score": lambda b: health.score_onboarding(b.tables["customer_success"]),
@@ -225,8 +231,8 @@ DEFINITIONS: dict[str, Callable[[Bound], DataFrame]] = {
     # snapshots and digest
     "last_two_snapshots": _last_two_snapshots,
     "newly_critical": lambda b: b.newly_critical,
-    "score_drops": lambda b: b.score_drops,
-    "urgent_actions": lambda b: b.urgent,
+    "score_drops": lambda b: b.score_drops.orderBy(F.desc("drop"), "account_id"),
+    "urgent_actions": lambda b: snapshots.urgent_action_items(b.actions, b.accounts, AS_OF),
     "changed_accounts": _changed_accounts,
     "digest_lines": _digest_lines,
     "run_summary": _run_summary,

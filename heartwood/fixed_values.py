@@ -150,3 +150,8 @@ QUALITY_RULES = (
 )
 CRITICAL_ISSUE_PENALTY = 2
 WARNING_ISSUE_PENALTY = 1
+
+# --- sources ----------------------------------------------------------------
+
+# how common databases say that a table is not there
+ABSENT_TABLE_MESSAGES = ("does not exist", "doesn't exist", "no such table", "not found")

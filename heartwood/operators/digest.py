@@ -40,17 +40,21 @@ def _fixed_lines(summary: DataFrame, first_block: int, *lines: Column) -> DataFr
     return summary.select(F.inline(F.array(*rows)))
 
 
-def _listing(items: DataFrame, block: int, sort_value: Column, line: Column, none: str):
-    """One line per item, or the ``none`` line for an empty list."""
-    rows = items.select(
+def _listing(items: DataFrame, block: int, sort_value: Column, line: Column) -> DataFrame:
+    """One line per item."""
+    return items.select(
         F.lit(block).alias("block"),
         sort_value.cast("double").alias("sort_value"),
         "account_id",
         line.alias("line"),
     )
-    anything = items.select("account_id").limit(1).agg(F.count(F.lit(1)).alias("n"))
-    empty = anything.filter(F.col("n") == 0)
-    return rows.unionByName(_fixed_lines(empty, block, F.lit(none)))
+
+
+def _none_lines(summary: DataFrame, lists: DataFrame, texts: dict[int, str]) -> DataFrame:
+    """The text of each block in ``texts`` that has no line in ``lists``."""
+    present = lists.select("block").distinct()
+    lines = [_fixed_lines(summary, block, F.lit(text)) for block, text in texts.items()]
+    return reduce(DataFrame.unionByName, lines).join(present, "block", "left_anti")
 
 
 def digest_lines(
@@ -64,7 +68,7 @@ def digest_lines(
 ) -> DataFrame:
     """The document: ordered by block, sort_value and account_id, ``line`` is its text.
 
-    ``summary`` is the one-row run summary; the dates are literals or scalars, the
+    The lists come in any order, nothing below sorts. ``summary`` is the one-row run summary; the dates are literals or scalars, the
     previous one NULL on a first run.
     """
 
@@ -106,22 +110,23 @@ def digest_lines(
         "- **", F.col("company_name"), "** (", F.col("risk_level"), ") — ",
         F.col("recommended_action"), " — owner: ", F.col("owner"), " — due ", F.col("due_date"),
     )
+    lists = [
+        _listing(_bold_name(newly_critical, accounts), first_list, F.lit(0), critical_line),
+        _listing(_bold_name(score_drops, accounts), second_list, -F.col("drop"), drop_line),
+        _listing(urgent_actions, third_list, F.unix_date("due_date"), urgent_line),
+    ]
+    listed = reduce(DataFrame.unionByName, lists)
+    none = {
+        first_list: fixed.DIGEST_NEW_CRITICAL_NONE,
+        second_list: fixed.DIGEST_NONE,
+        third_list: fixed.DIGEST_NONE,
+    }
     parts = [
+        listed,
+        _none_lines(summary, listed, none),
         _fixed_lines(summary, 0, *head),
-        _listing(
-            _bold_name(newly_critical, accounts), first_list, F.lit(0),
-            critical_line, fixed.DIGEST_NEW_CRITICAL_NONE,
-        ),
         _fixed_lines(summary, first_list + 1, blank, F.lit(fixed.DIGEST_DROPS_HEADING)),
-        _listing(
-            _bold_name(score_drops, accounts), second_list, -F.col("drop"),
-            drop_line, fixed.DIGEST_NONE,
-        ),
         _fixed_lines(summary, second_list + 1, blank, F.lit(fixed.DIGEST_URGENT_HEADING)),
-        _listing(
-            urgent_actions, third_list, F.unix_date("due_date"),
-            urgent_line, fixed.DIGEST_NONE,
-        ),
         _fixed_lines(summary, third_list + 1, blank),
     ]
     return reduce(DataFrame.unionByName, parts)

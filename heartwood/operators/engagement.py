@@ -5,9 +5,9 @@ Ranking rows in a window per account would put all rows of an account into one t
 Instead rows are first summed per account and day (map-side combine, and spread by day),
 and the quarter boundaries are found on the days, of which there are only as many as
 calendar days. Where a boundary falls between rows of one day, the usage ids of just these
-days decide; a very full day is first narrowed down by leading bits of the ids, so that no
-group ordered in one task has more than 2^22 members. A row's index is linear in its
-metrics, so sums over rows are all it takes.
+days decide. They are placed by their leading bits, then the next ones, then the rest, so
+that no group ordered in one task has more than 2^22 members, however many rows a day has.
+A row's index is linear in its metrics, so sums over rows are all it takes.
 """
 
 from __future__ import annotations
@@ -22,9 +22,7 @@ from heartwood.functions import clip_score, np_round
 _METRICS = [name for name, _ in fixed.USAGE_WEIGHTS]
 _LAST_DAY = 2**31 - 1
 _LAST_ID = 2**63 - 1
-_FULL_DAY_ROWS = 2**20
 _ID_PREFIXES = {"id_top": 42, "id_middle": 21}  # column, bits shifted out
-_BUCKETS = 2**18
 
 
 def _usage_sums(rows: DataFrame, *keys: str) -> DataFrame:
@@ -113,18 +111,6 @@ def _split_days(marked: DataFrame) -> DataFrame:
     )
 
 
-def _sift(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose key shares a hash bucket with a wanted key.
-
-    The buckets are broadcast: never more than ``_BUCKETS`` integers, however many keys
-    are wanted. When none is, Spark leaves out all that is done with the rows.
-    """
-    # a mask and not a modulus: it is never NULL, so no filter on it is added to scans
-    bucket = F.xxhash64(*keys).bitwiseAND(F.lit(_BUCKETS - 1)).alias("bucket")
-    hit = wanted.select(bucket).distinct()
-    return rows.select("*", bucket).join(F.broadcast(hit), "bucket", "left_semi").drop("bucket")
-
-
 def _mark_days(sums: DataFrame) -> DataFrame:
     """Days with the account's means and their part in its first and last quarter."""
     by_day = _place(sums, ["account_id"], "day")
@@ -147,7 +133,7 @@ def _order_by_id(rows: DataFrame, split_days: DataFrame, *orders: str) -> DataFr
     among those that agree in the bits before, and offset by where these begin.
     """
     keys = ["account_id", "day"]
-    rows = _sift(rows, split_days, keys)
+    rows = rows.join(split_days.select(*keys), keys, "left_semi")
     begins = split_days.withColumn("offset", F.lit(0))
     carried = [name for name in begins.columns if name not in (*keys, "offset")]
     for order in orders:
@@ -179,22 +165,8 @@ def score_engagement(usage: DataFrame) -> DataFrame:
         *_METRICS,
         sum(missing, F.lit(0)).alias("missing"),
     )
-    sums = _usage_sums(rows, "account_id", "day")
-    days = _mark_days(sums)
-
-    # Only a day with several rows can be split: one with a count above 1, or with
-    # several sets of missing metrics. This reads all sums, so that it shares their
-    # shuffle; reading fewer columns would make it a scan and a shuffle of its own.
-    crowded = F.col("rows") > 1
-    for name in _METRICS:
-        crowded = crowded | F.col(name).isNull()
-    suspects = _usage_sums(_sift(rows, sums.filter(crowded), ["account_id"]), "account_id", "day")
-    split_days = _split_days(_mark_days(suspects))
-    full = F.col("split_rows") > _FULL_DAY_ROWS
-    split_rows = _order_by_id(rows, split_days.filter(~full), "usage_id").unionByName(
-        _order_by_id(rows, split_days.filter(full), *_ID_PREFIXES, "usage_id"),
-        allowMissingColumns=True,
-    )
+    days = _mark_days(_usage_sums(rows, "account_id", "day"))
+    split_rows = _order_by_id(rows, _split_days(days), *_ID_PREFIXES, "usage_id")
 
     ends = ["early_index", "late_index", "early_rows", "late_rows"]
     whole = _end_totals(days, divisible=False)

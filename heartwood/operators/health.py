@@ -5,8 +5,9 @@ Engagement, the one component that orders an account's rows, has its own module.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,20 +94,36 @@ def score_onboarding(customer_success: DataFrame) -> DataFrame:
 
 def compute_health_scores(tables: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
     """One row per account, scored as of ``as_of``; a missing component is neutral."""
-    components = [
-        score_engagement(tables["product_usage"]),
-        score_support(tables["support_tickets"], as_of),
-        score_csat_nps(tables["surveys"]),
-        score_onboarding(tables["customer_success"]),
+    return compute_health_history([(tables, as_of)])
+
+
+def compute_health_history(
+    snapshots: Sequence[tuple[Mapping[str, DataFrame], datetime]],
+) -> DataFrame:
+    """One row per account and snapshot, for snapshots that differ in tickets and surveys only.
+
+    Engagement and onboarding do not depend on the day: they are computed once, from the first
+    snapshot's tables, and joined to all of them.
+    """
+    tables, _ = snapshots[0]
+    dated = [
+        tables["accounts"]
+        .select("account_id")
+        .join(score_support(known["support_tickets"], as_of), "account_id", "left")
+        .join(score_csat_nps(known["surveys"]), "account_id", "left")
+        .withColumn("score_date", as_of_day(as_of))
+        for known, as_of in snapshots
     ]
-    scored = tables["accounts"].select("account_id")
-    for component in components:
-        scored = scored.join(component, "account_id", "left")
+    scored = (
+        reduce(DataFrame.unionByName, dated)
+        .join(score_engagement(tables["product_usage"]), "account_id", "left")
+        .join(score_onboarding(tables["customer_success"]), "account_id", "left")
+    )
 
     names = [name for name, _ in fixed.COMPONENT_WEIGHTS]
     scored = scored.select(
         "account_id",
-        as_of_day(as_of).alias("score_date"),
+        "score_date",
         *[F.coalesce(F.col(name), F.lit(fixed.NEUTRAL_SCORE)).alias(name) for name in names],
     )
     total = None

@@ -43,6 +43,42 @@ def current_and_previous_scores(
     return current.select(*columns, "risk_drivers"), earlier.select(*columns)
 
 
+def pair_snapshots(health_scores: DataFrame, newest: Column, previous: Column) -> DataFrame:
+    """One row per account with its scores in two snapshots, each NULL where it is not in it.
+
+    Takes both from one pass over the history, for a history that is dear to compute.
+    Snapshots have one row per account.
+    """
+    score = F.col("overall_score").cast("double")
+    columns = [c for c in health_scores.columns if c != "account_id"]
+    now = F.struct(*[score.alias(c) if c == "overall_score" else F.col(c) for c in columns])
+    before = F.struct("health_status", score.alias("overall_score"))
+    return health_scores.groupBy("account_id").agg(
+        F.max(F.when(F.col("score_date") == newest, now)).alias("current"),
+        F.max(F.when(F.col("score_date") == previous, before)).alias("previous"),
+    )
+
+
+def newly_critical_in(pairs: DataFrame) -> DataFrame:
+    """:func:`find_newly_critical` on paired snapshots."""
+    was_critical = F.col("previous.health_status").eqNullSafe("Critical")
+    return pairs.filter((F.col("current.health_status") == "Critical") & ~was_critical).select(
+        "account_id", "current.*"
+    )
+
+
+def score_drops_in(pairs: DataFrame) -> DataFrame:
+    """:func:`find_score_drops` on paired snapshots, in no order."""
+    lost = F.col("previous.overall_score") - F.col("current.overall_score")
+    return pairs.filter(lost >= fixed.SCORE_DROP_POINTS).select(
+        "account_id",
+        "current.*",
+        F.col("previous.health_status").alias("health_status_previous"),
+        F.col("previous.overall_score").alias("overall_score_previous"),
+        lost.alias("drop"),
+    )
+
+
 def find_newly_critical(current: DataFrame, previous: DataFrame) -> DataFrame:
     """Critical now and not Critical in the previous snapshot, or not in it at all."""
     critical = F.col("health_status") == "Critical"
@@ -73,6 +109,16 @@ def urgent_action_items(
     days_ahead: int = fixed.URGENT_DAYS_AHEAD,
 ) -> DataFrame:
     """Open actions due within the next days or overdue, earliest first."""
+    return due_actions(actions, accounts, as_of, days_ahead).orderBy("due_date", "account_id")
+
+
+def due_actions(
+    actions: DataFrame,
+    accounts: DataFrame,
+    as_of: datetime,
+    days_ahead: int = fixed.URGENT_DAYS_AHEAD,
+) -> DataFrame:
+    """:func:`urgent_action_items` in no order."""
     cutoff = F.date_add(as_of_day(as_of), days_ahead)
     due = actions.filter((F.col("due_date") <= cutoff) & (F.col("status") == "Open"))
     return (
@@ -85,7 +131,6 @@ def urgent_action_items(
             "owner",
             "due_date",
         )
-        .orderBy("due_date", "account_id")
     )
 
 

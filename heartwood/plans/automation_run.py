@@ -54,15 +54,18 @@ def generate_digest(
         raise RuntimeError("no health scores: run the scoring pipeline before the digest")
     newest = F.lit(dates[0])
     previous_date = F.lit(dates[1] if len(dates) > 1 else None).cast("date")
-    current, previous = snapshots.current_and_previous_scores(history, (newest, previous_date))
+    current, _ = snapshots.current_and_previous_scores(history, (newest, previous_date))
+    # the two dates are literals, so only their partitions are read
+    stored = history.filter(F.col("score_date").isin(dates))
+    pairs = snapshots.pair_snapshots(stored, newest, previous_date)
     actions = read_result(spark, root, "action_center")
     if summary is None:
         summary = standalone_summary(current, actions)
     lines = digest_lines(
         summary,
-        snapshots.find_newly_critical(current, previous),
-        snapshots.find_score_drops(current, previous),
-        snapshots.urgent_action_items(actions, accounts, as_of, fixed.URGENT_DAYS_AHEAD),
+        snapshots.newly_critical_in(pairs),
+        snapshots.score_drops_in(pairs),
+        snapshots.due_actions(actions, accounts, as_of, fixed.URGENT_DAYS_AHEAD),
         accounts,
         newest,
         previous_date,

@@ -69,13 +69,14 @@ def run_pipeline(
     Scores are computed once: everything after them reads the written snapshot, which
     also outlives a lost executor. Returns the one-row run summary.
     """
-    write_health_scores(compute_health_scores(tables, as_of), root)
+    day = as_of.date()
+    write_health_scores(compute_health_scores(tables, as_of), root, day)
     today = as_of_day(as_of)
     scores = read_result(spark, root, "health_scores").filter(F.col("score_date") == today)
 
     actions, workload = score_tables(tables, scores, as_of)
     write_action_center(actions, root)
-    write_csm_workload(workload, root)
+    write_csm_workload(workload, root, day)
 
     written = read_result(spark, root, "csm_workload").filter(F.col("run_date") == today)
     return run_summary(

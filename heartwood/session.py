@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -18,23 +16,25 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+MIB = 2**20
 GIB = 2**30
 TIB = 2**40
 
 
-def settings_for(input_bytes: int) -> dict[str, str]:
+def settings_for(
+    input_bytes: int, bytes_per_partition: int = 5 * GIB, split_bytes: int = 128 * MIB
+) -> dict[str, str]:
     """Split and shuffle sizes for raw tables of ``input_bytes`` in total.
 
     What is shuffled is pre-aggregated and has few columns, at most a twentieth of the
     input: one partition per 5 GiB of input receives about 256 MiB. Adaptive execution
-    joins small partitions, so the number may be generous; beyond 20,000 the blocks of
-    a shuffle get too many, which larger splits also hold down.
+    joins small partitions, so the number may be generous. Beyond some 100 TiB give larger
+    ``split_bytes`` and ``bytes_per_partition`` to hold down the number of tasks and blocks.
     """
-    partitions = min(max(-(-input_bytes // (5 * GIB)), 200), 20_000)
-    split = "512m" if input_bytes > 10 * TIB else "128m"
+    partitions = max(-(-input_bytes // bytes_per_partition), 200)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": split,
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
     }
 
 
@@ -57,17 +57,13 @@ def build_session(
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store the rows in the cluster's checkpoint folder and go on from there.
 
-    For a result that several branches of one query read. The folder is the one named in
-    ``spark.checkpoint.dir``. Only a session on one machine (tests) may do without: it
-    gets a folder of its own.
+    For a result that several steps read. The folder is the one named in
+    ``spark.checkpoint.dir``, which all executors have to share; without it this raises.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="heartwood-")
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heartwood import fixed_values as fixed
 from heartwood.sources import schemas
 
 
@@ -21,8 +22,8 @@ CSV_OPTIONS = {
 def _read_csv(spark: SparkSession, path: str, types: dict[str, str], options: dict):
     """Columns by the names in the header, so in any order; unknown ones are text.
 
-    In a folder of files all headers have to agree. A value that does not fit its type stops the read instead of becoming NULL. So does
-    a line break inside a value, unless ``multiLine`` is set (then a file is one split).
+    In a folder of files all headers have to agree. A value that does not fit its type stops
+    the read instead of becoming NULL. So does a line break inside a value, unless ``multiLine`` is set (then a file is one split).
     """
     settings = {**CSV_OPTIONS, "mode": "FAILFAST", "enforceSchema": False, **options}
     names = spark.read.options(**settings).csv(path).columns
@@ -37,6 +38,34 @@ def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
+def jdbc_options(name: str, options: dict) -> dict:
+    """Reader options for one table: the connection, and a read split by the table's key.
+
+    ``options`` has the connection and ``partitions``: for each table a dict of
+    numPartitions, lowerBound and upperBound (and partitionColumn, if not the table's first
+    column). The bounds only say how to split; rows outside them are read too. Without an entry
+    a whole table would come through one connection, which is an error.
+    """
+    split = options.get("partitions", {}).get(name)
+    needed = {"numPartitions", "lowerBound", "upperBound"}
+    if not split or not needed <= set(split):
+        raise ValueError(f"jdbc: give {', '.join(sorted(needed))} for {name} in 'partitions'")
+    key = next(iter(schemas.RAW_SCHEMAS[name]))
+    connection = {k: v for k, v in options.items() if k != "partitions"}
+    return {
+        "preferTimestampNTZ": True, **connection, "partitionColumn": key, **split, "dbtable": name
+    }
+
+
+def _is_absent(error: Exception) -> bool:
+    """Whether a read failed for want of the table; a database says so in its own words."""
+    if isinstance(error, AnalysisException):
+        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            return True
+    text = str(error).lower()
+    return any(t in text for t in ("sqlexception", "psqlexception")) and any(t in text for t in fixed.ABSENT_TABLE_MESSAGES)
+
+
 def _read(spark: SparkSession, name: str, location: str, fmt: str, options: dict):
     types = schemas.RAW_SCHEMAS[name]
     if fmt == "csv":
@@ -44,7 +73,7 @@ def _read(spark: SparkSession, name: str, location: str, fmt: str, options: dict
     if fmt == "table":
         return _typed(spark.table(f"{location}.{name}"), types)
     if fmt == "jdbc":
-        settings = {"preferTimestampNTZ": True, **options, "dbtable": name}
+        settings = jdbc_options(name, options)
         return _typed(spark.read.format("jdbc").options(**settings).load(), types)
     reader = spark.read.schema(schemas.ddl(types)).format(fmt).options(**options)
     return reader.load(f"{location}/{name}")
@@ -60,17 +89,16 @@ def load_tables(
     """The eight raw tables under ``location``.
 
     ``fmt`` is a file format (``parquet``, ``csv``, ``orc``, ...), ``table`` for
-    catalog tables of the database ``location``, or ``jdbc`` with the connection
-    (and ``partitionColumn``/``numPartitions`` for a parallel read) in ``options``.
+    catalog tables of the database ``location``, or ``jdbc`` with the connection and each
+    table's split in ``options`` (see :func:`jdbc_options`).
     With ``optional`` a table that is absent is left out of the dict.
     """
     tables = {}
     for name in schemas.RAW_SCHEMAS:
         try:
             tables[name] = _read(spark, name, location, fmt, options or {})
-        except AnalysisException as error:
-            absent = error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
-            if not (optional and absent):
+        except PySparkException as error:
+            if not (optional and _is_absent(error)):
                 raise
     return tables
 

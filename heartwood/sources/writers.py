@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,23 +46,25 @@ def export_csv(
         )
 
 
-def _replace_partition(df: DataFrame, root: str, name: str, partition: str) -> None:
-    (
-        conform(df, schemas.RESULT_SCHEMAS[name])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(f"{root}/{name}")
-    )
+def _replace_day(df: DataFrame, root: str, name: str, partition: str, day: date) -> None:
+    """The rows of ``day``, and no others, take the place of that day's partition.
+
+    The partition folder itself is overwritten, so a day that has no rows any more is empty
+    afterwards.
+    """
+    schema = schemas.RESULT_SCHEMAS[name]
+    rows = conform(df, schema).filter(F.col(partition) == F.lit(day)).drop(partition)
+    rows.write.mode("overwrite").parquet(f"{root}/{name}/{partition}={day.isoformat()}")
 
 
-def write_health_scores(scores: DataFrame, root: str) -> None:
-    """Replace the snapshot of the dates in ``scores``, keep the others."""
-    _replace_partition(scores, root, "health_scores", "score_date")
+def write_health_scores(scores: DataFrame, root: str, day: date) -> None:
+    """Replace the snapshot of ``day``, keep the others."""
+    _replace_day(scores, root, "health_scores", "score_date", day)
 
 
-def write_csm_workload(workload: DataFrame, root: str) -> None:
-    _replace_partition(workload, root, "csm_workload", "run_date")
+def write_csm_workload(workload: DataFrame, root: str, day: date) -> None:
+    """Replace the workload of ``day``, keep the others."""
+    _replace_day(workload, root, "csm_workload", "run_date", day)
 
 
 def write_action_center(actions: DataFrame, root: str) -> None:
@@ -80,7 +82,11 @@ def append_run(
     summary: Mapping | None = None,
     error_message: str | None = None,
 ) -> None:
-    """Add one audit row; a failed run has no metrics. The start time is its key."""
+    """Add one audit row; a failed run has no metrics.
+
+    Its key is the start time in microseconds: one writer at a time, runs started together
+    would share it.
+    """
     summary = summary or {}
     started = F.lit(started_at.isoformat(" ")).cast("timestamp_ntz")
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")

@@ -49,7 +49,8 @@ def test_last_two_snapshots(history):
 
 
 def test_stored_history_is_pruned_to_the_two_dates(spark, history, tmp_path):
-    write_health_scores(history, str(tmp_path))
+    for row in history.select("score_date").distinct().collect():
+        write_health_scores(history, str(tmp_path), row.score_date)
     stored = read_result(spark, str(tmp_path), "health_scores")
     dates = (F.lit(date(2024, 6, 1)), F.lit(date(2024, 5, 1)))
     for known in (dates, None):
@@ -85,6 +86,21 @@ def action(i, due, status="Open", **values):
             "risk_level": "Critical", "recommended_action": "act", **values}
 
 
+def test_pairs_give_the_same_as_two_snapshots(history):
+    current, previous = snapshots.current_and_previous_scores(history)
+    pairs = snapshots.pair_snapshots(
+        history, F.lit(date(2024, 6, 1)), F.lit(date(2024, 5, 1))
+    )
+    for one, two in (
+        (snapshots.find_newly_critical(current, previous), snapshots.newly_critical_in(pairs)),
+        (snapshots.find_score_drops(current, previous), snapshots.score_drops_in(pairs)),
+    ):
+        assert set(one.columns) <= set(two.columns)
+        assert sorted(map(str, one.collect())) == sorted(
+            map(str, two.select(*one.columns).collect())
+        )
+
+
 def test_urgent_actions(frames):
     accounts = frames.table("accounts", *[{"account_id": i, "company_name": "N"} for i in range(6)])
     actions = frames.table(

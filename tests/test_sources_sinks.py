@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -136,11 +136,17 @@ def scores(frames, day, *overall):
 
 def test_scores_are_replaced_by_date(spark, frames, tmp_path):
     root = str(tmp_path)
-    writers.write_health_scores(scores(frames, "2024-05-01", 1, 2, 3), root)
-    writers.write_health_scores(scores(frames, "2024-06-01", 4), root)
-    writers.write_health_scores(scores(frames, "2024-06-01", 5, 6), root)
+    may, june = date(2024, 5, 1), date(2024, 6, 1)
+    writers.write_health_scores(scores(frames, "2024-05-01", 1, 2, 3), root, may)
+    writers.write_health_scores(scores(frames, "2024-06-01", 4), root, june)
+    writers.write_health_scores(scores(frames, "2024-06-01", 5, 6), root, june)
     back = readers.read_result(spark, root, "health_scores")
     assert sorted(float(r.overall_score) for r in back.collect()) == [1, 2, 3, 5, 6]
+    # the day is written again without rows
+    writers.write_health_scores(scores(frames, "2024-06-01"), root, june)
+    back = readers.read_result(spark, root, "health_scores")
+    assert back.filter("score_date = '2024-06-01'").count() == 0
+    assert sorted(float(r.overall_score) for r in back.collect()) == [1, 2, 3]
 
 
 def test_actions_are_refreshed_and_workload_replaced_by_date(spark, frames, tmp_path):
@@ -152,10 +158,37 @@ def test_actions_are_refreshed_and_workload_replaced_by_date(spark, frames, tmp_
     for day, owner in (("2024-05-01", "x"), ("2024-06-01", "y"), ("2024-06-01", "z")):
         row = {"csm_owner": owner, "run_date": day, "workload_score": "123456789.5",
                "open_tickets": 2**40}
-        writers.write_csm_workload(frames.table("csm_workload", row), root)
+        writers.write_csm_workload(
+            frames.table("csm_workload", row), root, date.fromisoformat(day)
+        )
     back = readers.read_result(spark, root, "csm_workload")
     assert (float(back.first().workload_score), back.first().open_tickets) == (123456789.5, 2**40)
     assert sorted(r.csm_owner for r in back.collect()) == ["x", "z"]
+    writers.write_csm_workload(frames.table("csm_workload"), root, date(2024, 6, 1))
+    back = readers.read_result(spark, root, "csm_workload")
+    assert [r.csm_owner for r in back.collect()] == ["x"]
+
+
+def test_database_reads_are_split_by_table():
+    bounds = {"numPartitions": 64, "lowerBound": 0, "upperBound": 10**9}
+    options = {"url": "jdbc:x", "partitions": {name: bounds for name in schemas.RAW_SCHEMAS}}
+    options["partitions"]["surveys"] = {**bounds, "partitionColumn": "account_id"}
+    for name, columns in schemas.RAW_SCHEMAS.items():
+        got = readers.jdbc_options(name, options)
+        key = "account_id" if name == "surveys" else next(iter(columns))
+        assert got == {"preferTimestampNTZ": True, "url": "jdbc:x", "dbtable": name,
+                       "partitionColumn": key, **bounds}
+    for broken in ({"url": "x"}, {"partitions": {"accounts": {"numPartitions": 4}}}):
+        with pytest.raises(ValueError, match="accounts"):
+            readers.jdbc_options("accounts", broken)
+
+
+def test_absent_database_tables_are_recognised():
+    assert readers._is_absent(Exception('PSQLException: relation "x" does not exist'))
+    assert readers._is_absent(Exception("SQLSyntaxErrorException: Table 'd.x' doesn't exist"
+                                        " java.sql.SQLException"))
+    assert not readers._is_absent(Exception("java.sql.SQLException: connection refused"))
+    assert not readers._is_absent(Exception("file does not exist"))
 
 
 def test_audit_rows_are_appended(spark, tmp_path):
