@@ -80,6 +80,8 @@ RISK_ACTIONS = (
 )
 RENEWAL_WINDOW_DAYS = 60
 RENEWAL_URGENT_DUE_DAYS = 2
+# around the days to the renewal, after the action
+RENEWAL_NOTE = (" (renewal in ", " days)")
 RENEWAL_CYCLE_DAYS = 365
 
 # --- workload ---------------------------------------------------------------
@@ -102,6 +104,29 @@ URGENT_DAYS_AHEAD = 2
 DIGEST_TITLE = "# Customer Success Daily Digest — "
 DIGEST_COMPARED = "Compared against previous run: "
 DIGEST_FIRST_RUN = "none (first run)"
+# text before a figure, figure; text after the last one
+DIGEST_SUMMARY_LINES = (
+    (("- Data Quality Score: **", "data_quality_score"), "/100**"),
+    (("- Total accounts: ", "total_accounts"), ""),
+    (
+        (
+            "- Healthy: ", "healthy_count", " · Monitor: ", "monitor_count",
+            " · At Risk: ", "at_risk_count", " · Critical: ", "critical_count",
+        ),
+        "",
+    ),
+    (("- Open action items: ", "action_items_created"), ""),
+)
+DIGEST_STANDALONE_QUALITY = "N/A (standalone run)"
+# around name, score and drivers of a newly critical account
+DIGEST_CRITICAL_TEXTS = (" (score ", ") — ")
+# around name, previous and current score and the drop
+DIGEST_DROP_TEXTS = (": ", " -> ", " (-", ")")
+# around company, risk, action, owner and due date of an urgent action
+DIGEST_URGENT_TEXTS = ("- **", "** (", ") — ", " — owner: ", " — due ")
+DIGEST_NAME_TEXTS = ("- **", "**")
+DIGEST_UNKNOWN_ACCOUNT = "Account "
+DIGEST_MISSING = "None"
 DIGEST_SUMMARY_HEADING = "## Summary"
 DIGEST_NEW_CRITICAL_HEADING = "## Newly Critical Accounts"
 DIGEST_NEW_CRITICAL_NONE = (
@@ -148,6 +173,32 @@ QUALITY_RULES = (
     ("renewals", "duplicate", ("renewal_id",)),
     ("renewals", "orphan", ("account_id", "accounts", "account_id")),
 )
+# kind: severity, check name, detail after the count; numbers stand for the rule's arguments
+QUALITY_TEXTS = {
+    "missing": ("critical", "missing_{0}", " rows missing required field '{0}'"),
+    "duplicate": ("critical", "duplicate_primary_key", " duplicate values in '{0}'"),
+    "orphan": (
+        "critical",
+        "orphan_foreign_key",
+        " rows in {table} reference a non-existent {2}",
+    ),
+    "order": (
+        "critical",
+        "invalid_date_order_{0}_{1}",
+        " rows where {1} is earlier than {0}",
+    ),
+    "range": (
+        "warning",
+        "out_of_range_{0}",
+        " rows where {0} is outside expected range [{1}, {2}]",
+    ),
+    "status": (
+        "warning",
+        "status_date_mismatch_{0}",
+        " rows with status '{2}' but no {1}",
+    ),
+    "size": ("size", "records", " rows"),
+}
 CRITICAL_ISSUE_PENALTY = 2
 WARNING_ISSUE_PENALTY = 1
 

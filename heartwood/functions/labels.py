@@ -49,9 +49,8 @@ def renewal_is_near(days_to_renewal: Column) -> Column:
 
 def recommended_action(status: Column, days_to_renewal: Column) -> Column:
     action = _by_status(status, 1)
-    note = F.concat(
-        action, F.lit(" (renewal in "), days_to_renewal.cast("string"), F.lit(" days)")
-    )
+    before, after = (F.lit(text) for text in fixed.RENEWAL_NOTE)
+    note = F.concat(action, before, days_to_renewal.cast("string"), after)
     return F.when(renewal_is_near(days_to_renewal), note).otherwise(action)
 
 

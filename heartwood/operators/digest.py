@@ -13,17 +13,16 @@ from heartwood.functions import whole_number_text
 
 def _text(value: Column) -> Column:
     """A missing value prints as None."""
-    return F.coalesce(value.cast("string"), F.lit("None"))
+    return F.coalesce(value.cast("string"), F.lit(fixed.DIGEST_MISSING))
 
 
 def _bold_name(listed: DataFrame, accounts: DataFrame) -> DataFrame:
     """Adds ``name``: the company, or ``Account <id>`` for an unknown account."""
     names = accounts.select("account_id", _text(F.col("company_name")).alias("_name"))
-    fallback = F.concat(F.lit("Account "), F.col("account_id").cast("string"))
+    fallback = F.concat(F.lit(fixed.DIGEST_UNKNOWN_ACCOUNT), F.col("account_id").cast("string"))
     named = listed.join(names, "account_id", "left")
-    return named.withColumn(
-        "name", F.concat(F.lit("- **"), F.coalesce("_name", fallback), F.lit("**"))
-    )
+    before, after = (F.lit(text) for text in fixed.DIGEST_NAME_TEXTS)
+    return named.withColumn("name", F.concat(before, F.coalesce("_name", fallback), after))
 
 
 def _fixed_lines(summary: DataFrame, first_block: int, *lines: Column) -> DataFrame:
@@ -84,15 +83,10 @@ def digest_lines(
         both(fixed.DIGEST_COMPARED, compared),
         blank,
         F.lit(fixed.DIGEST_SUMMARY_HEADING),
-        both("- Data Quality Score: **", F.col("data_quality_score"), "/100**"),
-        both("- Total accounts: ", F.col("total_accounts")),
-        both(
-            "- Healthy: ", F.col("healthy_count"),
-            " · Monitor: ", F.col("monitor_count"),
-            " · At Risk: ", F.col("at_risk_count"),
-            " · Critical: ", F.col("critical_count"),
-        ),
-        both("- Open action items: ", F.col("action_items_created")),
+        *[
+            both(*[F.col(p) if k % 2 else p for k, p in enumerate(parts)], end)
+            for parts, end in fixed.DIGEST_SUMMARY_LINES
+        ],
         blank,
         F.lit(fixed.DIGEST_NEW_CRITICAL_HEADING),
     ]
@@ -101,14 +95,15 @@ def digest_lines(
     third_list = second_list + 3
 
     score = whole_number_text(F.col("overall_score"))
-    critical_line = both(F.col("name"), " (score ", score, ") — ", F.col("risk_drivers"))
-    drop_line = both(
-        F.col("name"), ": ", whole_number_text(F.col("overall_score_previous")),
-        " -> ", score, " (-", whole_number_text(F.col("drop")), ")",
-    )
+    name, before = F.col("name"), whole_number_text(F.col("overall_score_previous"))
+    texts = fixed.DIGEST_CRITICAL_TEXTS
+    critical_line = both(name, texts[0], score, texts[1], F.col("risk_drivers"))
+    texts = fixed.DIGEST_DROP_TEXTS
+    drop = whole_number_text(F.col("drop"))
+    drop_line = both(name, texts[0], before, texts[1], score, texts[2], drop, texts[3])
+    shown = ("company_name", "risk_level", "recommended_action", "owner", "due_date")
     urgent_line = both(
-        "- **", F.col("company_name"), "** (", F.col("risk_level"), ") — ",
-        F.col("recommended_action"), " — owner: ", F.col("owner"), " — due ", F.col("due_date"),
+        *[p for text, c in zip(fixed.DIGEST_URGENT_TEXTS, shown) for p in (text, F.col(c))]
     )
     lists = [
         _listing(_bold_name(newly_critical, accounts), first_list, F.lit(0), critical_line),

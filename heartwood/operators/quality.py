@@ -1,9 +1,9 @@
 """Data-quality checks, the issue report and the quality score.
 
-Checks come as rows (table, check, severity, record_count, detail). All row checks of
-a table share one aggregate over it; all orphan checks against one parent share one
-shuffle on the key, after counting per key; duplicates are counted per key. So no check
-moves rows before they are aggregated, and a key that owns much of a table is one row.
+Checks come as rows (table, check, severity, record_count, detail). All orphan checks against
+one parent share one shuffle on the key, after counting per key, and the row checks of the child
+tables are counted along; duplicates are counted per key too. So no check moves rows before they
+are aggregated, and a key that owns much of a table is one row.
 """
 
 from __future__ import annotations
@@ -19,35 +19,20 @@ from heartwood.functions import count_where, py_round
 
 CRITICAL, WARNING, SIZE = "critical", "warning", "size"
 Rule = tuple[str, str, tuple]
+Numbered = tuple[int, Rule]
 
 
 def _check_name(kind: str, args: tuple) -> str:
-    return {
-        "missing": "missing_{0}",
-        "duplicate": "duplicate_primary_key",
-        "orphan": "orphan_foreign_key",
-        "order": "invalid_date_order_{0}_{1}",
-        "range": "out_of_range_{0}",
-        "status": "status_date_mismatch_{0}",
-        "size": "records",
-    }[kind].format(*args)
+    return fixed.QUALITY_TEXTS[kind][1].format(*args)
 
 
 def _severity(kind: str) -> str:
-    return {"range": WARNING, "status": WARNING, "size": SIZE}.get(kind, CRITICAL)
+    return fixed.QUALITY_TEXTS[kind][0]
 
 
 def _detail(table: str, kind: str, args: tuple) -> str:
     """The text that follows the count."""
-    return {
-        "missing": " rows missing required field '{0}'",
-        "duplicate": " duplicate values in '{0}'",
-        "orphan": " rows in {table} reference a non-existent {2}",
-        "order": " rows where {1} is earlier than {0}",
-        "range": " rows where {0} is outside expected range [{1}, {2}]",
-        "status": " rows with status '{2}' but no {1}",
-        "size": " rows",
-    }[kind].format(*args, table=table)
+    return fixed.QUALITY_TEXTS[kind][2].format(*args, table=table)
 
 
 def _row_predicate(kind: str, args: tuple) -> Column:
@@ -62,7 +47,7 @@ def _row_predicate(kind: str, args: tuple) -> Column:
     return F.lit(True)
 
 
-def _as_check_rows(counts: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+def _as_check_rows(counts: DataFrame, rules: Sequence[Numbered]) -> DataFrame:
     """One row per rule from a one-row frame with a column ``c<number>`` for each."""
     rows = []
     for number, (table, kind, args) in rules:
@@ -80,51 +65,71 @@ def _as_check_rows(counts: DataFrame, rules: Sequence[tuple[int, Rule]]) -> Data
     return counts.select(F.inline(F.array(*rows)))
 
 
-def _row_checks(df: DataFrame, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
-    counts = df.agg(
-        *[
-            count_where(_row_predicate(kind, args)).alias(f"c{number}")
-            for number, (_, kind, args) in rules
-        ]
-    )
-    return _as_check_rows(counts, rules)
+def _row_counts(rules: Sequence[Numbered]) -> list[Column]:
+    return [
+        count_where(_row_predicate(kind, args)).alias(f"c{number}")
+        for number, (_, kind, args) in rules
+    ]
+
 
+def _row_checks(df: DataFrame, rules: Sequence[Numbered]) -> DataFrame:
+    return _as_check_rows(df.agg(*_row_counts(rules)), rules)
 
-def _duplicate_check(df: DataFrame, rule: tuple[int, Rule]) -> DataFrame:
-    """Rows beyond the first of each key; NULL keys duplicate each other."""
+
+def _duplicate_check(df: DataFrame, rule: Numbered, row_rules: Sequence[Numbered]) -> DataFrame:
+    """Rows beyond the first of each key; NULL keys duplicate each other.
+
+    ``row_rules`` of the table are counted on the way.
+    """
     number, (_, _, (key,)) = rule
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return _as_check_rows(per_key.agg(F.sum(F.col("rows") - 1).alias(f"c{number}")), [rule])
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), *_row_counts(row_rules))
+    totals = per_key.agg(
+        F.sum(F.col("rows") - 1).alias(f"c{number}"),
+        *[F.sum(f"c{n}").alias(f"c{n}") for n, _ in row_rules],
+    )
+    return _as_check_rows(totals, [rule, *row_rules])
 
 
 def _orphan_checks(
-    tables: Mapping[str, DataFrame], rules: Sequence[tuple[int, Rule]]
+    tables: Mapping[str, DataFrame],
+    rules: Sequence[Numbered],
+    row_rules: Mapping[str, Sequence[Numbered]],
 ) -> DataFrame:
     """Child rows whose key no parent row has; a NULL key matches a NULL parent key.
 
-    All rules given refer to one parent table and key.
+    All rules given refer to one parent table and key. The ``row_rules`` of the children are
+    counted on the way, so a child is read once.
     """
     _, (_, _, (_, parent_table, parent_key)) = rules[0]
-    parent = tables[parent_table]
-    references = reduce(
-        DataFrame.unionByName,
-        [
-            tables[table].select(F.col(args[0]).alias("reference"), F.lit(number).alias("rule"))
-            for number, (table, _, args) in rules
-        ],
-    )
-    per_key = references.groupBy("reference").agg(
-        *[count_where(F.col("rule") == number).alias(f"c{number}") for number, _ in rules]
+    left = dict(row_rules)
+    counted = [*rules, *[entry for own in row_rules.values() for entry in own]]
+    children = []
+    for number, (table, _, args) in rules:
+        here = {number: F.lit(True)}
+        here.update({n: _row_predicate(kind, a) for n, (_, kind, a) in left.pop(table, ())})
+        children.append(
+            tables[table].select(
+                F.col(args[0]).alias("reference"),
+                *[F.coalesce(here.get(n, F.lit(False)), F.lit(False)).alias(f"c{n}")
+                  for n, _ in counted],
+            )
+        )
+    per_key = (
+        reduce(DataFrame.unionByName, children)
+        .groupBy("reference")
+        .agg(*[count_where(F.col(f"c{n}")).alias(f"c{n}") for n, _ in counted])
     )
-    orphans = per_key.join(
-        parent.select(F.col(parent_key).alias("reference")), "reference", "left_anti"
+    present = tables[parent_table].select(F.col(parent_key).alias("key")).distinct()
+    present = present.withColumn("present", F.lit(True))
+    orphan = {n for n, _ in rules}
+    lost = F.col("present").isNull()
+    totals = per_key.join(present, F.col("reference").eqNullSafe(F.col("key")), "left").agg(
+        *[
+            F.sum(F.when(lost, F.col(f"c{n}")) if n in orphan else F.col(f"c{n}")).alias(f"c{n}")
+            for n, _ in counted
+        ]
     )
-    parent_has_null = parent.agg(
-        F.coalesce(F.bool_or(F.col(parent_key).isNull()), F.lit(False)).alias("has_null")
-    ).scalar()
-    orphans = orphans.filter(F.col("reference").isNotNull() | ~parent_has_null)
-    totals = orphans.agg(*[F.sum(f"c{number}").alias(f"c{number}") for number, _ in rules])
-    return _as_check_rows(totals, rules)
+    return _as_check_rows(totals, counted)
 
 
 def _applies(tables: Mapping[str, DataFrame], rule: Rule) -> bool:
@@ -144,20 +149,28 @@ def run_checks(
 ) -> DataFrame:
     """The count of every applicable rule, zero counts included."""
     numbered = [(n, rule) for n, rule in enumerate(rules) if _applies(tables, rule)]
-    by_kind: dict[str, list] = {"row": [], "duplicate": [], "orphan": []}
+    row: dict[str, list[Numbered]] = {}
+    duplicate: list[Numbered] = []
+    orphan: dict[tuple, list[Numbered]] = {}
     for entry in numbered:
-        kind = entry[1][1]
-        by_kind[kind if kind in by_kind else "row"].append(entry)
-
+        table, kind, args = entry[1]
+        if kind == "duplicate":
+            duplicate.append(entry)
+        elif kind == "orphan":
+            orphan.setdefault(args[1:], []).append(entry)
+        else:
+            row.setdefault(table, []).append(entry)
+
+    # row rules ride on a scan that their table needs anyway, one of their foreign key if any
     parts = []
-    for table in dict.fromkeys(rule[0] for _, rule in by_kind["row"]):
-        own = [entry for entry in by_kind["row"] if entry[1][0] == table]
-        parts.append(_row_checks(tables[table], own))
-    for entry in by_kind["duplicate"]:
-        parts.append(_duplicate_check(tables[entry[1][0]], entry))
-    for parent in dict.fromkeys(rule[2][1:] for _, rule in by_kind["orphan"]):
-        own = [entry for entry in by_kind["orphan"] if entry[1][2][1:] == parent]
-        parts.append(_orphan_checks(tables, own))
+    for rules in orphan.values():
+        own = {t: row.pop(t) for t in dict.fromkeys(r[0] for _, r in rules) if t in row}
+        parts.append(_orphan_checks(tables, rules, own))
+    for entry in duplicate:
+        table = entry[1][0]
+        parts.append(_duplicate_check(tables[table], entry, row.pop(table, [])))
+    for table, rules in row.items():
+        parts.append(_row_checks(tables[table], rules))
     return reduce(DataFrame.unionByName, parts)
 
 

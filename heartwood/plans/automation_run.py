@@ -30,7 +30,7 @@ def standalone_summary(current: DataFrame, actions: DataFrame) -> DataFrame:
         count_where(status == "Critical").alias("critical_count"),
     )
     return counts.select(
-        F.lit("N/A (standalone run)").alias("data_quality_score"),
+        F.lit(fixed.DIGEST_STANDALONE_QUALITY).alias("data_quality_score"),
         "*",
         action_count.scalar().alias("action_items_created"),
     )
