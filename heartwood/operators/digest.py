@@ -25,16 +25,16 @@ def _bold_name(listed: DataFrame, accounts: DataFrame) -> DataFrame:
     return named.withColumn("name", F.concat(before, F.coalesce("_name", fallback), after))
 
 
-def _fixed_lines(summary: DataFrame, first_block: int, *lines: Column) -> DataFrame:
-    """Lines of the one-row ``summary``, one block each."""
+def _fixed_lines(summary: DataFrame, lines: dict[int, Column]) -> DataFrame:
+    """Lines of the one-row ``summary`` by block."""
     rows = [
         F.struct(
-            F.lit(first_block + i).alias("block"),
+            F.lit(block).alias("block"),
             F.lit(0.0).alias("sort_value"),
             F.lit(0).cast("bigint").alias("account_id"),
             line.alias("line"),
         )
-        for i, line in enumerate(lines)
+        for block, line in lines.items()
     ]
     return summary.select(F.inline(F.array(*rows)))
 
@@ -49,11 +49,12 @@ def _listing(items: DataFrame, block: int, sort_value: Column, line: Column) ->
     )
 
 
-def _none_lines(summary: DataFrame, lists: DataFrame, texts: dict[int, str]) -> DataFrame:
+def _none_lines(lists: DataFrame, texts: dict[int, str]) -> DataFrame:
     """The text of each block in ``texts`` that has no line in ``lists``."""
+    one = lists.sparkSession.range(1)
     present = lists.select("block").distinct()
-    lines = [_fixed_lines(summary, block, F.lit(text)) for block, text in texts.items()]
-    return reduce(DataFrame.unionByName, lines).join(present, "block", "left_anti")
+    lines = _fixed_lines(one, {block: F.lit(text) for block, text in texts.items()})
+    return lines.join(present, "block", "left_anti")
 
 
 def digest_lines(
@@ -116,12 +117,12 @@ def digest_lines(
         second_list: fixed.DIGEST_NONE,
         third_list: fixed.DIGEST_NONE,
     }
-    parts = [
-        listed,
-        _none_lines(summary, listed, none),
-        _fixed_lines(summary, 0, *head),
-        _fixed_lines(summary, first_list + 1, blank, F.lit(fixed.DIGEST_DROPS_HEADING)),
-        _fixed_lines(summary, second_list + 1, blank, F.lit(fixed.DIGEST_URGENT_HEADING)),
-        _fixed_lines(summary, third_list + 1, blank),
-    ]
+    fixed_lines = dict(enumerate(head)) | {
+        first_list + 1: blank,
+        first_list + 2: F.lit(fixed.DIGEST_DROPS_HEADING),
+        second_list + 1: blank,
+        second_list + 2: F.lit(fixed.DIGEST_URGENT_HEADING),
+        third_list + 1: blank,
+    }
+    parts = [listed, _none_lines(listed, none), _fixed_lines(summary, fixed_lines)]
     return reduce(DataFrame.unionByName, parts)
