@@ -142,14 +142,14 @@ def dropped_lines(
         .mapInArrow(_stream(keep_first, min_docs), _FOUND)
     )
     place = F.struct("doc_id", "text_a", "text_b", "pos")
-    # two rows a partition at most
+    # two rows a partition at most, whatever the input: fit to be broadcast
     totals = (
         found.where("open and note")
         .groupBy("key_a", "key_b")
         .agg(F.sum("docs").alias("total"), F.min(place).alias("first"))
         .where(F.col("total") >= min_docs)
     )
-    late = found.where("open and not note").join(totals, ["key_a", "key_b"])
+    late = found.where("open and not note").join(F.broadcast(totals), ["key_a", "key_b"])
     if keep_first:
         late = late.where(~place.eqNullSafe(F.col("first")))
     columns = ["doc_id", "text_a", "text_b", "pos"]
