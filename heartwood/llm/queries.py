@@ -218,7 +218,9 @@ WITH RECURSIVE words AS (
            '[^\x20\x09-\x0D]+') AS w FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s
+    ELSE list_distinct(list_transform(
+      list_zip(w, w[2:], w[3:], w[4:], w[5:])[:len(w) - 4],
+      lambda x: x[1] || ' ' || x[2] || ' ' || x[3] || ' ' || x[4] || ' ' || x[5])) END AS s
   FROM words
 ), shingles AS (SELECT doc_id, unnest(s) AS g FROM sets
 ), shared AS (
