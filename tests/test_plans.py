@@ -141,3 +141,19 @@ def test_support_aggregates_before_the_shuffle_and_reads_what_it_needs(spark):
 @on_test_tables
 def test_filter_reaches_the_scan(spark):
     assert "EqualTo(o_orderstatus,F)" in plan(spark, "latest_survey")
+
+
+@on_test_tables
+@pytest.mark.parametrize(
+    "name, most",
+    [("engagement_score", 8), ("account_health", 33), ("newly_critical", 24), ("dq_issues", 23)],
+)
+def test_tables_are_not_read_over_and_over(spark, name, most):
+    df = registered_queries()[name](spark, str(DIRECTORY))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= most
+
+
+@on_test_tables
+def test_nothing_is_sorted_below_the_digest(spark):
+    df = registered_queries()["digest_lines"](spark, str(DIRECTORY))
+    assert "Sort [" not in df._jdf.queryExecution().optimizedPlan().toString()
