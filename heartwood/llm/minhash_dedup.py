@@ -10,8 +10,9 @@
 4. Each class is confirmed against the pivot nearest by sketch, on full sets. That settles
    most of a group without its pairs, and confirmed links form components.
 5. In buckets that still hold several components, members outside the largest one are compared
-   with all others by sketch. Their nearest candidates in other components are confirmed, in
-   rounds of growing numbers; the last round takes all that are left.
+   with all members of other components: by sketch, and on full sets where that leaves a chance,
+   nearest first and only until two components are joined. A pair is tried in the first bucket
+   it shares. Full sets come to the bucket once for each member, not for each pair.
 """
 
 from __future__ import annotations
@@ -33,10 +34,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: four times the estimate's standard deviation at 0.75
 SLACK = 0.15
-#: candidates tried per class and bucket in the rounds that join what is still apart
-ROUNDS = (4, 64, None)
-#: members of a bucket that meet in one task
-MEMBERS = 8192
+#: members of a bucket on either side of a comparison in one task
+MEMBERS = 2048
 BLOCK = 1 << 19
 
 _SALTS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -173,46 +172,66 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _nearest_apart(least: float, most: int | None):
-    """Arrow function on members of a bucket outside its main component and all members of one of
-    its blocks: pairs of different components, the nearest by sketch first."""
+def _links_across(least: float, percent: int):
+    """Arrow function on members of a bucket outside its main component and members of it all:
+    confirmed links that join different components."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_a, out_b = [], []
+    def lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+        return [x.values.to_numpy() for x in column.combine_chunks()]
+
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple[int, int]] = []
         if left.num_rows and right.num_rows:
-            sides = []
-            for table in (left, right):
-                sketch = table.column("sketch").combine_chunks().flatten().to_numpy()
-                sides.append(
-                    (
-                        table.column("node").to_numpy(),
-                        table.column("inside").to_numpy(),
-                        sketch.view(np.uint64).reshape(table.num_rows, -1),
-                    )
-                )
-            (node, inside, sketch), (others, of, bits) = sides
+            band = key[0].as_py()
+            node, inside = (left.column(c).to_pylist() for c in ("node", "inside"))
+            others = right.column("node").to_pylist()
+            of = right.column("inside").to_numpy()
+            bits = np.stack(lists(right.column("sketch"))).view(np.uint64)
+            bands = np.stack(lists(right.column("bands")))
+            sets, own_sets = lists(right.column("shingles")), lists(left.column("shingles"))
+            sketches, own_bands = lists(left.column("sketch")), lists(left.column("bands"))
+            root: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while root.setdefault(x, x) != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+
             for i in range(len(node)):
-                ones = np.bitwise_count(bits ^ sketch[i]).sum(axis=1)
-                far = 1 - 2 * ones / SKETCH_BITS
-                near = 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(np.maximum(far, 1e-9))
-                at = np.flatnonzero((near >= least) & (of != inside[i]))
-                if most is not None and len(at) > most:
-                    at = at[np.lexsort((others[at], -near[at]))[:most]]
-                out_a.append(np.full(len(at), node[i]))
-                out_b.append(others[at])
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+                ones = np.bitwise_count(bits ^ sketches[i].view(np.uint64)).sum(axis=1)
+                near = 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(
+                    np.maximum(1 - 2 * ones / SKETCH_BITS, 1e-9)
+                )
+                first = (bands == own_bands[i]).argmax(axis=1)
+                here = own_bands[i][first] == band
+                at = np.flatnonzero((near >= least) & (of != inside[i]) & here)
+                for x in at[np.argsort(-near[at], kind="stable")].tolist():
+                    p, q = find(inside[i]), find(int(of[x]))
+                    if p == q:
+                        continue
+                    both = len(np.intersect1d(own_sets[i], sets[x], assume_unique=True))
+                    union = len(own_sets[i]) + len(sets[x]) - both
+                    if 100 * both >= percent * union:
+                        root[p] = q
+                        out.append((node[i], others[x]))
+        return pa.table(
+            {
+                "a": pa.array([max(e) for e in out], pa.int64()),
+                "b": pa.array([min(e) for e in out], pa.int64()),
+            }
+        )
 
     return run
 
 
 def _across(
-    members: DataFrame, sketches: DataFrame, linked: DataFrame, least: float, most: int | None
+    members: DataFrame, facts: DataFrame, linked: DataFrame, least: float, percent: int
 ) -> DataFrame:
-    """Candidate pairs (a, b) of a bucket that lie in different components.
+    """Confirmed links (a, b) between different components that share a bucket.
 
-    A bucket is dealt to blocks of members; those outside its main component go to each block.
+    ``facts`` has node, sketch, bands and shingles. Both sides of a bucket, members outside its
+    main component and all members, are dealt to blocks, and every two blocks meet.
     """
     placed = (
         members.select("band", "node")
@@ -226,25 +245,46 @@ def _across(
         .agg(
             F.max_by("inside", F.struct("n", "inside")).alias("home"),
             F.ceil(F.sum("n") / MEMBERS).cast("int").alias("blocks"),
+            F.ceil((F.sum("n") - F.max("n")) / MEMBERS).cast("int").alias("own_blocks"),
             F.count("*").alias("parts"),
         )
         .where("parts > 1")
     )
-    there = placed.join(mixed, "band").join(sketches, "node")
-    apart = there.where("inside <> home").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    )
-    every = there.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    columns = ["band", "block", "node", "inside", "sketch"]
+    there = placed.join(mixed, "band").join(facts, "node")
+
+    def dealt(rows: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        return rows.withColumn(
+            own, F.pmod(F.xxhash64("node", F.lit(1)), F.col(own_n)).cast("int")
+        ).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
+
+    apart = dealt(there.where("inside <> home"), "own_block", "own_blocks", "block", "blocks")
+    every = dealt(there, "block", "blocks", "own_block", "own_blocks")
+    key = ["band", "block", "own_block"]
+    columns = [*key, "node", "inside", "sketch", "bands", "shingles"]
     return (
         apart.select(*[F.col(c).alias(c) for c in columns])  # both sides come from one frame
-        .groupBy("band", "block")
-        .cogroup(every.select(*columns).groupBy("band", "block"))
-        .applyInArrow(_nearest_apart(least, most), "a long, b long")
+        .groupBy(*key)
+        .cogroup(every.select(*columns).groupBy(*key))
+        .applyInArrow(_links_across(least, percent), "a long, b long")
         .distinct()
     )
 
 
+def _joined(linked: DataFrame, links: DataFrame) -> DataFrame:
+    """``linked`` (node, component) after further links; only components become nodes of a graph."""
+    of = linked.toDF("node", "inside")
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(of, F.col(end) == F.col("node"), "left").select(
+            *[F.coalesce("inside", c).alias(c) if c == end else c for c in ("a", "b")]
+        )
+    merged = components(ends)
+    moved = of.join(merged.toDF("inside", "component"), "inside", "left").select(
+        "node", F.coalesce("component", "inside").alias("component")
+    )
+    return store(moved.union(merged))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """Each row's near-duplicate component: doc_id, n_shingles, component_id, kept, and the two
     hashes that name its text.
@@ -302,14 +342,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
 
     best = candidates.groupBy("a").agg(F.max_by("b", F.struct("similar", "b")).alias("b"))
-    links = store(_confirmed(best, sets, percent))
-    linked = components(links)
-    for most in ROUNDS:
-        tries = store(_across(members, sketches, linked, least, most))
-        if tries.isEmpty():
-            break
-        links = store(links.union(_confirmed(tries, sets, percent)))
-        linked = components(links)
+    linked = components(_confirmed(best, sets, percent))
+    facts = classes.select("node", "sketch", "bands").join(sets, "node")
+    across = store(_across(members, facts, linked, least, percent))
+    if not across.isEmpty():
+        linked = _joined(linked, across)
 
     return (
         signed.withColumn("node", F.when(F.col("n_shingles") > 0, F.col("set_a")))
