@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: entries of a task's word table; a full table starts anew
-WORDS = 400_000
+#: entries of a task's word table; a full table keeps its short words only
+WORDS = 500_000
 #: an unknown character scores this much less than the worst piece
 UNKNOWN_PENALTY = 10.0
 
@@ -107,14 +107,11 @@ class PieceCodec:
         text = self.file.normalize(text)
         if not self.by_words:
             return np.array(self.segment(text), "<i4").tobytes()
-        table, words = self.table, self.words.findall(text)
-        try:
-            return b"".join([table[w] for w in words])
-        except KeyError:
-            pass
-        if len(table) > WORDS:
-            table.clear()
-        missing = {w for w in words if w not in table}
+        words = self.words.findall(text)
+        if len(self.table) > WORDS:  # short words are the common ones
+            self.table = {w: x for w, x in self.table.items() if len(w) <= 8}
+        table = self.table
+        missing = set(words).difference(table)
         for w in missing:
             table[w] = np.array(self.segment(w), "<i4").tobytes()
         ids = b"".join([table[w] for w in words])
