@@ -12,6 +12,7 @@ the pieces of its length.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 
 from heartwood.llm.common import store
 
-#: entries of a task's word table; a full table starts anew
-WORDS = 400_000
+#: entries of a task's word table; a full table keeps its short words only
+WORDS = 500_000
+#: texts that are encoded together
+TEXTS = 64
 #: pieces of one length are ranked in so many separate groups
 SALTS = 64
 
@@ -33,10 +36,15 @@ SALTS = 64
 class WordTokens:
     """Token ids of texts, by a table of the words met so far.
 
-    The tokenizer has to drop white space and to keep no state across it; then the ids of a
-    text are those of its space-separated words in turn.
+    The tokenizer has to drop white space, to keep no state across it, to lower-case, and to take
+    letters and digits apart from other characters; then the ids of a text are those of its
+    space-separated words in turn, and a full stop or comma after a letter or digit and before a
+    space is a word of its own.
     """
 
+    #: stops and commas that belong to a longer run of other characters
+    runs = re.compile(r"[^\w\s][.,]|_[.,]")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
@@ -44,28 +52,38 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.table: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+    def words(self, text: str) -> list[str]:
+        # of bytes, lower() changes A-Z only; special tokens are in lower case
+        text = text.encode().lower().decode().replace("\n", " ").replace("\t", " ") + " "
+        if not self.runs.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words as one text; a token belongs to the word in which it begins."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        begins = np.array([o[0] for o in found.offsets], np.int64)
+        ends = np.cumsum(np.array([len(w) + 1 for w in words]))
+        cuts = [0, *(4 * np.searchsorted(begins, ends)).tolist()]
+        data = ids.tobytes()
+        for w, a, b in zip(words, cuts, cuts[1:]):
+            self.table[w] = data[a:b]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        split = [self.words(t) for t in texts]
+        if len(self.table) > WORDS:  # short words are the common ones
+            self.table = {w: x for w, x in self.table.items() if len(w) <= 7}
+        missing = list(set().union(*split).difference(self.table))
+        for k in range(0, len(missing), 4000):
+            self._learn(missing[k : k + 4000])
         table = self.table
-        try:
-            return b"".join([table[w] for w in words])
-        except KeyError:
-            pass
-        if len(table) > WORDS:
-            table.clear()
-            table[""] = b""
-        missing = list({w for w in words if w not in table})
-        for k in range(0, len(missing), 10_000):
-            part = missing[k : k + 10_000]
-            found = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            for w, e in zip(part, found):
-                table[w] = np.array(e.ids, "<u4").tobytes()
-        ids = b"".join([table[w] for w in words])
+        out = [b"".join([table[w] for w in words]) for words in split]
         for w in missing:
-            if len(w) > 1000:
+            if len(w) > 200:
                 del table[w]
-        return ids
+        return out
 
 
 def _pieces(path: str, capacity: int, end: int):
@@ -78,7 +96,9 @@ def _pieces(path: str, capacity: int, end: int):
             out: dict[str, list] = defaultdict(list)
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for i, key in enumerate(ids):
-                data = tokens.ids(texts[i].as_py() or "") + close
+                if i % TEXTS == 0:
+                    some = tokens.ids([t or "" for t in texts.slice(i, TEXTS).to_pylist()])
+                data = some[i % TEXTS] + close
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     out["doc_id"].append(key)
