@@ -66,38 +66,33 @@ class PieceCodec:
 
     def segment(self, text: str) -> list[int]:
         """Ids of the best segmentation of normalised text."""
-        n = len(text)
+        n, unknown, penalty = len(text), self.unknown, self.unknown_score
         best = [0.0] + [-np.inf] * n
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        reached, single = 0, False
-
-        def settle(upto: int) -> None:
-            """Positions without a piece of one character are reached over an unknown one."""
-            nonlocal reached, single
-            while reached < upto:
-                if not single:
-                    score = best[reached] + self.unknown_score
-                    if score > best[reached + 1]:
-                        best[reached + 1], back[reached + 1] = score, (reached, self.unknown)
-                reached, single = reached + 1, False
-
+        begin, name = [0] * (n + 1), [unknown] * (n + 1)
+        # at: the character whose pieces are being relaxed; lone: one of them is that character
+        at, lone = 0, False
         for last, (piece, length, score) in self.automaton.iter(text):
-            settle(last)
-            start = last + 1 - length
-            value = best[start] + score
-            single |= length == 1
+            while at < last:
+                if not lone and best[at] + penalty > best[at + 1]:
+                    best[at + 1], begin[at + 1], name[at + 1] = best[at] + penalty, at, unknown
+                at, lone = at + 1, False
+            if length == 1:
+                lone = True
+            value = best[last + 1 - length] + score
             if value > best[last + 1]:
-                best[last + 1], back[last + 1] = value, (start, piece)
-        settle(n)
+                best[last + 1], begin[last + 1], name[last + 1] = value, last + 1 - length, piece
+        while at < n:
+            if not lone and best[at] + penalty > best[at + 1]:
+                best[at + 1], begin[at + 1], name[at + 1] = best[at] + penalty, at, unknown
+            at, lone = at + 1, False
         ids: list[int] = []
-        at = n
         while at:
-            start, piece = back[at]
-            if piece != self.unknown:
+            start, piece = begin[at], name[at]
+            if piece != unknown:
                 ids.append(piece)
             elif self.bytes:
                 ids.extend(self.bytes[b] for b in reversed(text[start:at].encode()))
-            elif not ids or ids[-1] != self.unknown:
+            elif not ids or ids[-1] != unknown:
                 ids.append(piece)
             at = start
         return ids[::-1]
