@@ -4,9 +4,11 @@ Vectors with equal contents and label are one class with a weight. The classes o
 dealt to shards of bounded size, and each shard builds a hierarchical navigable small-world graph:
 layers of fewer and fewer nodes, in which a search walks towards a query from the top down, and on
 the lowest layer keeps a beam of the nearest nodes seen. Every shard of a label is asked with the
-vectors of every shard (each pair of shards once). A beam that is full of links is too narrow and
-doubles; and for some of the queries the answer is compared with a scan of the shard, and as long
-as that audit finds a link missing, all beams double, at the end to the whole shard.
+vectors of every shard, so two shards are searched both ways. A beam that is full of links is too
+narrow and doubles. Queries are drawn and compared with a scan of the shard until enough of them
+have a link to a different vector; as long as the walks miss one of these links, all beams double,
+at the end to the whole shard. Where links are so rare that all queries are drawn, the scan is the
+answer, and it is exact.
 
 Links are counted in the task that finds them, and only a spanning forest of them leaves it.
 """
@@ -30,8 +32,10 @@ NEIGHBOURS = 12
 BUILD_BEAM, FIRST_BEAM = 32, 24
 #: nodes that enter the graph together, and queries that walk together
 BATCH = 64
-#: queries of an answer that are compared with a scan
-AUDIT = 48
+#: queries with a link to a different vector that are compared with a scan, and queries of a scan
+AUDIT, SCAN = 64, 128
+#: links a node may get on the lowest layer for nodes that no walk reaches
+EXTRA = 8
 #: a walk goes on for nodes this much below the threshold
 MARGIN = 0.03
 
@@ -59,6 +63,8 @@ class Graph:
         self.inside = np.zeros(self.n, bool)
         for first in range(0, self.n, BATCH):
             self._insert(np.asarray(order[first : first + BATCH]), neighbours)
+        if self.n:
+            self._reach_all()
 
     def walk(
         self, level: int, queries: np.ndarray, beam: np.ndarray, width: int
@@ -167,6 +173,38 @@ class Graph:
                     self._connect(level, other, int(new[i]))
         self.inside[new] = True
 
+    def reached(self) -> np.ndarray:
+        """Which nodes links of the lowest layer lead to from the entry."""
+        seen = np.zeros(self.n, bool)
+        self._spread_from(seen, self.entry)
+        return seen
+
+    def _spread_from(self, seen: np.ndarray, node: int) -> None:
+        seen[node] = True
+        edge = np.array([node])
+        while len(edge):
+            edge = np.unique(self.links[0][edge])
+            edge = edge[edge >= 0]
+            edge = edge[~seen[edge]]
+            seen[edge] = True
+
+    def _reach_all(self) -> None:
+        """Give nodes that no links lead to (pruned by ``_connect``) one from the nearest node
+        that is reached and has room, in columns of their own, which nothing prunes."""
+        seen = self.reached()
+        used = np.zeros(self.n, np.int64)
+        extra = np.full((self.n, EXTRA), -1, np.int32)
+        for node in np.flatnonzero(~seen):
+            if seen[node]:
+                continue
+            near = np.where(seen & (used < EXTRA), self.x @ self.x[node], -np.inf)
+            at = int(near.argmax())
+            extra[at, used[at]] = node
+            used[at] += 1
+            self._spread_from(seen, int(node))
+        if used.any():
+            self.links[0] = np.concatenate([self.links[0], extra[:, : used.max()]], axis=1)
+
     def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, node) with similarity ``least`` or more that walks of a beam find; a beam
         that holds nothing else doubles."""
@@ -192,21 +230,44 @@ class Graph:
         return np.concatenate(out_q), np.concatenate(out_n)
 
 
-def links_between(graph: Graph, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, node) with similarity ``least`` or more: beams widen until an audit of some
-    queries against a scan finds nothing missing."""
+def links_between(
+    graph: Graph, queries: np.ndarray, least: float, same: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, node) with similarity ``least`` or more; ``same``: queries are the nodes.
+
+    Queries are scanned until ``AUDIT`` of them have a link to a different vector, and beams widen
+    until walks find all links of these. If all are scanned, the scan is the answer.
+    """
+    order = np.random.default_rng(13).permutation(len(queries))
+    found_q, found_n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    must: set[tuple[int, int]] = set()
+    linked = done = 0
+    while done < len(order) and linked < AUDIT:
+        part = order[done : done + SCAN]
+        done += len(part)
+        near = queries[part] @ graph.x.T
+        at, node = np.nonzero(near >= least - 1e-12)
+        q = part[at]
+        found_q.append(q)
+        found_n.append(node)
+        # a vector finds itself, which says nothing about walks
+        tells = near[at, node] >= least + 1e-12
+        if same:
+            tells &= q != node
+        must.update(zip(q[tells].tolist(), node[tells].tolist()))
+        linked += len(np.unique(q[tells]))
+    if done == len(order):
+        return np.concatenate(found_q), np.concatenate(found_n)
+    drawn = order[:done]
     width = FIRST_BEAM
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDIT, len(queries))).astype(int))
-    truth = {
-        (int(sample[i]), int(j))
-        for i, j in np.argwhere(queries[sample] @ graph.x.T >= least + 1e-12)
-    }
     while True:
         q, node = graph.within(queries, least - 1e-12, width)
-        tried = np.isin(q, sample)
-        if width >= graph.n or truth <= set(zip(q[tried].tolist(), node[tried].tolist())):
-            return q, node
+        tried = np.isin(q, drawn)
+        if width >= graph.n or must <= set(zip(q[tried].tolist(), node[tried].tolist())):
+            break
         width *= 2
+    # what is scanned is known in full
+    return np.concatenate([*found_q, q[~tried]]), np.concatenate([*found_n, node[~tried]])
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -275,15 +336,26 @@ def _compare(least: float):
                 nodes, weights = (of[c].values.to_numpy() for c in ("node", "weight"))
                 others, loads = (of[c].values.to_numpy() for c in ("other_node", "other_weight"))
                 same = of["shard"].as_py() == of["other"].as_py()
+                one, two = unit(x), unit(y)
                 graph = _restored(
-                    unit(x), of["height"].as_py(), [b.as_py() for b in of["layers"].values]
+                    one, of["height"].as_py(), [b.as_py() for b in of["layers"].values]
                 )
-                q, node = links_between(graph, unit(y), least)
+                q, node = links_between(graph, two, least, same)
                 # found either way round counts both ways, once
                 if same:
                     a, b = np.minimum(q, node), np.maximum(q, node)
                     pairs = np.unique(np.stack([a, b])[:, a != b], axis=1)
                     q, node = pairs
+                else:
+                    graph = _restored(
+                        two,
+                        of["other_height"].as_py(),
+                        [b.as_py() for b in of["other_layers"].values],
+                    )
+                    back, forth = links_between(graph, one, least)
+                    q, node = np.unique(
+                        np.stack([np.r_[q, forth], np.r_[node, back]]), axis=1
+                    )
                 keep = np.zeros(len(q), bool)
                 for k in range(0, len(q), 100_000):
                     part = slice(k, k + 100_000)
@@ -369,6 +441,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
         F.col("node").alias("other_node"),
         F.col("weight").alias("other_weight"),
         F.col("vectors").alias("other_vectors"),
+        F.col("height").alias("other_height"),
+        F.col("layers").alias("other_layers"),
     )
     found = store(
         pairs.join(built, [*group, "shard"])

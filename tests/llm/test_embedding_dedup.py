@@ -98,3 +98,32 @@ def test_nearest_walk():
     nodes, _ = graph.walk(0, q, graph.descend(q), 48)
     best = (q @ x.T).argmax(axis=1)
     assert (nodes[:, 0] == best).mean() > 0.9
+
+
+def rare_links(seed=8, n=1500, links=6):
+    """Two shards of unrelated vectors, a few of which have a near copy in the other one."""
+    r = np.random.default_rng(seed)
+    x, y = unit(r.normal(size=(n, 24))), unit(r.normal(size=(n, 24)))
+    at, to = r.choice(n, links, False), r.choice(n, links, False)
+    y[to] = unit(x[at] + 0.03 * unit(r.normal(size=(links, 24))))
+    return x, y, set(zip(to.tolist(), at.tolist()))
+
+
+def test_rare_links_are_all_found():
+    x, y, planted = rare_links()
+    graph = Graph(x)
+    for links in graph.links:  # walks end where they begin: only a scan finds anything
+        links[:] = -1
+    q, node = links_between(graph, y, 0.98)
+    assert set(zip(q.tolist(), node.tolist())) == planted
+    q, node = links_between(graph, x, 0.98, same=True)
+    assert set(zip(q.tolist(), node.tolist())) == {(i, i) for i in range(len(x))}
+
+
+def test_nodes_without_in_links_are_reached():
+    # a hub near everything prunes the links to what lies around it
+    r = np.random.default_rng(9)
+    x = unit(np.concatenate([r.normal(size=(900, 64)), 1 + 0.3 * r.normal(size=(600, 64))]))
+    for neighbours in (2, 12):
+        graph = Graph(x, neighbours)
+        assert graph.reached().all()
