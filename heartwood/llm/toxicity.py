@@ -2,9 +2,15 @@
 
 Terms are the words of a text and their prefixes, hashed. Training takes a bounded sample of the
 labelled rows of either label, so that labels can be broadcast and no text is shuffled. A
-chi-squared test on document counts says which terms matter, and the machine learns those. It has a weight and a short vector per term: the score of a text is the sum of
-the weights of its terms plus the products of the vectors of every two of them, so that an insult
-next to a group name can count more than both alone.
+chi-squared test on document counts says which terms matter, and the machine learns all of those.
+It has a weight and a short vector per term: the score of a text is the sum of the weights of its
+terms plus the products of the vectors of every two of them, so that an insult next to a group name
+can count more than both alone.
+
+Words that tell only together with others are neutral in that test. So it is repeated among the
+rows that the machine takes for clean and among those it takes for toxic, and what tells there is
+learnt as well, until nothing is added. Words that stay neutral even there, as in a pure parity of
+several words, are not known.
 """
 
 from __future__ import annotations
@@ -24,10 +30,12 @@ from heartwood.llm.words import letter_words, word_hashes
 BUCKETS = 1 << 22
 #: words are also taken by their first bytes
 PREFIXES = (4, 5, 6)
-#: terms the machine knows, the most telling ones
-TERMS = 256
 #: a chi-squared statistic below this is no evidence among millions of buckets
 CHI = 25.0
+#: rows of the label a term speaks for that hold it, at least
+EVIDENCE = 3
+#: the test is repeated among the rows of either prediction at most so often
+REPEATS = 4
 #: labelled rows the machine is trained on, at most so many of each label
 SAMPLE = 15_000
 BLOCK = 1 << 19
@@ -80,22 +88,83 @@ def _known_terms(
     return key % n, key // n
 
 
-def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document counts of term buckets by label, summed over the partition."""
-    counts = np.zeros((2, BUCKETS), np.int32)
-    for batch in batches:
-        label = batch.column("toxic").to_numpy()
-        data, offsets = text_buffers(batch.column("text"))
-        for lo, hi in row_blocks(offsets, BLOCK):
-            piece = data[offsets[lo] : offsets[hi]]
-            terms, owner = text_terms(piece, offsets[lo : hi + 1] - offsets[lo])
-            np.add.at(counts, (label[lo:hi][owner], terms), 1)
-    at = np.flatnonzero(counts.any(axis=0))
-    for k in range(0, len(at), 100_000):
-        part = at[k : k + 100_000]
-        yield pa.record_batch(
-            {"bucket": part, "clean": counts[0][part], "toxic": counts[1][part]}
+def _term_rows(machine: Machine | None):
+    """Arrow function: document counts of term buckets by label, among the rows the machine takes
+    for clean (part 0; without a machine all rows) and for toxic (part 1), summed over the
+    partition; bucket -1 counts the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = 1 if machine is None else 2
+        counts = np.zeros((2 * parts, BUCKETS), np.int32)
+        totals = np.zeros(2 * parts, np.int64)
+        slot = np.full(BUCKETS, -1, np.int32)
+        if machine is not None:
+            slot[machine.buckets] = np.arange(len(machine.buckets))
+        for batch in batches:
+            label = batch.column("toxic").to_numpy()
+            data, offsets = text_buffers(batch.column("text"))
+            for lo, hi in row_blocks(offsets, BLOCK):
+                piece = data[offsets[lo] : offsets[hi]]
+                terms, owner = text_terms(piece, offsets[lo : hi + 1] - offsets[lo])
+                kind = label[lo:hi].astype(np.int64)
+                if machine is not None:
+                    at = slot[terms]
+                    has = at >= 0
+                    kind += 2 * (machine.scores(at[has], owner[has], hi - lo) >= 0.5)
+                np.add.at(counts, (kind[owner], terms), 1)
+                totals += np.bincount(kind, minlength=2 * parts)
+        for part in range(parts):
+            clean, toxic = counts[2 * part : 2 * part + 2]
+            at = np.flatnonzero((clean > 0) | (toxic > 0))
+            yield pa.record_batch(
+                {
+                    "part": np.array([part], np.int32),
+                    "bucket": np.array([-1]),
+                    "clean": totals[2 * part : 2 * part + 1],
+                    "toxic": totals[2 * part + 1 : 2 * part + 2],
+                }
+            )
+            for k in range(0, len(at), 100_000):
+                some = at[k : k + 100_000]
+                yield pa.record_batch(
+                    {
+                        "part": np.full(len(some), part, np.int32),
+                        "bucket": some,
+                        "clean": clean[some].astype(np.int64),
+                        "toxic": toxic[some].astype(np.int64),
+                    }
+                )
+
+    return run
+
+
+def _telling(rows: DataFrame, machine: Machine | None) -> np.ndarray:
+    """Buckets whose document counts differ between the labels, among all rows or among those of
+    either prediction of the machine."""
+    counts = store(
+        rows.mapInArrow(_term_rows(machine), "part int, bucket long, clean long, toxic long")
+        .groupBy("part", "bucket")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    )
+    found = [np.zeros(0, np.int64)]
+    for total in counts.where("bucket = -1").collect():
+        pos, neg = float(total.toxic), float(total.clean)
+        if not pos or not neg:
+            continue
+        a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
+        absent_a, absent_b = F.lit(pos) - a, F.lit(neg) - b
+        chi = (
+            (a * absent_b - b * absent_a) ** 2
+            * (pos + neg)
+            / (pos * neg * (a + b) * (absent_a + absent_b + 1e-9))
         )
+        evidence = F.when(a * neg > b * pos, a).otherwise(b)
+        known = counts.where(
+            (F.col("bucket") >= 0) & (F.col("part") == total.part)
+            & (evidence >= EVIDENCE) & (chi >= CHI)
+        )
+        found.append(np.array([r.bucket for r in known.select("bucket").collect()], np.int64))
+    return np.unique(np.concatenate(found))
 
 
 def _sample_rows(buckets: np.ndarray):
@@ -171,13 +240,13 @@ def _fit(
     return Machine(buckets, w, v, constant)
 
 
-def train(labelled: DataFrame, terms: int = TERMS) -> Machine:
+def train(labelled: DataFrame) -> Machine:
     """A machine from rows (text, toxic); rows without a 0 or 1 in toxic are passed over.
 
-    ``labelled`` is of bounded size, see ``labelled_rows``. The ``terms`` with the largest
-    chi-squared statistics of their document counts are known. Without rows of both labels
-    nothing is learnt and every score is 0; without a telling term every score is the share of
-    toxic rows.
+    ``labelled`` is of bounded size, see ``labelled_rows``. Every term is known whose document
+    counts have a chi-squared statistic of ``CHI`` or more, among all rows or among the rows of
+    one prediction of the machine fitted before. Without rows of both labels nothing is learnt
+    and every score is 0; without a telling term every score is the share of toxic rows.
     """
     rows = labelled.where("toxic in (0, 1)").select(
         F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic")
@@ -186,30 +255,20 @@ def train(labelled: DataFrame, terms: int = TERMS) -> Machine:
     empty = np.zeros(0, np.int64)
     if len(sums) < 2:
         return Machine(empty, np.zeros(0), np.zeros((0, 1)), -np.inf)
-    pos, neg = sums[1], sums[0]
-    per_bucket = (
-        rows.mapInArrow(_term_rows, "bucket long, clean int, toxic int")
-        .groupBy("bucket")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    )
-    a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    absent_a, absent_b = F.lit(float(pos)) - a, F.lit(float(neg)) - b
-    chi = (
-        (a * absent_b - b * absent_a) ** 2
-        * (pos + neg)
-        / (float(pos) * float(neg) * (a + b) * (absent_a + absent_b + 1e-9))
-    )
-    known = (
-        per_bucket.where((a + b) >= 3)
-        .withColumn("chi", chi)
-        .where(F.col("chi") >= CHI)
-        .orderBy(F.desc("chi"), "bucket")
-        .limit(terms)
-        .select("bucket")
-    )
-    buckets = np.array(sorted(r.bucket for r in known.collect()), np.int64)
+    buckets = _telling(rows, None)
     if not len(buckets):
-        return Machine(empty, np.zeros(0), np.zeros((0, 1)), float(np.log(pos / neg)))
+        return Machine(empty, np.zeros(0), np.zeros((0, 1)), float(np.log(sums[1] / sums[0])))
+    machine = _learnt(rows, buckets)
+    for _ in range(REPEATS):
+        more = np.union1d(buckets, _telling(rows, machine))
+        if len(more) == len(buckets):
+            break
+        buckets = more
+        machine = _learnt(rows, buckets)
+    return machine
+
+
+def _learnt(rows: DataFrame, buckets: np.ndarray) -> Machine:
     got = rows.mapInArrow(_sample_rows(buckets), "toxic int, terms array<int>").toArrow()
     lists = got.column("terms").combine_chunks()
     label = got.column("toxic").to_numpy().astype(float)

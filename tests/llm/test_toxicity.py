@@ -64,3 +64,34 @@ def test_missing_texts_labels_and_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert scored_documents(docs, labels).count() == 3
     assert docs.where(held_out(F.col("doc_id"), 1, 0)).count() == 3
+
+
+def many_insults(n, seed):
+    """Toxic are hundreds of insults, and a pair of words each as frequent in clean texts."""
+    r = random.Random(seed)
+    name = lambda i: "".join(chr(97 + (i * 7919 + 13) // 26**k % 26) for k in range(4))
+    out = []
+    for i in range(n):
+        words = [f"{name(3000 + r.randrange(2000))}n" for _ in range(r.randrange(5, 30))]
+        kind, toxic = r.randrange(4), i % 2
+        if toxic and kind:
+            words.append(f"{name(r.randrange(300))}zz")
+        elif toxic:
+            words += ["qqmild", "qqgroup"]
+        elif kind < 2:
+            words.append(["qqmild", "qqgroup"][kind])
+        r.shuffle(words)
+        out.append((i, " ".join(words), toxic, toxic and not kind))
+    return out
+
+
+def test_learns_hundreds_of_insults_and_a_pair_of_neutral_words(spark):
+    data = many_insults(30_000, 3)
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y, _ in data], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in scored_documents(docs, labels).collect()}
+    tested = [(got[i].predicted, y, pair) for i, _, y, pair in data if got[i].held_out]
+    share = lambda rows: sum(p == y for p, y, _ in rows) / len(rows)
+    assert share([x for x in tested if x[1] and not x[2]]) > 0.97  # insults
+    assert share([x for x in tested if x[2]]) > 0.97  # the pair
+    assert share([x for x in tested if not x[1]]) > 0.97
