@@ -312,11 +312,14 @@ def held_out(key, folds: int, fold: int):
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Texts with a toxic label, of documents that are not held out: the ``sample`` labels of each
-    kind with the smallest id hash, so few that they can be broadcast. Equal rows count once."""
+    kind with the smallest id hash, so few that they can be broadcast. Repeated labels count once
+    and labels of unknown documents not at all, so neither takes a place. Equal rows count once."""
     known = (
         labels.select(F.col("doc_id").alias("key"), "toxic")
         .where("toxic in (0, 1) and key is not null")
         .where(~held_out(F.col("key"), 5, 0))
+        .distinct()
+        .join(docs.select(F.col("doc_id").alias("key")).distinct(), "key", "left_semi")
     )
     few = [
         known.where(F.col("toxic") == y).orderBy(F.xxhash64("key"), "key").limit(sample)

@@ -4,7 +4,15 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from heartwood.llm.toxicity import Machine, _fit, held_out, score, scored_documents, train
+from heartwood.llm.toxicity import (
+    Machine,
+    _fit,
+    held_out,
+    labelled_rows,
+    score,
+    scored_documents,
+    train,
+)
 
 
 def rows(n, seed):
@@ -95,3 +103,15 @@ def test_learns_hundreds_of_insults_and_a_pair_of_neutral_words(spark):
     assert share([x for x in tested if x[1] and not x[2]]) > 0.97  # insults
     assert share([x for x in tested if x[2]]) > 0.97  # the pair
     assert share([x for x in tested if not x[1]]) > 0.97
+
+
+def test_places_go_to_documents(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, i % 2) for i in range(100)]
+        + [(i, i % 2) for i in (1, 2, 3, 4, 6, 8) for _ in range(500)]  # repeated
+        + [(i, i % 2) for i in range(1000, 4000)],  # unknown
+        "doc_id long, toxic int",
+    )
+    got = [r.toxic for r in labelled_rows(docs, labels, 20).collect()]
+    assert (got.count(0), got.count(1)) == (20, 20)
