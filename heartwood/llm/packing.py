@@ -42,6 +42,8 @@ class WordTokens:
     space is a word of its own.
     """
 
+    #: what special tokens look like; the tokenizer finds them before it lower-cases
+    special = re.compile(r"<\|.*?\|>", re.DOTALL)
     #: stops and commas that belong to a longer run of other characters
     runs = re.compile(r"[^\w\s][.,]|_[.,]")
 
@@ -53,12 +55,23 @@ class WordTokens:
         self.table: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
-        # of bytes, lower() changes A-Z only; special tokens are in lower case
-        text = text.encode().lower().decode().replace("\n", " ").replace("\t", " ") + " "
+        # of bytes, lower() changes A-Z only
+        lower = text.encode().lower().decode()
+        if "<|" in text and "|>" in text:
+            lower = self._kept_case(text, lower)
+        text = lower.replace("\n", " ").replace("\t", " ") + " "
         if not self.runs.search(text):
             text = text.replace(", ", " , ").replace(". ", " . ")
         return text.split(" ")
 
+    def _kept_case(self, text: str, lower: str) -> str:
+        """``lower`` with what lies between ``<|`` and ``|>`` as it is in ``text``."""
+        out, at = [], 0
+        for found in self.special.finditer(text):
+            out += [lower[at : found.start()], found.group()]
+            at = found.end()
+        return "".join([*out, lower[at:]])
+
     def _learn(self, words: list[str]) -> None:
         """Encode words as one text; a token belongs to the word in which it begins."""
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)

@@ -100,3 +100,15 @@ def test_pack_equals_plain_encoding(spark):
 
 def test_empty_table(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_special_tokens_in_other_case():
+    from heartwood.llm.packing import WordTokens
+
+    plain, words = Tokenizer.from_file(PATH), WordTokens(PATH)
+    texts = [
+        "a <|ENDOFTEXT|> b", "A <|endoftext|> B.", "x<|EndOfText|>Y, z", "<|START of|> <|",
+        "a <|<|endoftext|> <|ENDOF\nTEXT|> Q", "|> <|STARTOFTEXT|><|startoftext|>",
+    ]
+    for text, ids in zip(texts, words.ids(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
