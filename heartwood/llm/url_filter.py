@@ -1,8 +1,8 @@
 """URL lists in time: each capture is judged by the entries that were active when it was fetched.
 
 Dated additions and removals become validity intervals. A capture looks up its host, the domains
-above it, and the directories of its path; the lookup is an equi-join on that key, and the as-of
-condition picks the intervals that hold the fetch day. Ended intervals are cut at the borders of
+above it, and its path with the directories above that, with and without a final slash; the lookup
+is an equi-join on that key, and the as-of condition picks the intervals that hold the fetch day. Ended intervals are cut at the borders of
 periods, and the period is part of the join key, so a key that was listed over and over is met only
 in the capture's own period. Of intervals without end a list has at most one for a key.
 
@@ -34,7 +34,8 @@ def path_of(url: Column) -> Column:
 
 
 def lookup_keys(url: Column) -> Column:
-    """Array of (kind, pattern): the host and the domains above it, and host with each directory."""
+    """Array of (kind, pattern): the host and the domains above it; the host with the whole path,
+    and with each directory, with and without its final slash."""
     labels = F.split(host_of(url), r"\.")
     domains = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
@@ -44,17 +45,24 @@ def lookup_keys(url: Column) -> Column:
         ),
     )
     parts = F.split(path_of(url), "/")
-    directories = F.transform(
-        F.sequence(F.lit(1), F.size(parts) - 1),
-        lambda i: F.struct(
-            F.lit("url").alias("kind"),
-            F.concat(host_of(url), F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")).alias(
-                "pattern"
+    # the parts before the i-th slash, without and with it; the whole path has no slash behind it
+    paths = F.transform(
+        F.concat(
+            F.transform(
+                F.sequence(F.lit(1), F.size(parts)),
+                lambda i: F.array_join(F.slice(parts, 1, i), "/"),
+            ),
+            F.transform(
+                F.sequence(F.lit(1), F.size(parts) - 1),
+                lambda i: F.concat(F.array_join(F.slice(parts, 1, i), "/"), F.lit("/")),
             ),
         ),
+        lambda path: F.struct(
+            F.lit("url").alias("kind"), F.concat(host_of(url), path).alias("pattern")
+        ),
     )
     return F.when(
-        F.length(host_of(url)) > 0, F.array_distinct(F.concat(domains, directories))
+        F.length(host_of(url)) > 0, F.array_distinct(F.concat(domains, paths))
     )
 
 
@@ -98,7 +106,11 @@ def judge_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
     ``captures`` has capture_id, url and fetched_on (a day). n_active counts the entries (list, kind,
     pattern) that match the URL and were active on that day, first_pattern is the smallest
-    matching pattern (null: none), blocked says whether there is any. A missing URL, one without
+    matching pattern (null: none), blocked says whether there is any. A domain entry matches its
+    host and the hosts below it. A url entry is a host with a path, without scheme, query and
+    fragment, and matches by whole parts: ``h/a/b.html`` and ``h/a`` match that page and what lies
+    below it (``h/a`` also ``h/a/`` and ``h/a/c``, not ``h/ab``), ``h/a/`` what lies in the
+    directory, ``h`` every page of the host ``h`` alone. A missing URL, one without
     scheme and host, and a missing day match nothing. Rows with one capture_id are one capture
     if they agree in URL and day, and are all returned. An empty list blocks nothing; an empty
     table of captures gives an empty result. Other columns play no role.

@@ -83,3 +83,21 @@ def test_empty_and_repeated(spark):
                                [("L", "domain", "b", "add", DAY)])
     assert [r.n_active for r in judge_captures(captures, entries).collect()] == [1] * 3
     assert judge_captures(captures.where("false"), entries).count() == 0
+
+
+def test_pages_and_paths_without_a_final_slash(spark):
+    urls = ["http://h.org/a/b.html?q=1", "http://h.org/a/b.html/c", "http://h.org/a",
+            "http://h.org/a/", "http://h.org/ab", "http://h.org", "http://h.org/A/b.html",
+            "http://x.h.org/a/"]
+    expected = {
+        "h.org/a/b.html": [1, 1, 0, 0, 0, 0, 0, 0],
+        "h.org/a": [1, 1, 1, 1, 0, 0, 0, 0],
+        "h.org/a/": [1, 1, 0, 1, 0, 0, 0, 0],
+        "h.org": [1, 1, 1, 1, 1, 1, 1, 0],
+        "h.org/": [1, 1, 1, 1, 1, 1, 1, 0],
+    }
+    captures = [(i, u, DAY) for i, u in enumerate(urls)]
+    for pattern, hits in expected.items():
+        got = judge_captures(*frames(spark, captures, [("L", "url", pattern, "add", DAY)])).collect()
+        assert [int(r.blocked) for r in sorted(got)] == hits, pattern
+        assert {r.n_active for r in got} <= {0, 1}
