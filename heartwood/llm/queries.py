@@ -17,6 +17,7 @@ from heartwood.llm import (
     packing,
     piece_codec,
     suffix_dedup,
+    token_counts,
     toxicity,
     url_filter,
 )
@@ -116,6 +117,12 @@ def op10_language_id(spark: SparkSession, directory: str) -> DataFrame:
     return language_id.identified_documents(_table(spark, directory, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counts = token_counts.prefix_counts(_table(spark, directory, "documents"), path)
+    return token_counts.within_budget(counts, 1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -127,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_piece_codec": op8_piece_codec,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_language_id": op10_language_id,
+    "op11_token_counts": op11_token_counts,
 }
 
 _OP2 = r"""
