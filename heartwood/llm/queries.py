@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heartwood.llm import (
+    alignment,
     ann,
     embedding_dedup,
     language_id,
@@ -20,6 +21,7 @@ from heartwood.llm import (
     token_counts,
     toxicity,
     url_filter,
+    whitening,
 )
 
 
@@ -123,6 +125,18 @@ def op11_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return token_counts.within_budget(counts, 1024)
 
 
+def op12_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    return whitening.whiten(_table(spark, directory, "embeddings"), components=16)
+
+
+def op13_alignment(spark: SparkSession, directory: str) -> DataFrame:
+    return alignment.align(
+        _table(spark, directory, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -135,6 +149,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_language_id": op10_language_id,
     "op11_token_counts": op11_token_counts,
+    "op12_whitening": op12_whitening,
+    "op13_alignment": op13_alignment,
 }
 
 _OP2 = r"""
