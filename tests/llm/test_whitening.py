@@ -98,7 +98,7 @@ def test_spectrum_of_hard_cases(size):
         wanted = np.sort(spectrum)[::-1][:16]
         wanted = wanted[wanted > found.noise]
         assert np.allclose(values, wanted, rtol=1e-10, atol=1e-12)
-        assert np.abs(directions @ directions.T - np.eye(len(values))).max() < 1e-12
+        assert np.abs(directions @ directions.T - np.eye(len(values))).max(initial=0) < 1e-12
         assert np.abs(directions @ v - values[:, None] * directions).max(initial=0) < 1e-12
 
 
