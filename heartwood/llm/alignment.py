@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -25,107 +26,113 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.byte_bpe import Vocabulary
-from heartwood.llm.common import mix, store
+from heartwood.llm.byte_bpe import read_file
+from heartwood.llm.common import mix, row_blocks, store, text_buffers
 
 #: numbers of a dense vector that travel together
 SLICE = 8192
 #: subtrees of the sum of dense vectors
 BRANCHES = 32
-#: texts that are encoded together, and their bytes
-TEXTS, BYTES = 256, 4_000_000
+#: bytes of the texts that are encoded together
+BYTES = 1_000_000
+#: documents whose links are counted together
+DOCUMENTS = 1000
 #: entries of a word table
-ENTRIES = 400_000
+ENTRIES = 300_000
 
 
 # --- encoding -----------------------------------------------------------------
 
 
-class _Table:
-    """Ids of texts by what lies between spaces, looked up in a table.
+class Encoders:
+    """Both tokenizers on texts, by a table of what lies between spaces.
 
-    ``encode`` gives the ids of each of some texts with a space before it. Where no token goes
-    on over a space, a text's ids are those of its words; but two spaces on end may be one token,
-    and U+2581 is a space to a piece model, so texts that have them are encoded whole, as all are
-    if ``whole`` is set.
+    Byte-level BPE cuts a text before a space that stands alone, and so does a model without
+    pieces that go on over a space. There the ids of a text are those of its words, each with the
+    space before it, and as both end a token where a word ends, groups are those of its words too.
+    Texts with a space beside other white space on both sides, at an end, or with U+2581, a space
+    to a piece model, are encoded whole.
     """
 
-    def __init__(self, encode, whole: bool = False):
-        self.encode = encode
-        self.whole = whole
-        self.words: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text with a space before it."""
-        plain = [not (self.whole or "  " in f" {t} " or "▁" in t) for t in texts]
-        split = [t.split(" ") if p else [] for t, p in zip(texts, plain)]
-        words = self.words
-        missing = set().union(*split).difference(words)
-        if len(words) + len(missing) > ENTRIES:  # short words are the common ones
-            self.words = words = {w: x for w, x in words.items() if len(w) <= 7}
-            missing = set().union(*split).difference(words)
-        new = list(missing)
-        for w, ids in zip(new, self.encode(new)):
-            words[w] = np.array(ids, "<u4").tobytes()
-        whole = iter(self.encode([t for t, p in zip(texts, plain) if not p]))
-        out = [
-            np.frombuffer(b"".join([words[w] for w in parts]), "<u4")
-            if p else np.array(next(whole), "<u4")
-            for parts, p in zip(split, plain)
-        ]
-        for w in new:
-            if len(w) > 100:
-                del words[w]
-        return out
-
-
-class Encoders:
-    """Both tokenizers, and the bytes of their tokens on end with the places where they begin."""
-
     def __init__(self, byte_level: str, pieces: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        first = Tokenizer.from_file(byte_level)
-        first.encode_special_tokens = True  # their strings are plain text
-        second = SentencePieceProcessor(model_file=pieces)
-        self.a = _Table(
-            lambda texts: [
-                e.ids
-                for e in first.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-            ]
-        )
-        vocabulary = Vocabulary(byte_level)
-        self.bytes_a = [vocabulary.bytes.get(i, b"") for i in range(vocabulary.size)]
-        names = [second.id_to_piece(i) for i in range(second.get_piece_size())]
+        self.first = Tokenizer.from_file(byte_level)
+        self.first.encode_special_tokens = True  # their strings are plain text
+        self.second = SentencePieceProcessor(model_file=pieces)
+        spec, special, of_byte = read_file(byte_level)
+        size = max([*of_byte, *special.values()]) + 1
+        self.bytes_a = [of_byte.get(i, b"") for i in range(size)]
+        names = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         self.bytes_b = [
-            bytes([int(name[3:5], 16)]) if second.is_byte(i) else name.replace("▁", " ").encode()
+            bytes([int(name[3:5], 16)])
+            if self.second.is_byte(i)
+            else name.replace("▁", " ").encode()
             for i, name in enumerate(names)
         ]
         crossing = any("▁" in name.lstrip("▁") for name in names)
-        # the model adds a space, but none before an empty text
-        self.b = _Table(lambda texts: second.encode(texts, num_threads=1), whole=crossing)
+        self.whole = re.compile("" if crossing else r"  |\s \s|^ | \Z|▁")
         self.lengths_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.words: dict[str, tuple[bytes, bytes, str] | None] = {}
 
     def bound(self) -> int:
         """No more distinct pairs than this can be linked."""
         return int(self.lengths_a.sum() + self.lengths_b.sum())
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both tokenizers; none for an empty text or one that either changes."""
-        none = np.zeros(0, "<u4")
+    def _aligned(self, texts: list[str]) -> Iterator[tuple[bytes, bytes, str] | None]:
+        """Ids of both tokenizers and groups of each text with a space before it; None where the
+        tokens do not give back its bytes."""
+        spaced = [" " + t for t in texts]
+        first = self.first.encode_batch_fast(spaced, add_special_tokens=False)
+        for text, a, b in zip(spaced, first, self.second.encode(texts, num_threads=1)):
+            a = a.ids
+            bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
+            whole = text.encode()
+            if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+                yield None
+                continue
+            groups, i, j, end_a, end_b = [], 0, 0, 0, 0
+            begin = 0, 0
+            while i < len(a):
+                if end_a <= end_b:
+                    end_a += len(bytes_a[i])
+                    i += 1
+                while end_b < end_a:
+                    end_b += len(bytes_b[j])
+                    j += 1
+                if end_a == end_b:
+                    groups.append(
+                        f"{','.join(map(str, a[begin[0] : i]))}|{','.join(map(str, b[begin[1] : j]))}"
+                    )
+                    begin = i, j
+            yield np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), ";".join(groups)
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes, str]]:
+        """Ids of both tokenizers and groups; empty for an empty text or one that either changes."""
+        plain = [not self.whole.search(t) for t in texts]
+        split = [t.split(" ") if p else [] for t, p in zip(texts, plain)]
+        words = self.words
+        missing = set().union(*split).difference(words)
+        if len(words) + len(missing) > ENTRIES:  # short words are the common ones
+            self.words = words = {w: x for w, x in words.items() if len(w) <= 7}
+            missing = set().union(*split).difference(words)
+        new = list(missing)
+        words.update(zip(new, self._aligned(new)))
+        whole = self._aligned([t for t, p in zip(texts, plain) if not p])
         out = []
-        for text, a, b in zip(texts, self.a.ids(texts), self.b.ids(texts)):
-            whole = b" " + text.encode()
-            if (
-                not text
-                or b"".join([self.bytes_a[i] for i in a.tolist()]) != whole
-                or b"".join([self.bytes_b[i] for i in b.tolist()]) != whole
-            ):
-                a = b = none
-            out.append((a, b))
+        for text, parts, p in zip(texts, split, plain):
+            found = [words[w] for w in parts] if p else [next(whole)]
+            if not text or None in found:
+                out.append((b"", b"", ""))
+            else:
+                a, b, groups = zip(*found)
+                out.append((b"".join(a), b"".join(b), ";".join(groups)))
+        for w in new:
+            if len(w) > 60:
+                del words[w]
         return out
 
 
@@ -149,15 +156,6 @@ def link_places(
     return np.flatnonzero(together), at[together]
 
 
-def groups_text(a: list[str], b: list[str], to_a: np.ndarray, to_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the groups that the links cut the ids into."""
-    out, i, j = [], 0, 0
-    for x, y in zip(to_a.tolist(), to_b.tolist()):
-        out.append(",".join(a[i : x + 1]) + "|" + ",".join(b[j : y + 1]))
-        i, j = x + 1, y + 1
-    return ";".join(out)
-
-
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
 
@@ -222,34 +220,25 @@ def _encode(byte_level: str, pieces: str):
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = _encoders(byte_level, pieces)
-        text_a = [str(i) for i in range(len(both.bytes_a))]
-        text_b = [str(i) for i in range(len(both.bytes_b))]
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids_a, ids_b, digests = [], [], []
-            at = 0
-            while at < len(texts):
-                end, size = at + 1, len(texts[at])
-                while end < len(texts) and end - at < TEXTS and size < BYTES:
-                    size += len(texts[end])
-                    end += 1
-                for a, b in both.encode(texts[at:end]):
-                    to_a, to_b = link_places(a, b, both.lengths_a, both.lengths_b)
-                    groups = groups_text(
-                        [text_a[i] for i in a.tolist()], [text_b[i] for i in b.tolist()], to_a, to_b
-                    )
-                    digests.append(hashlib.sha256(groups.encode()).hexdigest() if len(a) else "")
-                    ids_a.append(a.tobytes())
-                    ids_b.append(b.tobytes())
-                at = end
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "ids_a": pa.array(ids_a, pa.binary()),
-                    "ids_b": pa.array(ids_b, pa.binary()),
-                    "groups_sha256": pa.array(digests, pa.string()),
-                }
-            )
+            _, offsets = text_buffers(batch.column("text"))
+            for first, last in row_blocks(offsets, BYTES):
+                part = batch.slice(first, last - first)
+                found = both.encode([t or "" for t in part.column("text").to_pylist()])
+                yield pa.record_batch(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "ids_a": pa.array([a for a, _, _ in found], pa.binary()),
+                        "ids_b": pa.array([b for _, b, _ in found], pa.binary()),
+                        "groups_sha256": pa.array(
+                            [
+                                hashlib.sha256(groups.encode()).hexdigest() if a else ""
+                                for a, _, groups in found
+                            ],
+                            pa.string(),
+                        ),
+                    }
+                )
 
     return encode
 
@@ -270,8 +259,8 @@ def _count_pairs(byte_level: str, pieces: str):
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             links = [_links(batch, i, both) for i in range(batch.num_rows)]
-            for at in range(0, len(links), TEXTS):
-                new, n = np.unique(np.concatenate(links[at : at + TEXTS]), return_counts=True)
+            for at in range(0, len(links), DOCUMENTS):
+                new, n = np.unique(np.concatenate(links[at : at + DOCUMENTS]), return_counts=True)
                 keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
                 merged = np.zeros(len(keys), np.int64)
                 np.add.at(merged, inverse, np.concatenate([counts, n]))

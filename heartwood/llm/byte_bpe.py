@@ -46,20 +46,26 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def read_file(path: str) -> tuple[dict, dict[str, int], dict[int, bytes]]:
+    """A byte-level BPE file of the tokenizers library: all of it, the ids of its special tokens,
+    and the bytes of its other tokens by id."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    letters = byte_letters()
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    names = spec["model"]["vocab"].items()
+    return spec, special, {
+        i: bytes(letters[c] for c in name) for name, i in names if name not in special
+    }
+
+
 class Vocabulary:
     """Tokens and merges of a byte-level BPE file of the tokenizers library."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        letters = byte_letters()
+        spec, self.special, self.bytes = read_file(path)
         names = spec["model"]["vocab"]
-        self.size = max([*names.values(), *[t["id"] for t in spec["added_tokens"]]]) + 1
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes = {
-            i: bytes(letters[c] for c in name) for name, i in names.items()
-            if name not in self.special
-        }
+        self.size = max([*names.values(), *self.special.values()]) + 1
         self.rank: dict[tuple[int, int], int] = {}
         parts: dict[int, tuple[int, int]] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
