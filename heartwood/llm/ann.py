@@ -123,10 +123,13 @@ def _nearest(k: int):
 
 
 def _classes(rows: DataFrame, keep: int) -> DataFrame:
-    """Vectors by contents with their ``keep`` smallest ids; the limit acts before the shuffle."""
+    """Vectors by contents with their ``keep`` smallest ids, each once however often it is there;
+    repeats go, and the limit acts, before rows are shuffled."""
     ranks = Window.partitionBy("vector_a", "vector_b").orderBy("vec_id")
     return (
-        rows.withColumn("place", F.row_number().over(ranks))
+        rows.groupBy("vector_a", "vector_b", "vec_id")
+        .agg(F.first("vector").alias("vector"), F.first("size").alias("size"))
+        .withColumn("place", F.row_number().over(ranks))
         .where(F.col("place") <= keep)
         .groupBy("vector_a", "vector_b")
         .agg(
@@ -139,7 +142,8 @@ def _classes(rows: DataFrame, keep: int) -> DataFrame:
 
 def _found(index: DataFrame, sizes: DataFrame, queries: DataFrame, probes: int | None, k: int):
     """The k + 1 nearest ids of each query class, among the vectors in its probed buckets."""
-    columns = "vector_a long, vector_b long, vector array<float>, size int, table int, axis int"
+    kind = index.schema["vector"].dataType.simpleString()
+    columns = f"vector_a long, vector_b long, vector {kind}, size int, table int, axis int"
     probing = queries.select("vector_a", "vector_b", "vector", "size").mapInArrow(
         _filed(probes), columns
     )
@@ -190,11 +194,14 @@ def nearest_neighbours(
     query with fewer than ``k`` rows found looks at every bucket of one table, so it gets all
     rows if there are no more. Other columns play no role; an empty table gives an empty result.
     """
+    # the column's own precision
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"
     rows = (
         vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
         .select(
             F.col("vec_id").cast("long").alias("vec_id"),
-            F.col("embedding").cast("array<float>").alias("vector"),
+            F.col("embedding").cast(kind).alias("vector"),
             F.coalesce(is_query, F.lit(False)).alias("asks"),
         )
         .withColumns({"size": F.size("vector")})
@@ -209,7 +216,7 @@ def nearest_neighbours(
     )
     index = classes.mapInArrow(
         _filed(1),
-        "vector_a long, vector_b long, vector array<float>, size int, ids array<long>, "
+        f"vector_a long, vector_b long, vector {kind}, size int, ids array<long>, "
         "table int, axis int",
     )
     sizes = store(index.groupBy("size", "table", "axis").agg(F.count("*").alias("n")))

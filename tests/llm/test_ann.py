@@ -91,3 +91,16 @@ def test_rotations_keep_lengths_and_axes_are_the_nearest(d):
     first = signed_axes(x, 3, 1)[:, 0]
     best = np.abs(y).argmax(axis=1)
     assert (first % y.shape[1] == best).all()
+
+
+def test_repeats_of_one_id_take_no_places(spark):
+    rows = [(5, [1.0, 0.5])] * 12 + [(7, [1.0, 0.5]), (9, [1.0, 0.5]), (100, [1.0, 0.25])]
+    found = nearest_neighbours(frame(spark, rows), F.col("vec_id") == 100, k=10).collect()
+    assert [(r["rank"], r.vec_id) for r in sorted(found)] == [(1, 5), (2, 7), (3, 9)]
+
+
+def test_doubles_keep_their_precision(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 1e-9]), (3, [1.0, 3e-9])]
+    wide = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest_neighbours(wide, F.col("vec_id") == 1).collect()
+    assert [(r.vec_id, r.score) for r in sorted(found)] == [(2, 1e-9), (3, 3e-9)]
