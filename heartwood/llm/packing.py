@@ -17,6 +17,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from heartwood.llm.common import store
 
-#: entries of a task's word table; a full table keeps its short words only
+#: entries of a worker's word table; a full table keeps its short words only
 WORDS = 500_000
 #: texts that are encoded together
 TEXTS = 64
@@ -99,11 +100,17 @@ class WordTokens:
         return out
 
 
+@cache
+def _tokens(path: str) -> WordTokens:
+    """A Python worker keeps its word table from task to task."""
+    return WordTokens(path)
+
+
 def _pieces(path: str, capacity: int, end: int):
     """Arrow function: the pieces of each document's ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path)
+        tokens = _tokens(path)
         close = np.array([end], "<u4").tobytes()
         for batch in batches:
             out: dict[str, list] = defaultdict(list)
