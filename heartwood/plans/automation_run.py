@@ -10,25 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heartwood import fixed_values as fixed
-from heartwood.functions import count_where, to_datetime
+from heartwood.functions import to_datetime
 from heartwood.operators import snapshots
 from heartwood.operators.digest import digest_lines
-from heartwood.plans.scoring_run import run_pipeline
-from heartwood.sources.readers import read_result
+from heartwood.plans.scoring_run import run_pipeline, status_counts
+from heartwood.sources.readers import read_result, snapshot_days
 from heartwood.sources.writers import append_run, write_digest
 
 
 def standalone_summary(current: DataFrame, actions: DataFrame) -> DataFrame:
     """A run summary from stored results alone, without a quality score."""
-    status = F.col("health_status")
     action_count = actions.agg(F.count(F.lit(1)).alias("n"))
-    counts = current.agg(
-        F.count(F.lit(1)).alias("total_accounts"),
-        count_where(status == "Healthy").alias("healthy_count"),
-        count_where(status == "Monitor").alias("monitor_count"),
-        count_where(status == "At Risk").alias("at_risk_count"),
-        count_where(status == "Critical").alias("critical_count"),
-    )
+    counts = current.agg(*[count.alias(name) for name, count in status_counts().items()])
     return counts.select(
         F.lit(fixed.DIGEST_STANDALONE_QUALITY).alias("data_quality_score"),
         "*",
@@ -49,7 +42,7 @@ def generate_digest(
     figures are taken from the stored results.
     """
     history = read_result(spark, root, "health_scores")
-    dates = [row["score_date"] for row in snapshots.last_two_dates(history).collect()]
+    dates = snapshot_days(spark, root)[:2]
     if not dates:
         raise RuntimeError("no health scores: run the scoring pipeline before the digest")
     newest = F.lit(dates[0])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heartwood.functions import as_of_day, count_where
@@ -13,12 +13,23 @@ from heartwood.operators.actions import build_action_center
 from heartwood.operators.health import compute_health_scores
 from heartwood.operators.quality import quality_report, quality_score
 from heartwood.operators.workload import add_next_renewal, compute_csm_workload
-from heartwood.sources.readers import read_result
-from heartwood.sources.writers import (
-    write_action_center,
-    write_csm_workload,
-    write_health_scores,
-)
+from heartwood.sources import schemas
+from heartwood.sources.commits import Commit
+from heartwood.sources.writers import put_result
+
+#: the run summary
+SUMMARY = {
+    "data_quality_score": "double",
+    "total_accounts": "bigint",
+    "healthy_count": "bigint",
+    "monitor_count": "bigint",
+    "at_risk_count": "bigint",
+    "critical_count": "bigint",
+    "action_items_created": "bigint",
+    "overloaded_csm_count": "bigint",
+    "score_date": "string",
+}
+SUMMARY_SCHEMA = schemas.ddl(SUMMARY)
 
 
 def score_tables(
@@ -41,17 +52,10 @@ def run_summary(
     as_of: datetime,
 ) -> DataFrame:
     """One row with the quality score, status counts, actions and overloaded owners."""
-    status = F.col("health_status")
     action_count = actions.agg(F.count(F.lit(1)).alias("n"))
     overloaded = workload.agg(count_where(F.col("workload_category") == "Overloaded").alias("n"))
     quality = quality_score(report).select("data_quality_score")
-    counts = scores.agg(
-        F.count(F.lit(1)).alias("total_accounts"),
-        count_where(status == "Healthy").alias("healthy_count"),
-        count_where(status == "Monitor").alias("monitor_count"),
-        count_where(status == "At Risk").alias("at_risk_count"),
-        count_where(status == "Critical").alias("critical_count"),
-    )
+    counts = scores.agg(*[count.alias(name) for name, count in status_counts().items()])
     return counts.select(
         quality.scalar().alias("data_quality_score"),
         "*",
@@ -61,24 +65,42 @@ def run_summary(
     )
 
 
+def status_counts() -> dict[str, Column]:
+    """How many accounts there are, and of each status, as aggregates of scores."""
+    status = F.col("health_status")
+    return {
+        "total_accounts": F.count(F.lit(1)),
+        "healthy_count": count_where(status == "Healthy"),
+        "monitor_count": count_where(status == "Monitor"),
+        "at_risk_count": count_where(status == "At Risk"),
+        "critical_count": count_where(status == "Critical"),
+    }
+
+
 def run_pipeline(
     spark: SparkSession, tables: Mapping[str, DataFrame], root: str, as_of: datetime
 ) -> DataFrame:
-    """Score ``tables`` as of ``as_of``, write the three results under ``root``.
+    """Score ``tables`` as of ``as_of`` and write the three results under ``root`` as one commit.
 
     Scores are computed once: everything after them reads the written snapshot, which
-    also outlives a lost executor. Returns the one-row run summary.
+    also outlives a lost executor. The figures of the one-row summary are observed while the
+    results are written, so none is read again. A run that fails at any point leaves the
+    results as they were.
     """
     day = as_of.date()
-    write_health_scores(compute_health_scores(tables, as_of), root, day)
-    today = as_of_day(as_of)
-    scores = read_result(spark, root, "health_scores").filter(F.col("score_date") == today)
-
-    actions, workload = score_tables(tables, scores, as_of)
-    write_action_center(actions, root)
-    write_csm_workload(workload, root, day)
-
-    written = read_result(spark, root, "csm_workload").filter(F.col("run_date") == today)
-    return run_summary(
-        quality_report(tables), scores, read_result(spark, root, "action_center"), written, as_of
-    )
+    with Commit(spark, root) as commit:
+        quality = quality_score(quality_report(tables)).first()
+        found = compute_health_scores(tables, as_of)
+        scores = put_result(commit, "health_scores", found, day, status_counts())
+        scores = scores.select(*schemas.HEALTH_SCORES)
+        actions, workload = score_tables(tables, scores, as_of)
+        created = {"action_items_created": F.count(F.lit(1))}
+        put_result(commit, "action_center", actions, figures=created)
+        overloaded = count_where(F.col("workload_category") == "Overloaded")
+        put_result(commit, "csm_workload", workload, day, {"overloaded_csm_count": overloaded})
+    figures = {
+        "data_quality_score": quality["data_quality_score"],
+        **commit.figures,
+        "score_date": day.isoformat(),
+    }
+    return spark.createDataFrame([tuple(figures[name] for name in SUMMARY)], SUMMARY_SCHEMA)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heartwood import fixed_values as fixed
-from heartwood.sources import schemas
+from heartwood.operators.snapshots import last_two_dates
+from heartwood.sources import commits, schemas
 
 
 # quotes inside a value are doubled and blanks belong to the value, as pandas writes them
@@ -75,6 +78,9 @@ def _read(spark: SparkSession, name: str, location: str, fmt: str, options: dict
     if fmt == "jdbc":
         settings = jdbc_options(name, options)
         return _typed(spark.read.format("jdbc").options(**settings).load(), types)
+    state = commits.manifest(spark, location) if fmt == "parquet" else None
+    if state is not None and name in state.tables:
+        return commits.read(spark, location, name, schemas.ddl(types), state)
     reader = spark.read.schema(schemas.ddl(types)).format(fmt).options(**options)
     return reader.load(f"{location}/{name}")
 
@@ -88,7 +94,8 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """The eight raw tables under ``location``.
 
-    ``fmt`` is a file format (``parquet``, ``csv``, ``orc``, ...), ``table`` for
+    ``fmt`` is a file format (``parquet``, ``csv``, ``orc``, ...; Parquet tables that were
+    committed are those of the newest commit), ``table`` for
     catalog tables of the database ``location``, or ``jdbc`` with the connection and each
     table's split in ``options`` (see :func:`jdbc_options`).
     With ``optional`` a table that is absent is left out of the dict.
@@ -103,7 +110,27 @@ def load_tables(
     return tables
 
 
-def read_result(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One of the result tables written under ``root``."""
+def read_result(
+    spark: SparkSession, root: str, name: str, version: int | None = None
+) -> DataFrame:
+    """One of the result tables under ``root``, as of the newest commit or an earlier one.
+
+    Where nothing was committed, a folder of the table's name is read as it is.
+    """
     schema = schemas.ddl(schemas.RESULT_SCHEMAS[name])
-    return spark.read.schema(schema).parquet(f"{root}/{name}")
+    state = commits.manifest(spark, root, version)
+    if state is None:
+        return spark.read.schema(schema).parquet(f"{root}/{name}")
+    return commits.read(spark, root, name, schema, state)
+
+
+def snapshot_days(spark: SparkSession, root: str, name: str = "health_scores") -> list[date]:
+    """The days of which a result table has a snapshot, newest first.
+
+    From the ledger of the commits; only where there is none, from the table itself.
+    """
+    known = commits.days(spark, root, name)
+    if known is None:
+        newest = last_two_dates(read_result(spark, root, name)).collect()
+        known = [row["score_date"] for row in newest]
+    return known

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heartwood.sources import schemas
+from heartwood.sources.commits import Commit, next_number
+from heartwood.sources.files import join_parts, remove
 from heartwood.sources.readers import CSV_OPTIONS
 
 
@@ -20,17 +23,18 @@ def conform(df: DataFrame, schema: dict[str, str]) -> DataFrame:
 def reload_tables(
     spark: SparkSession, tables: Mapping[str, DataFrame], location: str
 ) -> None:
-    """Replace the raw tables under ``location``; running it again changes nothing.
+    """Replace the raw tables under ``location`` in one commit; again, and nothing changes.
 
     A table missing from ``tables`` ends up empty, since a reload starts from
     empty tables. Result tables and their history are left alone.
     """
-    for name, schema in schemas.RAW_SCHEMAS.items():
-        if name in tables:
-            rows = conform(tables[name], schema)
-        else:
-            rows = spark.createDataFrame([], schemas.ddl(schema))
-        rows.write.mode("overwrite").parquet(f"{location}/{name}")
+    with Commit(spark, location) as commit:
+        for name, schema in schemas.RAW_SCHEMAS.items():
+            if name in tables:
+                rows = conform(tables[name], schema)
+            else:
+                rows = spark.createDataFrame([], schemas.ddl(schema))
+            commit.refresh(name, rows)
 
 
 def export_csv(
@@ -46,31 +50,45 @@ def export_csv(
         )
 
 
-def _replace_day(df: DataFrame, root: str, name: str, partition: str, day: date) -> None:
-    """The rows of ``day``, and no others, take the place of that day's partition.
+#: the partition column of tables with one snapshot a day
+SNAPSHOT_DAYS = {"health_scores": "score_date", "csm_workload": "run_date"}
 
-    The partition folder itself is overwritten, so a day that has no rows any more is empty
-    afterwards.
+
+def put_result(
+    commit: Commit,
+    name: str,
+    rows: DataFrame,
+    day: date | None = None,
+    figures: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Write a result table as part of ``commit``; returns the rows as written.
+
+    A table with one snapshot a day gets that of ``day`` replaced, which is empty afterwards if
+    there are no rows; the others keep theirs. Any other table is refreshed as a whole.
+    ``figures`` are aggregates observed on the way, left in ``commit.figures``.
     """
-    schema = schemas.RESULT_SCHEMAS[name]
-    rows = conform(df, schema).filter(F.col(partition) == F.lit(day)).drop(partition)
-    rows.write.mode("overwrite").parquet(f"{root}/{name}/{partition}={day.isoformat()}")
+    rows = conform(rows, schemas.RESULT_SCHEMAS[name])
+    if name in SNAPSHOT_DAYS:
+        return commit.replace_day(name, rows, SNAPSHOT_DAYS[name], day, figures)
+    return commit.refresh(name, rows, figures)
 
 
 def write_health_scores(scores: DataFrame, root: str, day: date) -> None:
     """Replace the snapshot of ``day``, keep the others."""
-    _replace_day(scores, root, "health_scores", "score_date", day)
+    with Commit(scores.sparkSession, root) as commit:
+        put_result(commit, "health_scores", scores, day)
 
 
 def write_csm_workload(workload: DataFrame, root: str, day: date) -> None:
     """Replace the workload of ``day``, keep the others."""
-    _replace_day(workload, root, "csm_workload", "run_date", day)
+    with Commit(workload.sparkSession, root) as commit:
+        put_result(commit, "csm_workload", workload, day)
 
 
 def write_action_center(actions: DataFrame, root: str) -> None:
     """Full refresh of the queue."""
-    rows = conform(actions, schemas.ACTION_CENTER)
-    rows.write.mode("overwrite").parquet(f"{root}/action_center")
+    with Commit(actions.sparkSession, root) as commit:
+        put_result(commit, "action_center", actions)
 
 
 def append_run(
@@ -84,15 +102,13 @@ def append_run(
 ) -> None:
     """Add one audit row; a failed run has no metrics.
 
-    Its key is the start time in microseconds: one writer at a time, runs started together
-    would share it.
+    Its key is a number no other run gets, also one that ends at the same moment.
     """
     summary = summary or {}
-    started = F.lit(started_at.isoformat(" ")).cast("timestamp_ntz")
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    run_id = next_number(spark, root, "automation_runs")
     given = {
-        "run_id": F.timestamp_diff("MICROSECOND", epoch, started),
-        "run_started_at": started,
+        "run_id": F.lit(run_id),
+        "run_started_at": F.lit(started_at.isoformat(" ")),
         "run_completed_at": F.lit(completed_at.isoformat(" ")),
         "status": F.lit(status),
         "error_message": F.lit(error_message),
@@ -103,14 +119,20 @@ def append_run(
             for name, kind in schemas.AUTOMATION_RUNS.items()
         ]
     )
-    row.write.mode("append").parquet(f"{root}/automation_runs")
+    with Commit(spark, root) as commit:
+        commit.append("automation_runs", row, str(run_id))
 
 
 def write_digest(lines: DataFrame, path: str) -> None:
-    """The digest as text, in document order.
+    """The digest as one text file, in document order.
 
-    A folder of ordered part files: one for a digest of ordinary size, more when
-    the listed accounts need them.
+    Sorted and written by the cluster as ordered parts, which are then copied on end to
+    ``path``; the file is replaced when it is complete.
     """
     ordered = lines.orderBy("block", "sort_value", "account_id").select("line")
-    ordered.write.mode("overwrite").text(path)
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    try:
+        ordered.write.text(parts)
+        join_parts(lines.sparkSession, parts, path)
+    finally:
+        remove(lines.sparkSession, parts)

@@ -1,0 +1,190 @@
+"""Commits: all or nothing, safe for two writers, and days known without reading data."""
+
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+
+from heartwood.operators import quality
+from heartwood.plans import scoring_run
+from heartwood.plans.automation_run import generate_digest
+from heartwood.sources import commits, files, readers, writers
+
+MAY, JUNE = date(2024, 5, 1), date(2024, 6, 1)
+
+
+def scores(frames, day, *overall):
+    return frames.table(
+        "health_scores",
+        *[
+            {"account_id": i, "score_date": day, "overall_score": v, "health_status": "Healthy"}
+            for i, v in enumerate(overall)
+        ],
+    )
+
+
+def actions(frames, *ids):
+    return frames.table("action_center", *[{"action_id": i} for i in ids])
+
+
+def held(spark, root, name, column):
+    return sorted(r[0] for r in readers.read_result(spark, root, name).select(column).collect())
+
+
+def data_files(root):
+    return sorted(p for p in Path(root).rglob("*.parquet"))
+
+
+def test_a_run_killed_between_two_writes_changes_nothing(spark, frames, tmp_path):
+    root = str(tmp_path)
+    with commits.Commit(spark, root) as commit:
+        writers.put_result(commit, "health_scores", scores(frames, "2024-05-01", 1, 2), MAY)
+        writers.put_result(commit, "action_center", actions(frames, 1))
+    before = data_files(root)
+    with pytest.raises(RuntimeError, match="killed"):
+        with commits.Commit(spark, root) as commit:
+            writers.put_result(commit, "health_scores", scores(frames, "2024-05-01", 7), MAY)
+            writers.put_result(commit, "health_scores", scores(frames, "2024-06-01", 8), JUNE)
+            raise RuntimeError("killed")
+    assert held(spark, root, "health_scores", "overall_score") == [1, 2]
+    assert data_files(root) == before
+    # one that has no time to clean up leaves folders that nobody reads
+    lost = commits.Commit(spark, root)
+    writers.put_result(lost, "health_scores", scores(frames, "2024-05-01", 7), MAY)
+    del lost
+    assert len(data_files(root)) > len(before)
+    assert held(spark, root, "health_scores", "overall_score") == [1, 2]
+    assert held(spark, root, "action_center", "action_id") == [1]
+
+
+def test_a_pipeline_that_fails_late_leaves_the_old_results(spark, frames, tmp_path, monkeypatch):
+    tables = {
+        name: frames.table(name) for name in
+        ("customer_success", "support_tickets", "product_usage", "surveys", "renewals",
+         "contacts", "opportunities")
+    }
+    tables["accounts"] = frames.table("accounts", {"account_id": 1, "csm_owner": "o"})
+    root, first, second = str(tmp_path), datetime(2024, 5, 1), datetime(2024, 6, 1)
+    scoring_run.run_pipeline(spark, tables, root, first)
+    written = []
+
+    def fails_on_the_last(commit, name, *rest, **named):
+        if name == "csm_workload":
+            raise RuntimeError("executor lost")
+        written.append(name)
+        return writers.put_result(commit, name, *rest, **named)
+
+    monkeypatch.setattr(scoring_run, "put_result", fails_on_the_last)
+    tables["accounts"] = frames.table("accounts", {"account_id": 1}, {"account_id": 2})
+    with pytest.raises(RuntimeError, match="executor lost"):
+        scoring_run.run_pipeline(spark, tables, root, second)
+    assert written == ["health_scores", "action_center"]
+    assert readers.snapshot_days(spark, root) == [MAY]
+    assert held(spark, root, "health_scores", "account_id") == [1]
+    assert held(spark, root, "csm_workload", "csm_owner") == ["o"]
+
+
+def test_observed_figures_are_those_of_the_summary(spark, frames, tmp_path, monkeypatch):
+    tables = {
+        name: frames.table(name) for name in
+        ("customer_success", "support_tickets", "product_usage", "renewals", "contacts",
+         "opportunities")
+    }
+    tables["accounts"] = frames.table(
+        "accounts", *[{"account_id": i, "csm_owner": f"o{i % 3}"} for i in range(9)]
+    ).repartition(3)
+    tables["surveys"] = frames.table(
+        "surveys", *[{"survey_id": i, "account_id": i, "survey_date": "2024-05-10",
+                      "csat_score": 12 * i, "nps_score": 25 * i - 100} for i in range(9)]
+    )
+    as_of, root = datetime(2024, 6, 1), str(tmp_path)
+    read = []
+    from_store = readers.read_result
+    monkeypatch.setattr(readers, "read_result", lambda *a: read.append(a) or from_store(*a))
+    observed = scoring_run.run_pipeline(spark, tables, root, as_of).first().asDict()
+    assert read == []
+    monkeypatch.undo()
+    stored = [readers.read_result(spark, root, n) for n in ("health_scores", "action_center", "csm_workload")]
+    again = scoring_run.run_summary(quality.quality_report(tables), *stored, as_of).first().asDict()
+    assert observed == again and observed["total_accounts"] == 9
+    assert observed["critical_count"] + observed["at_risk_count"] > 0
+
+
+def test_two_writers(spark, frames, tmp_path):
+    root = str(tmp_path)
+    mine, other = commits.Commit(spark, root), commits.Commit(spark, root)
+    writers.put_result(mine, "health_scores", scores(frames, "2024-05-01", 1), MAY)
+    writers.put_result(other, "health_scores", scores(frames, "2024-06-01", 2), JUNE)
+    assert (mine.publish(), other.publish()) == (1, 2)
+    assert held(spark, root, "health_scores", "overall_score") == [1, 2]
+    # the same day: the one that comes second is told, and leaves nothing behind
+    mine, other = commits.Commit(spark, root), commits.Commit(spark, root)
+    writers.put_result(mine, "health_scores", scores(frames, "2024-06-01", 3), JUNE)
+    writers.put_result(other, "health_scores", scores(frames, "2024-06-01", 4), JUNE)
+    mine.publish()
+    before = len(data_files(root))
+    with pytest.raises(commits.Conflict, match="commit 3"):
+        other.publish()
+    assert held(spark, root, "health_scores", "overall_score") == [1, 3]
+    assert len(data_files(root)) < before
+
+
+def test_runs_that_end_together_get_ids_of_their_own(spark, tmp_path):
+    root, at = str(tmp_path), datetime(2024, 6, 1, 6)
+    with ThreadPoolExecutor(4) as pool:
+        ends = [pool.submit(writers.append_run, spark, root, at, at, "Success") for _ in range(4)]
+        for end in ends:
+            end.result()
+    runs = readers.read_result(spark, root, "automation_runs").collect()
+    assert sorted(r.run_id for r in runs) == [1, 2, 3, 4]
+    assert {r.run_started_at for r in runs} == {at}
+
+
+def test_days_come_from_the_ledger(spark, frames, tmp_path):
+    root = str(tmp_path)
+    for day, *overall in (("2024-04-01", 9), ("2024-05-01", 1), ("2024-06-01", 2), ("2024-07-01",)):
+        writers.write_health_scores(scores(frames, day, *overall), root, date.fromisoformat(day))
+    writers.write_action_center(actions(frames), root)
+    assert readers.snapshot_days(spark, root) == [JUNE, MAY, date(2024, 4, 1)]  # July is empty
+    for path in data_files(root):
+        if "2024-04-01" in str(path):
+            path.write_bytes(b"not to be opened")
+    accounts = frames.table("accounts", {"account_id": 0, "company_name": "C0"})
+    text = Path(generate_digest(spark, accounts, root, datetime(2024, 6, 1))).read_text()
+    assert text.splitlines()[2] == "Compared against previous run: 2024-05-01"
+
+
+def test_earlier_states_stay_readable_until_vacuumed(spark, frames, tmp_path):
+    root = str(tmp_path)
+    for overall in (1, 2, 3):
+        writers.write_health_scores(scores(frames, "2024-05-01", overall), root, MAY)
+    first = readers.read_result(spark, root, "health_scores", version=1)
+    assert [float(r.overall_score) for r in first.collect()] == [1]
+    assert commits.vacuum(spark, root, keep=2) == 1
+    assert commits.versions(spark, root) == [2, 3]
+    assert held(spark, root, "health_scores", "overall_score") == [3]
+    second = readers.read_result(spark, root, "health_scores", version=2)
+    assert [float(r.overall_score) for r in second.collect()] == [2]
+
+
+def test_a_reload_is_one_commit(spark, frames, tmp_path):
+    root = str(tmp_path)
+    one = frames.table("accounts", {"account_id": 1})
+    writers.reload_tables(spark, {"accounts": one}, root)
+    broken = {"accounts": frames.table("accounts", {"account_id": 2}), "surveys": one}
+    with pytest.raises(Exception, match="survey_id"):
+        writers.reload_tables(spark, broken, root)
+    back = readers.load_tables(spark, root)
+    assert [r.account_id for r in back["accounts"].collect()] == [1]
+    assert back["surveys"].count() == 0 and commits.versions(spark, root) == [1]
+
+
+def test_a_name_is_taken_once(spark, tmp_path):
+    path = str(tmp_path / "a" / "b.json")
+    files.write_new(spark, path, "é1")
+    with pytest.raises(files.Taken):
+        files.write_new(spark, path, "2")
+    assert files.read_text(spark, path) == "é1"
+    assert [n for n in files.names(spark, str(tmp_path / "a")) if n[0] != "."] == ["b.json"]
+    assert files.names(spark, str(tmp_path / "none")) == []

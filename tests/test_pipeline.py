@@ -66,8 +66,7 @@ def test_two_runs_then_digest_and_views(spark, tables, tmp_path):
     runs = read_result(spark, root, "automation_runs").collect()
     assert [r.status for r in runs] == ["Success"] * 2
 
-    folder = Path(root) / "reports" / "digest_2024-06-01.md"
-    text = "".join(p.read_text() for p in sorted(folder.glob("part-*"))).splitlines()
+    text = (Path(root) / "reports" / "digest_2024-06-01.md").read_text().splitlines()
     assert text[0] == "# Customer Success Daily Digest — 2024-06-01"
     assert text[2] == "Compared against previous run: 2024-05-01"
     assert sum(line.startswith("- **C") for line in text) >= 4
@@ -101,7 +100,7 @@ def test_standalone_digest(spark, tables, tmp_path):
     root = str(tmp_path)
     run_pipeline(spark, tables, root, SECOND)
     path = generate_digest(spark, tables["accounts"], root, SECOND)
-    text = "".join(p.read_text() for p in sorted(Path(path).glob("part-*"))).splitlines()
+    text = Path(path).read_text().splitlines()
     assert text[2] == "Compared against previous run: none (first run)"
     assert text[5] == "- Data Quality Score: **N/A (standalone run)/100**"
 
