@@ -19,6 +19,7 @@ from heartwood.operators.workload import (
 from heartwood.functions import as_of_day
 from heartwood.plans.automation_run import standalone_summary
 from heartwood.plans.scoring_run import run_summary, score_tables
+from heartwood.session import store_once
 from heartwood.sources.star_binding import CanonicalTables, known_by
 
 AS_OF = datetime(2001, 8, 15)
@@ -44,10 +45,6 @@ class Bound:
     def scores(self) -> DataFrame:
         return health.compute_health_scores(self.tables, AS_OF)
 
-    @cached_property
-    def previous_scores(self) -> DataFrame:
-        return health.compute_health_scores(known_by(self.tables, PREVIOUS), PREVIOUS)
-
     @cached_property
     def history(self) -> DataFrame:
         return health.compute_health_history(
@@ -58,6 +55,12 @@ class Bound:
     def pairs(self) -> DataFrame:
         return snapshots.pair_snapshots(self.history, as_of_day(AS_OF), as_of_day(PREVIOUS))
 
+    def store_scores(self) -> Bound:
+        """Score once for all that follows, as a run does, and go on from what is stored."""
+        self.history = store_once(self.history)
+        self.scores = self.history.filter(F.col("score_date") == as_of_day(AS_OF))
+        return self
+
     @cached_property
     def account_health(self) -> DataFrame:
         return views.account_health(self.accounts, self.scores, self.tables["renewals"], AS_OF)
@@ -134,10 +137,13 @@ def _median_split(b: Bound) -> DataFrame:
 
 
 def _workload_latest(b: Bound) -> DataFrame:
+    b.store_scores()
+    earlier = b.history.filter(F.col("score_date") == as_of_day(PREVIOUS))
+
     def run(tables, scores, as_of):
         return score_tables(tables, scores, as_of)[1]
 
-    before = run(known_by(b.tables, PREVIOUS), b.previous_scores, PREVIOUS)
+    before = run(known_by(b.tables, PREVIOUS), earlier, PREVIOUS)
     return views.csm_workload_latest(before.unionByName(run(b.tables, b.scores, AS_OF)))
 
 
@@ -155,16 +161,19 @@ def _changed_accounts(b: Bound) -> DataFrame:
 
 
 def _run_summary(b: Bound) -> DataFrame:
+    b.scores = store_once(b.scores)
     return b.summary
 
 
 def _standalone_summary(b: Bound) -> DataFrame:
+    b.scores = store_once(b.scores)
     return standalone_summary(b.scores, b.actions)
 
 
 def _digest_lines(b: Bound) -> DataFrame:
+    b.store_scores()
     return digest.digest_lines(
-        b.summary,
+        store_once(b.summary),
         b.newly_critical,
         b.score_drops,
         b.urgent,

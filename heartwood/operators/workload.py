@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from heartwood import fixed_values as fixed
 from heartwood.functions import as_of_day, count_where, next_renewal_date, np_round
+from heartwood.operators.order_statistics import histogram, quantiles
+from heartwood.session import store_once
 
 
 def add_next_renewal(accounts: DataFrame, as_of: datetime) -> DataFrame:
@@ -83,13 +85,14 @@ def compute_csm_workload(
 def categorise_workload(scored: DataFrame) -> DataFrame:
     """Quartile categories of ``workload_score`` over the rows at hand.
 
-    When any two quartile edges coincide the split is at the median instead. The exact
-    percentiles need one row of state per distinct score, not per owner.
+    When any two quartile edges coincide the split is at the median instead. The rows, one per
+    owner, are stored first, so that what they come from is carried out once; the edges are
+    exact and come from the histogram of the scores.
     """
     score = F.col("workload_score")
-    probabilities = F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)])
-    edges = scored.agg(F.percentile(score, probabilities).alias("edges")).scalar()
-    ranked = scored.withColumn("_edges", edges)
+    stored = store_once(scored)
+    edges = quantiles(histogram(stored, "workload_score"), (0.0, 0.25, 0.5, 0.75, 1.0))
+    ranked = stored.withColumn("_edges", edges.scalar())
     lowest, q1, median, q3, highest = (F.col("_edges")[i] for i in range(5))
     balanced, elevated, high, overloaded = (F.lit(c) for c in fixed.WORKLOAD_CATEGORIES)
     all_differ = (lowest < q1) & (q1 < median) & (median < q3) & (q3 < highest)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from heartwood.sources.files import remove
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -54,6 +58,33 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables of this application, one that all executors share.
+
+    In ``spark.checkpoint.dir``, or in the warehouse where that is not set.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediate"
+    return f"{folder.rstrip('/')}/heartwood-{spark.sparkContext.applicationId}"
+
+
+def store_once(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder now and go on from there.
+
+    For a result that several branches read: its plan is carried out once, and executors may be
+    lost afterwards. :func:`clear_stored` removes the tables of an application.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Remove what :func:`store_once` has written for this application; its results end with it."""
+    remove(spark, shared_folder(spark))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store the rows in the cluster's checkpoint folder and go on from there.
 
