@@ -2,11 +2,12 @@
 
 The score compares an account's first and last quarter of usage rows, ordered by date.
 Ranking rows in a window per account would put all rows of an account into one task.
-Instead rows are first summed per account and day (map-side combine, and spread by day),
-and the quarter boundaries are found on the days, of which there are only as many as
-calendar days. Where a boundary falls between rows of one day, the usage ids of just these
-days decide. They are placed by their leading bits, then the next ones, then the rest, so
-that no group ordered in one task has more than 2^22 members, however many rows a day has.
+Instead rows are first summed per account and day (map-side combine, and spread by day), and
+an account's days become one array, of which there are only as many as calendar days (times
+the sets of missing metrics). The days on which its quarters end are found in that array.
+Where a quarter ends between rows of one day, the usage ids of just these days decide. They are
+placed by their leading bits, then the next ones, then the rest, so that no group ordered in one
+task has more than 2^22 members, however many rows a day has.
 A row's index is linear in its metrics, so sums over rows are all it takes.
 """
 
@@ -33,46 +34,9 @@ def _usage_sums(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _place(sums: DataFrame, group: list[str], order: str) -> DataFrame:
-    """Rows of the group before, through and in all of each order value."""
-    everything = W.partitionBy(*group)
-    upto = everything.orderBy(order)
-    rows = F.sum("rows")
-    before = rows.over(upto.rangeBetween(W.unboundedPreceding, -1))
-    through = rows.over(upto.rangeBetween(W.unboundedPreceding, W.currentRow))
-    return sums.withColumns(
-        {
-            "before": F.coalesce(before, F.lit(0)),
-            "through": through,
-            "group_rows": rows.over(everything),
-        }
-    )
-
-
-def _mark_ends(placed: DataFrame) -> DataFrame:
-    """How many rows of each order value are among the first/last ones wanted.
-
-    ``want_early`` and ``want_late`` say how many the whole group has to give.
-    """
-    here = F.col("through") - F.col("before")
-    after = F.col("group_rows") - F.col("through")
-    early = F.least(here, F.greatest(F.lit(0), F.col("want_early") - F.col("before")))
-    late = F.least(here, F.greatest(F.lit(0), F.col("want_late") - after))
-    return placed.withColumns({"here": here, "early": early, "late": late})
-
-
-def _end_totals(marked: DataFrame, divisible: bool) -> DataFrame:
-    """Index sums and row counts of the early and late end, per account.
-
-    Order values count in whole or not at all, as split ones are looked at more closely,
-    unless they are ``divisible``: rows that agree even in their id count in part.
-    """
-
-    def share(end: str) -> Column:
-        part = F.col(end) / F.col("here")
-        return part if divisible else F.floor(part).cast("double")
-
-    index = sum(
+def _index() -> Column:
+    """Index sum of the rows of one sum: metrics against the account's means, weighted."""
+    return sum(
         (
             weight
             * F.when(F.col(f"{name}_mean") == 0, F.col("rows").cast("double")).otherwise(
@@ -82,72 +46,136 @@ def _end_totals(marked: DataFrame, divisible: bool) -> DataFrame:
         ),
         F.lit(0.0),
     )
-    marked = marked.withColumn("index", index)
-    ends = ("early", "late")
-    counted = F.when(F.col("index").isNotNull(), F.col("rows"))
-    return marked.groupBy("account_id").agg(
-        F.max("account_rows").alias("account_rows"),
-        *[F.sum(F.col("index") * share(end)).alias(f"{end}_index") for end in ends],
-        *[F.sum(counted * share(end)).alias(f"{end}_rows") for end in ends],
-    )
 
 
-def _split_days(marked: DataFrame) -> DataFrame:
-    """The days only a part of whose rows is wanted, with the account's means."""
-    early_cut = (F.col("early") > 0) & (F.col("early") < F.col("here"))
-    late_cut = (F.col("late") > 0) & (F.col("late") < F.col("here"))
-    return (
-        marked.filter(early_cut | late_cut)
-        .select(
-            "account_id",
-            "day",
-            "account_rows",
-            F.col("here").alias("split_rows"),
-            *[f"{name}_mean" for name in _METRICS],
-            F.when(early_cut, F.col("early")).otherwise(F.lit(0)).alias("want_early"),
-            F.when(late_cut, F.col("late")).otherwise(F.lit(0)).alias("want_late"),
-        )
-        .distinct()
-    )
+def _end_day(days: Column, wanted: Column) -> Column:
+    """The day in which the ``wanted``-th row of an array of sums lies, counted from its start."""
+    start = F.struct(F.lit(0).cast("bigint").alias("rows"), F.lit(None).cast("int").alias("day"))
+
+    def count(so_far: Column, sums: Column) -> Column:
+        rows = so_far["rows"] + sums["rows"]
+        reached = so_far["day"].isNull() & (rows >= wanted)
+        return F.struct(rows.alias("rows"), F.when(reached, sums["day"]).otherwise(so_far["day"]).alias("day"))
 
+    return F.aggregate(days, start, count, lambda end: end["day"])
 
-def _mark_days(sums: DataFrame) -> DataFrame:
-    """Days with the account's means and their part in its first and last quarter."""
-    by_day = _place(sums, ["account_id"], "day")
-    account = W.partitionBy("account_id")
+
+def _account_states(sums: DataFrame) -> DataFrame:
+    """One row per account: what its days give to both quarters, and the days that are cut.
+
+    ``cuts`` has at most two days, with their rows and how many of them the quarters want;
+    all other days count in whole or not at all.
+    """
     means = {}
     for bit, name in enumerate(_METRICS):
         present = F.when(F.col("missing").bitwiseAND(1 << bit) == 0, F.col("rows"))
-        means[f"{name}_mean"] = F.try_divide(
-            F.sum(name).over(account).cast("double"), F.sum(present).over(account)
-        )
-    by_day = by_day.withColumns(means).withColumn("account_rows", F.col("group_rows"))
-    quarter = F.greatest(F.lit(1), F.floor(F.col("account_rows") / 4))
-    return _mark_ends(by_day.withColumns({"want_early": quarter, "want_late": quarter}))
+        means[f"{name}_mean"] = F.try_divide(F.sum(name).cast("double"), F.sum(present))
+    state = sums.groupBy("account_id").agg(
+        F.sort_array(F.collect_list(F.struct("day", "missing", "rows", *_METRICS))).alias("days"),
+        F.sum("rows").alias("account_rows"),
+        *[mean.alias(name) for name, mean in means.items()],
+    )
+    state = state.withColumn(
+        "wanted", F.greatest(F.lit(1), F.floor(F.col("account_rows") / 4)).cast("bigint")
+    )
+    state = state.withColumns(
+        {
+            "early_day": _end_day(F.col("days"), F.col("wanted")),
+            "late_day": _end_day(F.reverse("days"), F.col("wanted")),
+        }
+    )
+    account = ["account_rows", "wanted", "early_day", "late_day", *means]
+    days = state.select("account_id", *account, F.inline("days")).withColumn("index", _index())
+    counted = F.when(F.col("index").isNotNull(), F.col("rows"))
+    inside = {
+        "early": F.col("day") < F.col("early_day"),
+        "late": F.col("day") > F.col("late_day"),
+    }
+    totals = []
+    for end, within in inside.items():
+        last = F.col("day") == F.col(f"{end}_day")
+        for place, condition in (("inside", within), ("last", last)):
+            totals += [
+                F.sum(F.when(condition, F.col("rows"))).alias(f"{end}_{place}"),
+                F.sum(F.when(condition, F.col("index"))).alias(f"{end}_{place}_index"),
+                F.sum(F.when(condition, counted)).alias(f"{end}_{place}_rows"),
+            ]
+    states = days.groupBy("account_id").agg(*[F.first(c).alias(c) for c in account], *totals)
+    left, cut = {}, {}
+    for end in inside:
+        left[end] = F.col("wanted") - F.coalesce(F.col(f"{end}_inside"), F.lit(0))
+        cut[end] = left[end] < F.col(f"{end}_last")
+
+    def give(end: str, kind: str) -> Column:
+        whole = F.when(~cut[end], F.col(f"{end}_last_{kind}"))
+        parts = (F.col(f"{end}_inside_{kind}"), whole)
+        return sum((F.coalesce(part.cast("double"), F.lit(0.0)) for part in parts), F.lit(0.0))
+
+    def cut_day(end: str) -> Column:
+        """The day on which a quarter ends, and what both quarters want of it."""
+        day = F.col(f"{end}_day")
+        wants = [
+            F.when(cut[e] & (F.col(f"{e}_day") == day), left[e]).otherwise(F.lit(0))
+            .cast("bigint").alias(f"want_{e}")
+            for e in inside
+        ]
+        return F.struct(day.alias("day"), F.col(f"{end}_last").alias("split_rows"), *wants)
+
+    cuts = F.array_distinct(F.array_compact(F.array(*[F.when(cut[e], cut_day(e)) for e in inside])))
+    return states.select(
+        "account_id",
+        "account_rows",
+        *means,
+        *[give(end, kind).alias(f"{end}_{kind}") for kind in ("index", "rows") for end in inside],
+        cuts.alias("cuts"),
+    )
 
 
-def _order_by_id(rows: DataFrame, split_days: DataFrame, *orders: str) -> DataFrame:
-    """The rows of split days, marked in the order of their usage ids.
+def _cut_totals(rows: DataFrame, cuts: DataFrame, *orders: str) -> DataFrame:
+    """What the rows of cut days give to both quarters, in the order of their usage ids.
 
-    ``orders`` lead from the first bits of an id to the id. Values of each are placed
-    among those that agree in the bits before, and offset by where these begin.
+    ``orders`` lead from the first bits of an id to the id. Values of each are placed among
+    those that agree in the bits before, from where these begin. Rows that agree even in
+    their id count in part.
     """
     keys = ["account_id", "day"]
-    rows = rows.join(split_days.select(*keys), keys, "left_semi")
-    begins = split_days.withColumn("offset", F.lit(0))
-    carried = [name for name in begins.columns if name not in (*keys, "offset")]
+    # moved before the joins, so that adaptive execution knows how few days there are, if any
+    begins = cuts.withColumn("offset", F.lit(0).cast("bigint")).repartition(*keys)
+    carried = [name for name in cuts.columns if name not in keys]
     for order in orders:
-        if order == orders[-1]:
-            counted = _usage_sums(rows, *keys, order)
-        else:
-            counted = rows.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("rows"))
-        placed = _place(counted, keys, order).join(begins, keys)
-        placed = placed.withColumns(
-            {name: F.col(name) + F.col("offset") for name in ("before", "through")}
+        # one row of ``begins`` for each group of rows, so its columns ride along
+        here = rows.join(begins, keys)
+        taken = [F.first(name).alias(name) for name in (*carried, "offset")]
+        last = order == orders[-1]
+        counts = [F.count(F.lit(1)).alias("rows")]
+        counts += [F.sum(name).alias(name) for name in _METRICS] if last else []
+        counted = here.groupBy(*keys, order, *(["missing"] if last else [])).agg(*counts, *taken)
+        upto = W.partitionBy(*keys).orderBy(order)
+        total = F.sum("rows")
+        placed = counted.select(
+            "*",
+            total.over(upto.rangeBetween(W.unboundedPreceding, -1)).alias("before"),
+            total.over(upto.rangeBetween(W.unboundedPreceding, W.currentRow)).alias("through"),
+        ).withColumns(
+            {
+                "before": F.coalesce("before", F.lit(0)) + F.col("offset"),
+                "through": F.col("through") + F.col("offset"),
+            }
         )
         keys = [*keys, order]
         begins = placed.select(*keys, *carried, F.col("before").alias("offset"))
-    return _mark_ends(placed.withColumn("group_rows", F.col("split_rows")))
+    size = F.col("through") - F.col("before")
+    taken = {
+        "early": F.col("want_early") - F.col("before"),
+        "late": F.col("want_late") - (F.col("split_rows") - F.col("through")),
+    }
+    share = {end: F.least(size, F.greatest(F.lit(0), n)) / size for end, n in taken.items()}
+    placed = placed.withColumns({"index": _index(), **{f"{e}_share": x for e, x in share.items()}})
+    counted = F.when(F.col("index").isNotNull(), F.col("rows"))
+    return placed.groupBy("account_id").agg(
+        *[F.sum(F.col("index") * F.col(f"{end}_share")).alias(f"part_{end}_index") for end in share],
+        *[F.sum(counted * F.col(f"{end}_share")).alias(f"part_{end}_rows") for end in share],
+    )
 
 
 def score_engagement(usage: DataFrame) -> DataFrame:
@@ -165,22 +193,16 @@ def score_engagement(usage: DataFrame) -> DataFrame:
         *_METRICS,
         sum(missing, F.lit(0)).alias("missing"),
     )
-    days = _mark_days(_usage_sums(rows, "account_id", "day"))
-    split_rows = _order_by_id(rows, _split_days(days), *_ID_PREFIXES, "usage_id")
-
-    ends = ["early_index", "late_index", "early_rows", "late_rows"]
-    whole = _end_totals(days, divisible=False)
-    parts = _end_totals(split_rows, divisible=True).select(
-        "account_id", *[F.col(end).alias(f"part_{end}") for end in ends]
+    states = _account_states(_usage_sums(rows, "account_id", "day"))
+    cuts = states.select(
+        "account_id", *[f"{name}_mean" for name in _METRICS], F.inline("cuts")
     )
-    totals = whole.join(parts, "account_id", "left").select(
+    parts = _cut_totals(rows, cuts, *_ID_PREFIXES, "usage_id")
+    ends = ["early_index", "late_index", "early_rows", "late_rows"]
+    totals = states.join(parts, "account_id", "left").select(
         "account_id",
         "account_rows",
-        *[
-            (F.coalesce(F.col(end), F.lit(0.0)) + F.coalesce(F.col(f"part_{end}"), F.lit(0.0)))
-            .alias(end)
-            for end in ends
-        ],
+        *[(F.col(end) + F.coalesce(F.col(f"part_{end}"), F.lit(0.0))).alias(end) for end in ends],
     )
 
     early = F.try_divide(F.col("early_index"), F.col("early_rows"))

@@ -157,3 +157,13 @@ def test_tables_are_not_read_over_and_over(spark, name, most):
 def test_nothing_is_sorted_below_the_digest(spark):
     df = registered_queries()["digest_lines"](spark, str(DIRECTORY))
     assert "Sort [" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@on_test_tables
+@pytest.mark.parametrize("name", ["engagement_score", "engagement_score_events"])
+def test_engagement_plans_few_scans_and_windows(spark, name):
+    df = registered_queries()[name](spark, str(DIRECTORY))
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    starts = [line.lstrip(" :+-") for line in lines]
+    assert sum(start.startswith("Relation") for start in starts) <= 5
+    assert sum(start.startswith("Window") for start in starts) <= 3
