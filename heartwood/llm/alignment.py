@@ -35,10 +35,8 @@ SLICE = 8192
 BRANCHES = 32
 #: bytes of the texts that are encoded together
 BYTES = 1_000_000
-#: documents whose links are counted together
-DOCUMENTS = 1000
-#: entries of a word table
-ENTRIES = 300_000
+#: entries of a word table, of which a worker has two; words that are learnt together
+ENTRIES, WORDS = 100_000, 2000
 
 
 # --- encoding -----------------------------------------------------------------
@@ -76,55 +74,80 @@ class Encoders:
         self.whole = re.compile("" if crossing else r"  |\s \s|^ | \Z|▁")
         self.lengths_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.digits = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        # words met lately, and before that
         self.words: dict[str, tuple[bytes, bytes, str] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes, str] | None] = {}
 
     def bound(self) -> int:
         """No more distinct pairs than this can be linked."""
         return int(self.lengths_a.sum() + self.lengths_b.sum())
 
-    def _aligned(self, texts: list[str]) -> Iterator[tuple[bytes, bytes, str] | None]:
-        """Ids of both tokenizers and groups of each text with a space before it; None where the
-        tokens do not give back its bytes."""
-        spaced = [" " + t for t in texts]
-        first = self.first.encode_batch_fast(spaced, add_special_tokens=False)
-        for text, a, b in zip(spaced, first, self.second.encode(texts, num_threads=1)):
-            a = a.ids
-            bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            whole = text.encode()
-            if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
-                yield None
-                continue
-            groups, i, j, end_a, end_b = [], 0, 0, 0, 0
-            begin = 0, 0
-            while i < len(a):
-                if end_a <= end_b:
-                    end_a += len(bytes_a[i])
-                    i += 1
-                while end_b < end_a:
-                    end_b += len(bytes_b[j])
-                    j += 1
-                if end_a == end_b:
-                    groups.append(
-                        f"{','.join(map(str, a[begin[0] : i]))}|{','.join(map(str, b[begin[1] : j]))}"
-                    )
-                    begin = i, j
-            yield np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), ";".join(groups)
+    def _ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a text with a space before it; None where the tokens do not give back its bytes."""
+        a = self.first.encode(" " + text, add_special_tokens=False).ids
+        b = self.second.encode(text)
+        whole = b" " + text.encode()
+        if (
+            b"".join([self.bytes_a[i] for i in a]) != whole
+            or b"".join([self.bytes_b[i] for i in b]) != whole
+        ):
+            return None
+        return np.array(a, "<u4"), np.array(b, "<u4")
+
+    def _groups(self, a: np.ndarray, b: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The groups of a text's ids, and the place in ``a`` at which each one ends."""
+        to_a, to_b = link_places(a, b, self.lengths_a, self.lengths_b)
+        text_a, text_b = [self.digits[i] for i in a.tolist()], [self.digits[i] for i in b.tolist()]
+        out, i, j = [], 0, 0
+        for x, y in zip((to_a + 1).tolist(), (to_b + 1).tolist()):
+            out.append(",".join(text_a[i:x]) + "|" + ",".join(text_b[j:y]))
+            i, j = x, y
+        return out, to_a
+
+    def _whole(self, text: str) -> tuple[bytes, bytes, str] | None:
+        """Ids of both tokenizers and groups of a text with a space before it."""
+        ids = self._ids(text)
+        if ids is None:
+            return None
+        return ids[0].tobytes(), ids[1].tobytes(), ";".join(self._groups(*ids)[0])
+
+    def _learn(self, words: list[str]) -> None:
+        """Words encoded as one text and cut apart where they end."""
+        joined = " ".join(words)
+        ids = None if self.whole.search(joined) else self._ids(joined)
+        if ids is None:  # one of them, or two on end, is no plain text
+            self.words.update((w, self._whole(w)) for w in words)
+            return
+        a, b = ids
+        groups, ends = self._groups(a, b)
+        stops = np.cumsum(np.array([len(w.encode()) + 1 for w in words]))
+        cut_a = np.searchsorted(np.cumsum(self.lengths_a[a]), stops) + 1
+        cut_b = np.searchsorted(np.cumsum(self.lengths_b[b]), stops) + 1
+        cuts = zip((4 * cut_a).tolist(), (4 * cut_b).tolist(), np.searchsorted(ends, cut_a).tolist())
+        data_a, data_b = a.tobytes(), b.tobytes()
+        i = j = k = 0
+        for word, (x, y, z) in zip(words, cuts):
+            self.words[word] = data_a[i:x], data_b[j:y], ";".join(groups[k:z])
+            i, j, k = x, y, z
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes, str]]:
         """Ids of both tokenizers and groups; empty for an empty text or one that either changes."""
         plain = [not self.whole.search(t) for t in texts]
         split = [t.split(" ") if p else [] for t, p in zip(texts, plain)]
+        missing = set().union(*split).difference(self.words)
+        if len(self.words) + len(missing) > ENTRIES:  # words not met again are forgotten
+            self.older, self.words = self.words, {}
+            missing = set().union(*split)
+        known = missing & self.older.keys()
+        self.words.update((w, self.older[w]) for w in known)
+        new = list(missing - known)
+        for at in range(0, len(new), WORDS):
+            self._learn(new[at : at + WORDS])
         words = self.words
-        missing = set().union(*split).difference(words)
-        if len(words) + len(missing) > ENTRIES:  # short words are the common ones
-            self.words = words = {w: x for w, x in words.items() if len(w) <= 7}
-            missing = set().union(*split).difference(words)
-        new = list(missing)
-        words.update(zip(new, self._aligned(new)))
-        whole = self._aligned([t for t, p in zip(texts, plain) if not p])
         out = []
         for text, parts, p in zip(texts, split, plain):
-            found = [words[w] for w in parts] if p else [next(whole)]
+            found = [words[w] for w in parts] if p else [self._whole(text)]
             if not text or None in found:
                 out.append((b"", b"", ""))
             else:
@@ -142,6 +165,13 @@ def _encoders(byte_level: str, pieces: str) -> Encoders:
     return Encoders(byte_level, pieces)
 
 
+def _lengths(byte_level: str, pieces: str) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of each token, for the passes that encode nothing; word tables are given up."""
+    both = _encoders(byte_level, pieces)
+    both.words, both.older = {}, {}
+    return both.lengths_a, both.lengths_b
+
+
 # --- alignment ----------------------------------------------------------------
 
 
@@ -243,24 +273,33 @@ def _encode(byte_level: str, pieces: str):
     return encode
 
 
-def _links(batch: pa.RecordBatch, row: int, both: Encoders) -> np.ndarray:
-    """Keys of the links of one encoded document."""
-    a = np.frombuffer(batch.column("ids_a")[row].as_py(), "<u4")
-    b = np.frombuffer(batch.column("ids_b")[row].as_py(), "<u4")
-    to_a, to_b = link_places(a, b, both.lengths_a, both.lengths_b)
-    return pair_key(a[to_a], b[to_b])
+def _links(
+    batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys of all links of some encoded documents, and for each its ids A, ids B and links.
+
+    The ids of all of them on end are aligned at once: every document's tokens end together.
+    """
+    sides, places = [], []
+    for name in ("ids_a", "ids_b"):
+        data, offsets = text_buffers(batch.column(name))
+        sides.append(data.view("<u4"))
+        places.append(offsets // 4)
+    to_a, to_b = link_places(*sides, *lengths)
+    numbers = [np.diff(offsets) for offsets in places]
+    numbers.append(np.diff(np.searchsorted(to_a, places[0])))
+    return pair_key(sides[0][to_a], sides[1][to_b]), numbers
 
 
 def _count_pairs(byte_level: str, pieces: str):
     """Arrow function: the pairs linked in a task's documents and how often, once per task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = _encoders(byte_level, pieces)
+        lengths = _lengths(byte_level, pieces)
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
-            links = [_links(batch, i, both) for i in range(batch.num_rows)]
-            for at in range(0, len(links), DOCUMENTS):
-                new, n = np.unique(np.concatenate(links[at : at + DOCUMENTS]), return_counts=True)
+            for part in _blocks(batch):
+                new, n = np.unique(_links(part, lengths)[0], return_counts=True)
                 keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
                 merged = np.zeros(len(keys), np.int64)
                 np.add.at(merged, inverse, np.concatenate([counts, n]))
@@ -273,6 +312,13 @@ def _count_pairs(byte_level: str, pieces: str):
     return count
 
 
+def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows whose ids have some megabytes together."""
+    _, offsets = text_buffers(batch.column("ids_a"))
+    for first, last in row_blocks(offsets, BYTES):
+        yield batch.slice(first, last - first)
+
+
 def _dense(hashed):
     """Arrow function: a task's pair counts as slices of one dense vector."""
 
@@ -322,32 +368,33 @@ def _look_up(byte_level: str, pieces: str, shared):
     """Arrow function: the figures of each document, its links aligned again."""
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = _encoders(byte_level, pieces)
+        lengths = _lengths(byte_level, pieces)
         table, counts, best = shared.value
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("n_a", "n_b", "n_links", "n_best", "count_sum")}
-            for row in range(batch.num_rows):
-                number = table.number(_links(batch, row, both))
+            for part in _blocks(batch):
+                keys, (n_a, n_b, n_links) = _links(part, lengths)
+                number = table.number(keys)
                 if (number < 0).any():
                     raise ValueError("a link that was not counted")
-                out["n_a"].append(len(batch.column("ids_a")[row].as_py()) // 4)
-                out["n_b"].append(len(batch.column("ids_b")[row].as_py()) // 4)
-                out["n_links"].append(len(number))
-                out["n_best"].append(int(best[number].sum()))
-                out["count_sum"].append(int(counts[number].sum()))
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "n_a": pa.array(out["n_a"], pa.int64()),
-                    "n_b": pa.array(out["n_b"], pa.int64()),
-                    # every link ends a group, and only links do
-                    "n_groups": pa.array(out["n_links"], pa.int64()),
-                    "n_links": pa.array(out["n_links"], pa.int64()),
-                    "n_best": pa.array(out["n_best"], pa.int64()),
-                    "count_sum": pa.array(out["count_sum"], pa.int64()),
-                    "groups_sha256": batch.column("groups_sha256"),
-                }
-            )
+                ends = np.cumsum(n_links)
+
+                def per_document(figures: np.ndarray) -> pa.Array:
+                    sums = np.concatenate([[0], np.cumsum(figures, dtype=np.int64)])
+                    return pa.array(sums[ends] - sums[ends - n_links], pa.int64())
+
+                yield pa.record_batch(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "n_a": pa.array(n_a, pa.int64()),
+                        "n_b": pa.array(n_b, pa.int64()),
+                        # every link ends a group, and only links do
+                        "n_groups": pa.array(n_links, pa.int64()),
+                        "n_links": pa.array(n_links, pa.int64()),
+                        "n_best": per_document(best[number]),
+                        "count_sum": per_document(counts[number]),
+                        "groups_sha256": part.column("groups_sha256"),
+                    }
+                )
 
     return look_up
 
