@@ -36,7 +36,7 @@ BRANCHES = 32
 #: bytes of the texts that are encoded together
 BYTES = 1_000_000
 #: entries of a word table, of which a worker has two; words that are learnt together
-ENTRIES, WORDS = 100_000, 2000
+ENTRIES, WORDS = 60_000, 2000
 
 
 # --- encoding -----------------------------------------------------------------
@@ -74,15 +74,13 @@ class Encoders:
         self.whole = re.compile("" if crossing else r"  |\s \s|^ | \Z|▁")
         self.lengths_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        #: ids are kept in two bytes where that is enough
+        self.kind = id_kind(len(self.bytes_a), len(self.bytes_b))
         self.digits = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
         # words met lately, and before that
         self.words: dict[str, tuple[bytes, bytes, str] | None] = {}
         self.older: dict[str, tuple[bytes, bytes, str] | None] = {}
 
-    def bound(self) -> int:
-        """No more distinct pairs than this can be linked."""
-        return int(self.lengths_a.sum() + self.lengths_b.sum())
-
     def _ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of a text with a space before it; None where the tokens do not give back its bytes."""
         a = self.first.encode(" " + text, add_special_tokens=False).ids
@@ -93,7 +91,7 @@ class Encoders:
             or b"".join([self.bytes_b[i] for i in b]) != whole
         ):
             return None
-        return np.array(a, "<u4"), np.array(b, "<u4")
+        return np.array(a, self.kind), np.array(b, self.kind)
 
     def _groups(self, a: np.ndarray, b: np.ndarray) -> tuple[list[str], np.ndarray]:
         """The groups of a text's ids, and the place in ``a`` at which each one ends."""
@@ -124,7 +122,8 @@ class Encoders:
         stops = np.cumsum(np.array([len(w.encode()) + 1 for w in words]))
         cut_a = np.searchsorted(np.cumsum(self.lengths_a[a]), stops) + 1
         cut_b = np.searchsorted(np.cumsum(self.lengths_b[b]), stops) + 1
-        cuts = zip((4 * cut_a).tolist(), (4 * cut_b).tolist(), np.searchsorted(ends, cut_a).tolist())
+        width = np.dtype(self.kind).itemsize
+        cuts = zip((width * cut_a).tolist(), (width * cut_b).tolist(), np.searchsorted(ends, cut_a).tolist())
         data_a, data_b = a.tobytes(), b.tobytes()
         i = j = k = 0
         for word, (x, y, z) in zip(words, cuts):
@@ -165,11 +164,17 @@ def _encoders(byte_level: str, pieces: str) -> Encoders:
     return Encoders(byte_level, pieces)
 
 
-def _lengths(byte_level: str, pieces: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of each token, for the passes that encode nothing; word tables are given up."""
-    both = _encoders(byte_level, pieces)
-    both.words, both.older = {}, {}
-    return both.lengths_a, both.lengths_b
+@dataclass(frozen=True)
+class Sizes:
+    """What the passes over kept ids need of both vocabularies: the bytes of each token."""
+
+    a: np.ndarray
+    b: np.ndarray
+    kind: str
+
+
+def id_kind(*sizes: int) -> str:
+    return "<u2" if max(sizes) <= 1 << 16 else "<u4"
 
 
 # --- alignment ----------------------------------------------------------------
@@ -274,7 +279,7 @@ def _encode(byte_level: str, pieces: str):
 
 
 def _links(
-    batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray]
+    batch: pa.RecordBatch, sizes: Sizes
 ) -> tuple[np.ndarray, list[np.ndarray]]:
     """Keys of all links of some encoded documents, and for each its ids A, ids B and links.
 
@@ -283,23 +288,23 @@ def _links(
     sides, places = [], []
     for name in ("ids_a", "ids_b"):
         data, offsets = text_buffers(batch.column(name))
-        sides.append(data.view("<u4"))
-        places.append(offsets // 4)
-    to_a, to_b = link_places(*sides, *lengths)
+        sides.append(data.view(sizes.kind))
+        places.append(offsets // np.dtype(sizes.kind).itemsize)
+    to_a, to_b = link_places(*sides, sizes.a, sizes.b)
     numbers = [np.diff(offsets) for offsets in places]
     numbers.append(np.diff(np.searchsorted(to_a, places[0])))
     return pair_key(sides[0][to_a], sides[1][to_b]), numbers
 
 
-def _count_pairs(byte_level: str, pieces: str):
+def _count_pairs(sizes: Sizes):
     """Arrow function: the pairs linked in a task's documents and how often, once per task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = _lengths(byte_level, pieces)
+        _encoders.cache_clear()  # encoding is over: give its memory back
         keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for part in _blocks(batch):
-                new, n = np.unique(_links(part, lengths)[0], return_counts=True)
+                new, n = np.unique(_links(part, sizes)[0], return_counts=True)
                 keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
                 merged = np.zeros(len(keys), np.int64)
                 np.add.at(merged, inverse, np.concatenate([counts, n]))
@@ -364,15 +369,15 @@ def _add(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _look_up(byte_level: str, pieces: str, shared):
+def _look_up(sizes: Sizes, shared):
     """Arrow function: the figures of each document, its links aligned again."""
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = _lengths(byte_level, pieces)
+        _encoders.cache_clear()
         table, counts, best = shared.value
         for batch in batches:
             for part in _blocks(batch):
-                keys, (n_a, n_b, n_links) = _links(part, lengths)
+                keys, (n_a, n_b, n_links) = _links(part, sizes)
                 number = table.number(keys)
                 if (number < 0).any():
                     raise ValueError("a link that was not counted")
@@ -402,16 +407,14 @@ def _look_up(byte_level: str, pieces: str, shared):
 # --- operator -----------------------------------------------------------------
 
 
-def pair_counts(
-    encoded: DataFrame, byte_level: str, pieces: str
-) -> tuple[PerfectHash, np.ndarray]:
+def pair_counts(encoded: DataFrame, sizes: Sizes) -> tuple[PerfectHash, np.ndarray]:
     """Hash of the distinct linked pairs of an encoded corpus, and their counts by number."""
     spark = encoded.sparkSession
-    per_task = store(encoded.mapInArrow(_count_pairs(byte_level, pieces), "pair long, n long"))
+    per_task = store(encoded.mapInArrow(_count_pairs(sizes), "pair long, n long"))
     # bounded by the vocabularies, see above
     keys = per_task.select("pair").distinct().toArrow()["pair"].to_numpy().astype(np.uint64)
     table = PerfectHash.of(keys)
-    if len(table.keys) > Encoders(byte_level, pieces).bound():
+    if len(table.keys) > int(sizes.a.sum() + sizes.b.sum()):
         raise ValueError("more pairs than these vocabularies can link")
     dense = np.zeros(-(-len(table.keys) // SLICE) * SLICE, np.int64)
     shared = spark.sparkContext.broadcast(table)
@@ -460,10 +463,12 @@ def align(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
             "doc_id long, ids_a binary, ids_b binary, groups_sha256 string",
         )
     )
-    table, counts = pair_counts(encoded, byte_level, pieces)
+    both = Encoders(byte_level, pieces)
+    sizes = Sizes(both.lengths_a, both.lengths_b, both.kind)
+    table, counts = pair_counts(encoded, sizes)
     shared = spark.sparkContext.broadcast((table, counts, best_of_second(table, counts)))
     return encoded.mapInArrow(
-        _look_up(byte_level, pieces, shared),
+        _look_up(sizes, shared),
         "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, "
         "count_sum long, groups_sha256 string",
     )
