@@ -20,6 +20,7 @@ from heartwood.functions import as_of_day
 from heartwood.plans.automation_run import standalone_summary
 from heartwood.plans.scoring_run import run_summary, score_tables
 from heartwood.session import store_once
+from heartwood.sources.sql import names_of
 from heartwood.sources.star_binding import CanonicalTables, known_by
 
 AS_OF = datetime(2001, 8, 15)
@@ -243,6 +244,8 @@ DEFINITIONS: dict[str, Callable[[Bound], DataFrame]] = {
     "score_drops": lambda b: b.score_drops.orderBy(F.desc("drop"), "account_id"),
     "urgent_actions": lambda b: snapshots.urgent_action_items(b.actions, b.accounts, AS_OF),
     "changed_accounts": _changed_accounts,
+    # ids below 1 and far beyond the last one name no account
+    "account_names_by_id": lambda b: names_of(b.accounts, [-1, 0, 1, 2, 3, 5, 8, 13, 10**12]),
     "digest_lines": _digest_lines,
     "run_summary": _run_summary,
     "standalone_summary": _standalone_summary,
