@@ -232,10 +232,13 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     rest = [c for c in docs.columns if c not in new]
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
     names = np.array([*model.langs, "und"], object)
+    flag = "has_letter"
+    while flag in docs.columns:
+        flag += "_"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            letters = batch.column("has_letter").to_numpy(zero_copy_only=False)
+            letters = batch.column(flag).to_numpy(zero_copy_only=False)
             data, offsets = text_buffers(batch.column("text"))
             for lo, hi in row_blocks(offsets, BLOCK):
                 piece = data[offsets[lo] : offsets[hi]]
@@ -261,7 +264,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.select(*rest, has_letter.alias("has_letter")).mapInArrow(
+    return docs.select(*rest, has_letter.alias(flag)).mapInArrow(
         run, f"{kinds}, lang_pred string, score double, languages array<string>"
     )
 

@@ -71,3 +71,13 @@ def test_em_equals_a_plain_loop():
     if chosen[0].all():
         assert np.allclose(share[0], p, atol=0.05)
     assert np.isclose(share[0].sum(), 1)
+
+
+def test_clashing_columns_stay(spark):
+    model = train(spark.createDataFrame(corpus(50, 2), "doc_id long, text string, lang string"))
+    docs = spark.createDataFrame(
+        [(1, "kora mila", "mine", 7, 0.5)],
+        "doc_id long, text string, has_letter string, has_letter_ int, score double",
+    )
+    row = identify(docs, model).first()
+    assert (row.has_letter, row.has_letter_, row.lang_pred) == ("mine", 7, "aa")
