@@ -28,12 +28,13 @@ from heartwood.llm.common import components, mix, row_blocks, store, text_buffer
 from heartwood.llm.words import spaced_words, word_hashes
 
 SHINGLE = 5
-#: a pair at similarity 0.75 shares no band with probability 2e-4, one at 0.3 shares one with 7 %
-BANDS, ROWS = 32, 5
+#: a pair at similarity 0.75 shares no band with probability (1 - 0.75^4)^40 = 2.5e-7, one at 0.8
+#: with 6e-10; one at 0.3 shares one with 28 %
+BANDS, ROWS = 40, 4
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
-#: four times the estimate's standard deviation at 0.75
-SLACK = 0.15
+#: six times the estimate's standard deviation at 0.75
+SLACK = 0.25
 #: members of a bucket on either side of a comparison in one task
 MEMBERS = 2048
 BLOCK = 1 << 19
@@ -302,15 +303,23 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
         *text_id(F.col("text")),
     )
-    signed = store(named.mapInArrow(_signatures, _SIGNATURE))
+    return _from_signatures(named, named.mapInArrow(_signatures, _SIGNATURE), percent)
+
+
+def _from_signatures(named: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` of texts with names and signatures. A class is its set's two hashes;
+    its node is a number given once, when the classes are written."""
+    signed = store(signatures)
     classes = store(
         signed.where("n_shingles > 0")
-        .groupBy(F.col("set_a").alias("node"), "set_b")
+        .groupBy("set_a", "set_b")
         .agg(
             F.min("doc_id").alias("least"),
             F.min(F.struct("text_a", "text_b", "bands", "sketch")).alias("one"),
         )
-        .select("node", "least", "one.*")
+        .select(
+            F.monotonically_increasing_id().alias("node"), "set_a", "set_b", "least", "one.*"
+        )
     )
     buckets = classes.select("node", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot"))
@@ -348,27 +357,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     if not across.isEmpty():
         linked = _joined(linked, across)
 
-    return (
-        signed.withColumn("node", F.when(F.col("n_shingles") > 0, F.col("set_a")))
-        .join(linked, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-        .drop("node")
-        .transform(_with_least, classes, linked)
-    )
+    return _with_least(signed, classes, linked)
 
 
-def _with_least(rows: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
-    """Component names turned into the smallest doc_id in the component."""
-    names = (
-        classes.select("node", "least")
+def _with_least(signed: DataFrame, classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """Rows with the smallest doc_id of their component, by their class."""
+    placed = (
+        classes.select("node", "set_a", "set_b", "least")
         .join(linked, "node", "left")
-        .groupBy(F.coalesce("component", "node").alias("component"))
-        .agg(F.min("least").alias("component_id"))
+        .withColumn("component", F.coalesce("component", "node"))
+    )
+    names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    per_class = placed.join(names, "component").select(
+        "set_a", "set_b", F.lit(True).alias("classed"), "component_id"
     )
-    alone = F.col("component").isNull()
-    smallest = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
+    smallest = F.when(F.col("classed"), F.col("component_id")).otherwise(F.col("doc_id"))
+    some = F.col("n_shingles") > 0
     return (
-        rows.join(names, "component", "left")
+        signed.withColumn("set_a", F.when(some, F.col("set_a")))
+        .join(per_class, ["set_a", "set_b"], "left")
         .withColumn("component_id", smallest)
         .select(
             "doc_id",

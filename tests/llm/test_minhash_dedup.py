@@ -4,9 +4,17 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from heartwood.llm.common import text_id
 from heartwood.llm.minhash_dedup import (
+    BANDS,
+    ROWS,
+    SAMPLES,
     SKETCH_BITS,
+    SLACK,
+    _SIGNATURE,
     _bands_and_sketches,
+    _from_signatures,
+    _signatures,
     estimated_similarity,
     minhash,
     near_duplicates,
@@ -110,3 +118,31 @@ def test_sketches_estimate_similarity(spark):
     df = spark.createDataFrame(pairs, "share double, a array<long>, b array<long>")
     for row in df.select("share", estimated_similarity(F.col("a"), F.col("b")).alias("e")).collect():
         assert abs(row.share - row.e) < 0.15
+
+
+def test_classes_that_agree_in_one_hash_stay_apart(spark):
+    rows = corpus(2, 12)
+    named = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), *text_id(F.col("text"))
+    )
+    signed = named.mapInArrow(_signatures, _SIGNATURE).withColumn("set_a", F.lit(7).cast("long"))
+    got = sorted(tuple(r)[:4] for r in _from_signatures(named, signed, 75).collect())
+    assert got == sorted(brute(rows))
+
+
+def test_links_lost_to_bands_and_sketches():
+    """Pairs at exactly 0.75: the bands' formula, and no pair of 400,000 lost to either filter."""
+    assert (1 - 0.75**ROWS) ** BANDS < 1e-6
+    r = np.random.default_rng(5)
+    lost = 0
+    for _ in range(40):
+        same = r.random((10_000, SAMPLES)) < 0.75
+        one = r.integers(0, 2**32, same.shape, dtype=np.uint32)
+        two = np.where(same, one, r.integers(0, 2**32, same.shape, dtype=np.uint32))
+        (keys, s), (others, t) = _bands_and_sketches(one), _bands_and_sketches(two)
+        ones = np.bitwise_count((s ^ t).view(np.uint64)).sum(axis=1)
+        near = 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(
+            np.maximum(1 - 2 * ones / SKETCH_BITS, 1e-9)
+        )
+        lost += int((~(keys == others).any(axis=1) | (near < 0.75 - SLACK)).sum())
+    assert lost == 0
