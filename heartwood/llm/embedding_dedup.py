@@ -391,27 +391,36 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept: which rows lie near one another.
 
     ``vectors`` has vec_id, embedding and label. Rows link if their labels are equal and not null,
-    their vectors are as long, and the cosine in double precision is ``least`` or more. Vectors
+    their vectors are as long, and the cosine in double precision is ``least`` or more; vectors of
+    doubles keep their precision. Vectors
     that are missing, zero, or have missing or non-finite components link with nothing. n_links
     counts other rows, so rows with one vec_id count each. component_id is the smallest vec_id
     reachable by links, its own included; a missing vec_id is never smallest. kept marks rows that
     carry it. Other columns play no role; an empty table gives an empty result.
     """
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("embedding").cast("array<float>").alias("vector"),
+        F.col("embedding").cast(kind).alias("vector"),
         F.col("label"),
     ).withColumn("takes_part", usable(F.col("vector")) & F.col("label").isNotNull())
     rows = rows.select(
         "vec_id",
         "vector",
         "label",
-        F.when(F.col("takes_part"), F.xxhash64("label", "vector")).alias("node"),
+        F.when(F.col("takes_part"), F.xxhash64("label", "vector")).alias("name"),
         F.when(F.col("takes_part"), F.xxhash64(F.lit("second"), "label", "vector")).alias("check"),
     )
+    return _from_names(rows, least)
+
+
+def _from_names(rows: DataFrame, least: float) -> DataFrame:
+    """``near_duplicates`` of rows (vec_id, vector, label) with the two hashes that name their
+    class. A class's node is a number given once, when the classes are written."""
     classes = store(
-        rows.where("node is not null")
-        .groupBy("node", "check")
+        rows.where("name is not null")
+        .groupBy("name", "check")
         .agg(
             F.first("label").cast("string").alias("label"),
             F.first("vector").alias("vector"),
@@ -419,6 +428,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
             F.min("vec_id").alias("least"),
         )
         .withColumn("size", F.size("vector"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
     group = ["label", "size"]
     shards = classes.groupBy(*group).agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
@@ -454,7 +464,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     )
     linked = components(found.where("b is not null").select("a", "b"))
     named = (
-        classes.select("node", "least", "weight")
+        classes.select("node", "name", "check", "least", "weight")
         .join(linked, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
@@ -463,15 +473,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
         named.join(smallest, "component")
         .join(counts, "node", "left")
         .select(
-            "node",
+            "name",
+            "check",
             "component_id",
             (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         )
     )
-    component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    component = F.when(F.col("name").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return (
-        rows.select("vec_id", "node")
-        .join(known, "node", "left")
+        rows.select("vec_id", "name", "check")
+        .join(known, ["name", "check"], "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from heartwood.llm import embedding_dedup
 from heartwood.llm.embedding_dedup import Graph, links_between, near_duplicates, unit
@@ -127,3 +128,28 @@ def test_nodes_without_in_links_are_reached():
     for neighbours in (2, 12):
         graph = Graph(x, neighbours)
         assert graph.reached().all()
+
+
+def test_classes_that_agree_in_one_hash_stay_apart(spark):
+    rows = grouped(60, 8, 4) + [(60, [1.0] * 8, None)]
+    named = frame(spark, rows).select(
+        "vec_id",
+        F.col("embedding").alias("vector"),
+        "label",
+        F.when(F.col("label").isNotNull(), F.lit(7).cast("long")).alias("name"),
+        F.when(F.col("label").isNotNull(), F.xxhash64("label", "embedding")).alias("check"),
+    )
+    found = embedding_dedup._from_names(named, 0.98).collect()
+    assert sorted(str(tuple(r)) for r in found) == brute(rows, 0.98)
+
+
+def test_doubles_keep_their_precision(spark):
+    one, turned = [1.0, 0.0], [1.0, 1e-4]
+    docs = spark.createDataFrame(
+        [(1, one, 1), (2, turned, 1), (3, [1.0, 1e-9], 1)],
+        "vec_id long, embedding array<double>, label int",
+    )
+    least = 1 - 1e-10  # 1 and 3 link, 2 is 5e-9 away
+    assert sorted(tuple(r) for r in near_duplicates(docs, least).collect()) == [
+        (1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False)
+    ]
