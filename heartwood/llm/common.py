@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -37,15 +39,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/") + "/heartwood-" + spark.sparkContext.applicationId
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     """Write the rows as a table in the shared folder and read them from there.
 
     Cuts the lineage: executors may be lost afterwards, and branches over the result do
-    not compute it again. ``clear_stored`` removes the tables of an application.
+    not compute it again. ``clear_stored`` removes the tables of an application. With
+    ``batch_bytes``, batches for Python workers hold about so many bytes and not only a number of
+    rows, whose texts may be long.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(batch_bytes) if batch_bytes else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_stored(spark: SparkSession) -> None:
@@ -54,6 +65,18 @@ def clear_stored(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return to the system what this Python worker has freed, in the tasks before too.
+
+    Allocators keep freed memory for later use, but the next task may be another operator's.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts of a column on end, and the n + 1 places where they begin."""
     if isinstance(column, pa.ChunkedArray):

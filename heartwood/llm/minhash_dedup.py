@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import components, mix, row_blocks, store, text_buffers, text_id
+from heartwood.llm.common import components, give_back, mix, row_blocks, store, text_buffers, text_id
 from heartwood.llm.words import spaced_words, word_hashes
 
 SHINGLE = 5
@@ -115,6 +115,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "sketch": pa.array(list(sketches), pa.list_(pa.int64())),
                 }
             )
+    give_back()
 
 
 _SIGNATURE = (
@@ -144,6 +145,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                 }
             )
+    give_back()
 
 
 def estimated_similarity(a: Column, b: Column) -> Column:

@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import store
+from heartwood.llm.common import give_back, store
 
 #: entries of a worker's word table; a full table keeps its short words only
 WORDS = 500_000
+#: bytes of texts that a worker gets at once, about
+BATCH_BYTES = 8 << 20
 #: texts that are encoded together
 TEXTS = 64
 #: pieces of one length are ranked in so many separate groups
@@ -102,7 +104,7 @@ class WordTokens:
 
 @cache
 def _tokens(path: str) -> WordTokens:
-    """A Python worker keeps its word table from task to task."""
+    """A Python worker keeps its word table from task to task, until pieces are placed."""
     return WordTokens(path)
 
 
@@ -110,6 +112,7 @@ def _pieces(path: str, capacity: int, end: int):
     """Arrow function: the pieces of each document's ids."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         tokens = _tokens(path)
         close = np.array([end], "<u4").tobytes()
         for batch in batches:
@@ -235,6 +238,8 @@ def _placer(plan: list[tuple[int, int, int, int, int, int]]):
     table = np.array(sorted(plan), np.int64).reshape(-1, 6)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _tokens.cache_clear()
+        give_back()
         lengths = table[:, 0]
         bounds = {int(x): np.searchsorted(lengths, [x, x + 1]) for x in np.unique(lengths)}
         for batch in batches:
@@ -274,7 +279,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1) ->
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
             _pieces(tokenizer, capacity, end),
             "doc_id long, piece int, start long, length long, ids_crc32 long",
-        )
+        ),
+        batch_bytes=BATCH_BYTES,
     ).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)))
     groups = store(pieces.groupBy("length", "salt").agg(F.count("*").alias("n")))
     # at most ``capacity`` rows

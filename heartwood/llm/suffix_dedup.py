@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import mix, text_buffers, text_id
+from heartwood.llm.common import give_back, mix, text_buffers, text_id
 
 GRAM = 32
 TILE = 1 << 17
@@ -324,6 +324,8 @@ def _merge(window: int):
                 size += len(span)
         if names:
             yield flush(names, spans, weights, members)
+        del names, spans, weights, members
+        give_back()
 
     return merge
 
