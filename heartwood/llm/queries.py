@@ -48,13 +48,22 @@ def dated_captures(pages: DataFrame) -> DataFrame:
 
 
 def dated_lists(pages: DataFrame) -> DataFrame:
-    """List entries for the hosts of the pages, with days from the bytes of the hosts' MD5."""
+    """List entries for hosts, their paths with and without final slash, and single pages, with
+    days from the bytes of the MD5 of host or page."""
     hosts = (
         pages.select(url_filter.host_of(F.col("url")).alias("host"))
         .where("host <> ''")
         .distinct()
         .withColumn("m", F.md5("host"))
     )
+    single = (
+        pages.select(
+            F.concat(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))).alias("page")
+        )
+        .where("not startswith(page, '/')")
+        .distinct()
+        .withColumn("m", F.md5("page"))
+    )
     byte = [F.conv(F.substring("m", 2 * i + 1, 2), 16, 10).cast("int") for i in range(4)]
     first = F.date_add(F.lit("2024-01-01").cast("date"), byte[1])
 
@@ -74,10 +83,19 @@ def dated_lists(pages: DataFrame) -> DataFrame:
         entry("ads", "domain", F.col("host"), "add",
               F.date_add(first, F.lit(120)), listed & (byte[3] < 128)),
         entry("adult", "url", F.concat("host", F.lit("/en/")), "add", first, byte[0] >= 200),
+        entry("adult", "url", F.concat("host", F.lit("/en")), "add", first, byte[2] >= 230),
         entry("malware", "domain", parent, "add", first, byte[3] < 10),
         entry("malware", "domain", parent, "remove", F.date_add(first, F.lit(20)), byte[3] < 5),
     )
-    return hosts.select(F.explode(entries).alias("e")).where("e is not null").select("e.*")
+    page_entries = F.array(
+        entry("phishing", "url", F.col("page"), "add", first, byte[0] < 8),
+        entry("phishing", "url", F.col("page"), "remove", F.date_add(first, F.lit(40)),
+              (byte[0] < 8) & (byte[2] < 128)),
+    )
+    rows = hosts.select(F.explode(entries).alias("e")).union(
+        single.select(F.explode(page_entries).alias("e"))
+    )
+    return rows.where("e is not null").select("e.*")
 
 
 def op3_url_filter(spark: SparkSession, directory: str) -> DataFrame:
@@ -178,12 +196,17 @@ WITH captures AS (
   SELECT page_id AS capture_id, (DATE '2024-01-01' + ((page_id * 37) % 365)::INT) AS fetched_on,
          rtrim(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1), '.')
            AS host,
-         regexp_extract(trim(url), '(?i)^[a-z][a-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) AS path
+         coalesce(nullif(
+           regexp_extract(trim(url), '(?i)^[a-z][a-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), ''), '/') AS path
   FROM pages
 ), hosts AS (
   SELECT host, ('0x' || substr(m, 1, 2))::INT AS b0, ('0x' || substr(m, 3, 2))::INT AS b1,
          ('0x' || substr(m, 5, 2))::INT AS b2, ('0x' || substr(m, 7, 2))::INT AS b3
   FROM (SELECT DISTINCT host, md5(host) AS m FROM captures WHERE host <> '')
+), singles AS (
+  SELECT page, ('0x' || substr(m, 1, 2))::INT AS b0, ('0x' || substr(m, 3, 2))::INT AS b1,
+         ('0x' || substr(m, 5, 2))::INT AS b2
+  FROM (SELECT DISTINCT host || path AS page, md5(host || path) AS m FROM captures WHERE host <> '')
 ), entries AS (
   SELECT 'ads' AS list, 'domain' AS kind, host AS pattern, 'add' AS action,
          DATE '2024-01-01' + b1 AS day FROM hosts WHERE b0 < 80
@@ -193,16 +216,23 @@ WITH captures AS (
     FROM hosts WHERE b0 < 80 AND b3 < 128
   UNION ALL SELECT 'adult', 'url', host || '/en/', 'add', DATE '2024-01-01' + b1
     FROM hosts WHERE b0 >= 200
+  UNION ALL SELECT 'adult', 'url', host || '/en', 'add', DATE '2024-01-01' + b1
+    FROM hosts WHERE b2 >= 230
   UNION ALL SELECT 'malware', 'domain', regexp_replace(host, '^[^.]*\.', ''), 'add',
     DATE '2024-01-01' + b1 FROM hosts WHERE b3 < 10
   UNION ALL SELECT 'malware', 'domain', regexp_replace(host, '^[^.]*\.', ''), 'remove',
     DATE '2024-01-01' + (b1 + 20) FROM hosts WHERE b3 < 5
+  UNION ALL SELECT 'phishing', 'url', page, 'add', DATE '2024-01-01' + b1 FROM singles WHERE b0 < 8
+  UNION ALL SELECT 'phishing', 'url', page, 'remove', DATE '2024-01-01' + (b1 + 40)
+    FROM singles WHERE b0 < 8 AND b2 < 128
 ), states AS (
   SELECT capture_id, list, kind, pattern,
          arg_max(action, day::VARCHAR || action) AS newest
   FROM captures JOIN entries ON day <= fetched_on AND
     CASE kind WHEN 'domain' THEN host = pattern OR ends_with(host, '.' || pattern)
-         ELSE starts_with(host || path, pattern) END
+         ELSE host || path = pattern
+           OR starts_with(host || path, pattern || '/') AND NOT ends_with(pattern, '/')
+           OR starts_with(host || path, pattern) AND ends_with(pattern, '/') END
   GROUP BY ALL
 ), active AS (
   SELECT capture_id, count(*) AS n_active, min(pattern) AS first_pattern
