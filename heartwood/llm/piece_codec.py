@@ -7,7 +7,7 @@ the file's scores, whatever algorithm the scores were trained with. Sums are exa
 precision.
 
 If no piece continues from a word into the space before the next one, the best segmentation of a
-text is that of its words in turn; then each task keeps the words it has met.
+text is that of its words in turn; then each task keeps the words it has met lately.
 """
 
 from __future__ import annotations
@@ -21,22 +21,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heartwood.llm.common import give_back, row_blocks, text_buffers
+
 SPACE = "▁"
-#: entries of a task's word table; a full table keeps its short words only
-WORDS = 500_000
+#: bytes (about) of a task's table of new words; when it is full, it becomes the old one, from
+#: which words are taken over as they are met again
+TABLE = 36 << 20
+#: bytes of texts that are encoded or decoded at once
+BLOCK = 1 << 20
 #: an unknown character scores this much less than the worst piece
 UNKNOWN_PENALTY = 10.0
 
 
-class PieceCodec:
-    """Encoder and decoder of one vocabulary file."""
+class PieceDecoder:
+    """Decoder of one vocabulary file."""
 
     def __init__(self, path: str):
-        import ahocorasick
+        self._read(path)
+
+    def _read(self, path: str):
+        """The file, read; its pieces are set up for decoding."""
         import sentencepiece
 
-        self.file = sentencepiece.SentencePieceProcessor(model_file=path)
-        file = self.file
+        file = sentencepiece.SentencePieceProcessor(model_file=path)
         size = file.get_piece_size()
         names = [file.id_to_piece(i) for i in range(size)]
         self.bytes = {int(names[i][3:5], 16): i for i in range(size) if file.is_byte(i)}
@@ -46,12 +53,6 @@ class PieceCodec:
             for i in range(size)
             if not (file.is_byte(i) or file.is_control(i) or file.is_unknown(i) or file.is_unused(i))
         ]
-        self.automaton = ahocorasick.Automaton()
-        for i in self.plain:
-            self.automaton.add_word(names[i], (i, len(names[i]), file.get_score(i)))
-        self.automaton.make_automaton()
-        worst = min((file.get_score(i) for i in self.plain), default=0.0)
-        self.unknown_score = worst - UNKNOWN_PENALTY
         #: what each id decodes to; control pieces to nothing
         self.shown = [b""] * size
         for i in self.plain:
@@ -59,10 +60,36 @@ class PieceCodec:
         for value, i in self.bytes.items():
             self.shown[i] = bytes([value])
         self.shown[self.unknown] = " ⁇ ".encode()
+        self.prefixed = file.normalize("a").startswith(SPACE)
+        return file
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of the ids: bytes that are no UTF-8 become replacement characters, and the one
+        space that encoding puts first is taken off."""
+        shown = self.shown
+        text = b"".join([shown[i] for i in ids]).decode("utf-8", "replace")
+        return text[1:] if self.prefixed and text[:1] == " " else text
+
+
+class PieceCodec(PieceDecoder):
+    """Encoder and decoder of one vocabulary file."""
+
+    def __init__(self, path: str):
+        import ahocorasick
+
+        self.file = file = self._read(path)
+        names = {i: file.id_to_piece(i) for i in self.plain}
+        self.automaton = ahocorasick.Automaton()
+        for i in self.plain:
+            self.automaton.add_word(names[i], (i, len(names[i]), file.get_score(i)))
+        self.automaton.make_automaton()
+        worst = min((file.get_score(i) for i in self.plain), default=0.0)
+        self.unknown_score = worst - UNKNOWN_PENALTY
         self.by_words = not any(re.search(f"[^{SPACE}]{SPACE}", names[i]) for i in self.plain)
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.prefixed = file.normalize("a").startswith(SPACE)
         self.table: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0  # of the table
 
     def segment(self, text: str) -> list[int]:
         """Ids of the best segmentation of normalised text."""
@@ -103,24 +130,28 @@ class PieceCodec:
         if not self.by_words:
             return np.array(self.segment(text), "<i4").tobytes()
         words = self.words.findall(text)
-        if len(self.table) > WORDS:  # short words are the common ones
-            self.table = {w: x for w, x in self.table.items() if len(w) <= 8}
         table = self.table
         missing = set(words).difference(table)
         for w in missing:
-            table[w] = np.array(self.segment(w), "<i4").tobytes()
+            ids = self.old.get(w)
+            table[w] = np.array(self.segment(w), "<i4").tobytes() if ids is None else ids
         ids = b"".join([table[w] for w in words])
         for w in missing:
             if len(w) > 1000:
                 del table[w]
+            else:  # objects and their place in the dict take some 200 bytes
+                self.size += 200 + 2 * len(w) + len(table[w])
+        if self.size > TABLE:
+            self.old, self.table, self.size = table, {}, 0
         return ids
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of the ids: bytes that are no UTF-8 become replacement characters, and the one
-        space that encoding puts first is taken off."""
-        shown = self.shown
-        text = b"".join([shown[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if self.prefixed and text[:1] == " " else text
+
+def _blocks(batch: pa.RecordBatch, offsets: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch of few rows and about ``BLOCK`` bytes."""
+    for lo in range(0, batch.num_rows, 500):
+        hi = min(lo + 500, batch.num_rows)
+        for first, last in row_blocks(offsets[lo : hi + 1], BLOCK):
+            yield batch.slice(lo + first, last - first)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -138,8 +169,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = PieceCodec(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                rows = batch.slice(lo, 500)
+            for rows in _blocks(batch, text_buffers(batch.column("text"))[1]):
                 data = [None if t is None else codec.encode(t) for t in rows.column("text").to_pylist()]
                 offsets = np.cumsum([0] + [len(d or b"") // 4 for d in data]).astype(np.int32)
                 ids = np.frombuffer(b"".join(d or b"" for d in data), "<i4")
@@ -155,6 +185,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                         ),
                     }
                 )
+        del codec
+        give_back()
 
     return docs.select(*rest).mapInArrow(run, f"{kinds}, piece_ids array<int>, ids_crc32 long")
 
@@ -169,10 +201,10 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = PieceCodec(path)
+        codec = PieceDecoder(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            places = batch.column("piece_ids").offsets.to_numpy().astype(np.int64)
+            for part in _blocks(batch, 4 * places):
                 texts = [
                     codec.decode(x.values.to_numpy().tolist()) if x.is_valid else None
                     for x in part.column("piece_ids")
@@ -183,6 +215,8 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
                         "decoded": pa.array(texts, pa.string()),
                     }
                 )
+        del codec
+        give_back()
 
     return rows.select(*rest).mapInArrow(run, f"{kinds}, decoded string")
 

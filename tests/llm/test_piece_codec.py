@@ -8,7 +8,8 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from heartwood.llm.piece_codec import PieceCodec, decode, encode, encoded_documents
+from heartwood.llm import piece_codec
+from heartwood.llm.piece_codec import PieceCodec, PieceDecoder, decode, encode, encoded_documents
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["", " ", "  a  b ", "\n\tx\x00y", "été naïve 漢字 𝒳 \U0010ffff", "a" * 5000, " " * 40, "?!..."]
@@ -110,6 +111,33 @@ def test_words_decide_alone(codec):
     assert ids(codec.encode("one  two three\n four   ")) == codec.segment(text)
 
 
+def test_word_tables_stay_small(monkeypatch):
+    """Words seen once are forgotten, and forgetting changes no result."""
+    monkeypatch.setattr(piece_codec, "TABLE", 100_000)
+    small = PieceCodec(PATH)
+    most = 0
+    for i in range(3000):
+        text = f"common word{i} w{i * 7}x last"
+        got = small.encode(text)
+        if i % 100 == 0:
+            small_ids = ids(got)
+            assert small.decode(small_ids) == text
+            assert small_ids == small.segment(small.file.normalize(text))
+        held = [*small.table.items(), *small.old.items()]
+        most = max(most, sum(len(w) + len(x) for w, x in held))
+    assert 0 < most < 200_000
+    assert any("common" in w for w in small.table | small.old)
+    assert not any("word5" == w.strip("▁") for w in small.table | small.old)
+
+
+def test_decoding_needs_no_automaton(codec):
+    light = PieceDecoder(PATH)
+    assert not hasattr(light, "automaton") and not hasattr(light, "file")
+    for text in ODD:
+        got = ids(codec.encode(text))
+        assert light.decode(got) == codec.decode(got)
+
+
 def test_frames(spark, codec):
     rows = [(i, t, "c") for i, t in enumerate(ODD)] + [(None, None, "c"), (1, "▁", "c"), (1, "x", "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, piece_ids string")
