@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import row_blocks, store, text_buffers
+from heartwood.llm.common import give_back, row_blocks, store, text_buffers
 from heartwood.llm.words import letter_words, word_hashes
 
 #: hash buckets of terms
@@ -73,21 +73,40 @@ def text_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return key % BUCKETS, key // BUCKETS
 
 
+class _Places:
+    """Places of buckets in an ordered list, with a bit for each bucket there is."""
+
+    def __init__(self, buckets: np.ndarray):
+        self.buckets = buckets
+        self.bits = np.zeros(BUCKETS // 8, np.uint8)
+        np.bitwise_or.at(self.bits, buckets >> 3, (1 << (buckets & 7)).astype(np.uint8))
+
+    def find(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``some`` buckets are in the list, and the places of those."""
+        has = (self.bits[some >> 3] >> (some & 7).astype(np.uint8) & 1).astype(bool)
+        return has, np.searchsorted(self.buckets, some[has])
+
+
 def _known_terms(
-    data: np.ndarray, offsets: np.ndarray, buckets: np.ndarray, slot: np.ndarray
+    data: np.ndarray, offsets: np.ndarray, places: _Places
 ) -> tuple[np.ndarray, np.ndarray]:
-    """As ``text_terms``, for known buckets only; terms as places in ``buckets``."""
+    """As ``text_terms``, for known buckets only; terms as places among them."""
     hashes, owner = word_hashes(data, offsets, letter_words(), PREFIXES)
-    n = np.int64(max(len(buckets), 1))
+    n = np.int64(max(len(places.buckets), 1))
     found = []
     for h in hashes:
-        at = slot[(h % np.uint64(BUCKETS)).astype(np.int64)]
-        has = at >= 0
-        found.append(owner[has] * n + at[has])
+        has, at = places.find((h % np.uint64(BUCKETS)).astype(np.int64))
+        found.append(owner[has] * n + at)
     key = np.unique(np.concatenate(found))
     return key % n, key // n
 
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, each with the sum of its counts."""
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)
+
+
 def _term_rows(machine: Machine | None):
     """Arrow function: document counts of term buckets by label, among the rows the machine takes
     for clean (part 0; without a machine all rows) and for toxic (part 1), summed over the
@@ -95,11 +114,11 @@ def _term_rows(machine: Machine | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = 1 if machine is None else 2
-        counts = np.zeros((2 * parts, BUCKETS), np.int32)
         totals = np.zeros(2 * parts, np.int64)
-        slot = np.full(BUCKETS, -1, np.int32)
-        if machine is not None:
-            slot[machine.buckets] = np.arange(len(machine.buckets))
+        places = None if machine is None else _Places(machine.buckets)
+        # key: bucket, part and label in one number; sums of blocks wait until they are as many as
+        # the sum so far, so that each is added up few times
+        keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         for batch in batches:
             label = batch.column("toxic").to_numpy()
             data, offsets = text_buffers(batch.column("text"))
@@ -107,15 +126,20 @@ def _term_rows(machine: Machine | None):
                 piece = data[offsets[lo] : offsets[hi]]
                 terms, owner = text_terms(piece, offsets[lo : hi + 1] - offsets[lo])
                 kind = label[lo:hi].astype(np.int64)
-                if machine is not None:
-                    at = slot[terms]
-                    has = at >= 0
-                    kind += 2 * (machine.scores(at[has], owner[has], hi - lo) >= 0.5)
-                np.add.at(counts, (kind[owner], terms), 1)
+                if places is not None:
+                    has, at = places.find(terms)
+                    kind += 2 * (machine.scores(at, owner[has], hi - lo) >= 0.5)
+                key, n = np.unique(terms * 4 + kind[owner], return_counts=True)
+                keys.append(key)
+                counts.append(n)
+                held += len(key)
+                if held > max(len(keys[0]), 200_000):
+                    key, n = _summed(keys, counts)
+                    keys, counts, held = [key], [n], 0
                 totals += np.bincount(kind, minlength=2 * parts)
+        key, n = _summed(keys, counts)
+        del keys, counts
         for part in range(parts):
-            clean, toxic = counts[2 * part : 2 * part + 2]
-            at = np.flatnonzero((clean > 0) | (toxic > 0))
             yield pa.record_batch(
                 {
                     "part": np.array([part], np.int32),
@@ -124,16 +148,19 @@ def _term_rows(machine: Machine | None):
                     "toxic": totals[2 * part + 1 : 2 * part + 2],
                 }
             )
-            for k in range(0, len(at), 100_000):
-                some = at[k : k + 100_000]
-                yield pa.record_batch(
-                    {
-                        "part": np.full(len(some), part, np.int32),
-                        "bucket": some,
-                        "clean": clean[some].astype(np.int64),
-                        "toxic": toxic[some].astype(np.int64),
-                    }
-                )
+        for k in range(0, len(key), 100_000):
+            some, times = key[k : k + 100_000], n[k : k + 100_000]
+            toxic = some % 2 == 1
+            yield pa.record_batch(
+                {
+                    "part": (some % 4 // 2).astype(np.int32),
+                    "bucket": some // 4,
+                    "clean": np.where(toxic, 0, times),
+                    "toxic": np.where(toxic, times, 0),
+                }
+            )
+        del key, n, places
+        give_back()
 
     return run
 
@@ -169,20 +196,23 @@ def _telling(rows: DataFrame, machine: Machine | None) -> np.ndarray:
 
 def _sample_rows(buckets: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot = np.full(BUCKETS, -1, np.int32)
-        slot[buckets] = np.arange(len(buckets))
+        places = _Places(buckets)
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
-            terms, owner = _known_terms(data, offsets, buckets, slot)
-            first = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-            yield pa.record_batch(
-                {
-                    "toxic": batch.column("toxic"),
-                    "terms": pa.ListArray.from_arrays(
-                        pa.array(first, pa.int32()), pa.array(terms, pa.int32())
-                    ),
-                }
-            )
+            for lo, hi in row_blocks(offsets, BLOCK):
+                piece = data[offsets[lo] : offsets[hi]]
+                terms, owner = _known_terms(piece, offsets[lo : hi + 1] - offsets[lo], places)
+                first = np.searchsorted(owner, np.arange(hi - lo + 1))
+                yield pa.record_batch(
+                    {
+                        "toxic": batch.column("toxic").slice(lo, hi - lo),
+                        "terms": pa.ListArray.from_arrays(
+                            pa.array(first, pa.int32()), pa.array(terms, pa.int32())
+                        ),
+                    }
+                )
+        del places
+        give_back()
 
     return rows
 
@@ -285,15 +315,12 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot = np.full(BUCKETS, -1, np.int32)
-        slot[machine.buckets] = np.arange(len(machine.buckets))
+        places = _Places(machine.buckets)
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             for lo, hi in row_blocks(offsets, BLOCK):
                 piece = data[offsets[lo] : offsets[hi]]
-                terms, owner = _known_terms(
-                    piece, offsets[lo : hi + 1] - offsets[lo], machine.buckets, slot
-                )
+                terms, owner = _known_terms(piece, offsets[lo : hi + 1] - offsets[lo], places)
                 rows = batch.slice(lo, hi - lo)
                 yield pa.record_batch(
                     {
@@ -301,6 +328,8 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
                         "toxicity": machine.scores(terms, owner, hi - lo),
                     }
                 )
+        del places
+        give_back()
 
     return docs.select(*rest).mapInArrow(run, f"{kinds}, toxicity double")
 

@@ -1,16 +1,21 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from heartwood.llm.toxicity import (
     Machine,
     _fit,
+    _Places,
+    _term_rows,
     held_out,
     labelled_rows,
     score,
     scored_documents,
+    text_terms,
     train,
 )
 
@@ -115,3 +120,43 @@ def test_places_go_to_documents(spark):
     )
     got = [r.toxic for r in labelled_rows(docs, labels, 20).collect()]
     assert (got.count(0), got.count(1)) == (20, 20)
+
+
+def test_counts_take_memory_for_the_terms_there_are():
+    """Counts by label and prediction equal plain counting, and a few texts take a few MB."""
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randrange(200)}" for _ in range(r.randrange(0, 50))) for _ in range(400)]
+    label = [r.randrange(2) for _ in texts]
+    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    terms = [text_terms(d, np.array([0, len(d)]))[0] for d in data]
+    known = np.unique(np.concatenate(terms))[::40]
+    m = Machine(known, np.where(np.arange(len(known)) % 2, 3.0, -3.0), np.zeros((len(known), 1)), -1.0)
+    batches = [
+        pa.record_batch({"text": texts[k : k + 90], "toxic": pa.array(label[k : k + 90], pa.int32())})
+        for k in range(0, 400, 90)
+    ]
+    for machine in (None, m):
+        expected = {}
+        for t, y in zip(terms, label):
+            at = np.flatnonzero(np.isin(known, t))
+            part = 0 if machine is None else int(m.scores(at, np.zeros(len(at), int), 1)[0] >= 0.5)
+            for bucket in [-1, *t.tolist()]:
+                expected.setdefault((part, bucket), [0, 0])[y] += 1
+        tracemalloc.start()
+        rows = [x for b in _term_rows(machine)(iter(batches)) for x in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        got = {}
+        for x in rows:
+            counts = got.setdefault((x["part"], x["bucket"]), [0, 0])
+            counts[0] += x["clean"]
+            counts[1] += x["toxic"]
+        assert {k: v for k, v in got.items() if any(v)} == expected
+        assert peak < 16e6
+
+
+def test_places_of_buckets():
+    known = np.array([0, 7, 8, 4000, (1 << 22) - 1])
+    has, at = _Places(known).find(np.array([8, 9, 0, (1 << 22) - 1, 7, 15]))
+    assert has.tolist() == [True, False, True, True, True, False] and at.tolist() == [2, 0, 4, 1]
+    assert not _Places(known[:0]).find(np.arange(20))[0].any()
