@@ -8,7 +8,8 @@ equal ones have to meet in one task without sending every suffix around:
    of some 85 windows with one name. Only names and places are shuffled. A run whose name
    occurs nowhere else holds no repeated window.
 2. The bytes under the other runs (spans) are dealt to tasks by name. Equal spans, as copies
-   of a text have them, become one with a weight.
+   of a text have them, become one with a weight. All windows of a span that stands for
+   copies are repeated, so it is merged only if a different span has its name too.
 3. In a task, spans are dealt to shards. Each shard's suffixes are sorted once; that gives the
    shard's Burrows-Wheeler transform. The transforms are merged by refining their interleave:
    it is first right for suffixes as compared by no byte, and each round sorts it stably by
@@ -272,13 +273,12 @@ def merged_intervals(
 def _merge(window: int):
     """Arrow function on rows sorted by name and span: the ranges of removed bytes."""
 
-    def flush(names, spans, weights, members, shards=8):
+    def flush(spans, weights, members, shards=8):
         n = len(spans)
         marks, _ = merged_intervals(
             spans, np.array(weights), np.arange(n, dtype=np.int32) % shards, window
         )
-        out = {"text_a": [], "text_b": [], "lo": [], "hi": []}
-        at = 0
+        found, at = [], 0
         for span, held in zip(spans, members):
             mark = marks[at : at + len(span) - window + 1]
             at += len(span) + 1
@@ -287,44 +287,63 @@ def _merge(window: int):
             edge = np.flatnonzero(np.diff(np.r_[0, mark.view(np.int8), 0]))
             for a, b, start in held:
                 for lo, hi in edge.reshape(-1, 2).tolist():
-                    out["text_a"].append(a)
-                    out["text_b"].append(b)
-                    out["lo"].append(start + lo)
-                    out["hi"].append(start + hi + window - 1)
+                    found.append((a, b, start + lo, start + hi + window - 1))
+        return found
+
+    def ranges(found):
+        a, b, lo, hi = zip(*found) if found else ((), (), (), ())
         return pa.record_batch(
             {
-                "text_a": pa.array(out["text_a"], pa.int64()),
-                "text_b": pa.array(out["text_b"], pa.int64()),
-                "lo": pa.array(out["lo"], pa.int32()),
-                "hi": pa.array(out["hi"], pa.int32()),
+                "text_a": pa.array(a, pa.int64()),
+                "text_b": pa.array(b, pa.int64()),
+                "lo": pa.array(lo, pa.int32()),
+                "hi": pa.array(hi, pa.int32()),
             }
         )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[int] = []
         spans: list[bytes] = []
         weights: list[int] = []
         members: list[list[tuple]] = []
-        size = 0
+        whole: list[tuple] = []  # ranges of spans that are repeated as a whole
+        size, first, last = 0, 0, None  # first: where the spans of the last name begin
+
+        def settle():
+            """Take the spans of a name that is complete out if it is one span of copies."""
+            if len(spans) == first + 1 and weights[first] >= 2:
+                length = len(spans[first])
+                whole.extend((a, b, start, start + length) for a, b, start in members[first])
+                del spans[first], weights[first], members[first]
+                return length
+            return 0
+
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in
                        ("name", "span", "text_a", "text_b", "start", "copies")]
             for name, span, a, b, start, copies in zip(*columns):
-                if names and name == names[-1] and span == spans[-1]:
+                if name != last:
+                    size -= settle()
+                    if size >= CHUNK:
+                        yield ranges(flush(spans, weights, members))
+                        spans, weights, members, size = [], [], [], 0
+                    if len(whole) >= 10_000:
+                        yield ranges(whole)
+                        whole = []
+                    first, last = len(spans), name
+                elif span == spans[-1]:
                     weights[-1] += copies
                     members[-1].append((a, b, start))
                     continue
-                if size >= CHUNK and name != names[-1]:
-                    yield flush(names, spans, weights, members)
-                    names, spans, weights, members, size = [], [], [], [], 0
-                names.append(name)
                 spans.append(span)
                 weights.append(copies)
                 members.append([(a, b, start)])
                 size += len(span)
-        if names:
-            yield flush(names, spans, weights, members)
-        del names, spans, weights, members
+        settle()
+        if spans:
+            yield ranges(flush(spans, weights, members))
+        if whole:
+            yield ranges(whole)
+        del spans, weights, members, whole
         give_back()
 
     return merge

@@ -3,8 +3,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from heartwood.llm import suffix_dedup
 from heartwood.llm.suffix_dedup import merged_intervals, remove_repeats, shard_order
 
 
@@ -95,3 +97,43 @@ def test_kept_bytes_hash(spark):
     docs = spark.createDataFrame([(1, "é" * 150), (2, "é" * 150)], "doc_id long, text string")
     for row in remove_repeats(docs).collect():
         assert hashlib.sha256(row.kept).hexdigest() == hashlib.sha256(b"").hexdigest()
+
+
+def test_spans_of_copies_are_merged_only_with_others_of_their_name(monkeypatch):
+    """A name with one span that stands for copies needs no merge; every other name does."""
+    r = random.Random(9)
+    window = 32
+    span = lambda n: bytes(r.choices(b"abcdef", k=n))
+    one, two, own = span(60), span(50), span(20) * 5
+    rows = [  # name, span, text_a, text_b, start, copies
+        (1, one, 10, 0, 5, 1), (1, one, 11, 0, 7, 1),  # copies only
+        (2, one[:40], 12, 0, 0, 1), (2, one, 13, 0, 3, 2),  # copies and a part of them
+        (3, own, 14, 0, 2, 1),  # repeats itself
+        (4, two, 15, 0, 9, 4),  # copies only
+        (5, span(45), 16, 0, 0, 1),  # nothing
+    ]
+    rows.sort(key=lambda x: x[:2])
+    merged = []
+    plain = suffix_dedup.merged_intervals
+
+    def seen(spans, *rest):
+        merged.extend(spans)
+        return plain(spans, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "merged_intervals", seen)
+    for size in (1, 3, 100):
+        merged.clear()
+        names = ("name", "span", "text_a", "text_b", "start", "copies")
+        batches = [
+            pa.record_batch(dict(zip(names, map(list, zip(*rows[k : k + size])))))
+            for k in range(0, len(rows), size)
+        ]
+        got = {
+            (x["text_a"], x["lo"], x["hi"])
+            for b in suffix_dedup._merge(window)(iter(batches))
+            for x in b.to_pylist()
+        }
+        assert got == {
+            (10, 5, 65), (11, 7, 67), (12, 0, 40), (13, 3, 63), (14, 2, 102), (15, 9, 59)
+        }
+        assert sorted(merged) == sorted(x[1] for x in rows if x[0] in (2, 3, 5))
