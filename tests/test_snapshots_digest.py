@@ -1,11 +1,14 @@
-from datetime import date, datetime
+import random
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from contract.registered import registered_queries
 from heartwood.operators import snapshots
 from heartwood.operators.digest import digest_lines
 from heartwood.sources.readers import read_result
+from heartwood.sources.star_binding import STAR_SCHEMAS
 from heartwood.sources.writers import write_health_scores
 from tests.conftest import as_dict
 
@@ -177,3 +180,43 @@ def test_digest_of_a_quiet_first_run(frames, history, accounts):
         "- None.",
         "",
     ]
+
+
+def test_changed_accounts_scores_once(spark, tmp_path):
+    """Both lists go on from stored snapshots: the plan of the ids reads no ticket or usage row,
+    so no task carries out the scoring plan for each of them."""
+    r = random.Random(3)
+    day = datetime(2001, 1, 1)
+    orders = [
+        (i, r.choice([None, *range(40)]), r.choice("FOP"), r.uniform(1e3, 5e5),
+         day + timedelta(days=r.randrange(220)), r.choice(["1-URGENT", "2-HIGH", "5-LOW"]))
+        for i in range(400)
+    ]
+    rows = {
+        "customer": [(i, f"c{i}", i % 3, 10.0, "S") for i in range(40)],
+        "orders": orders,
+        "lineitem": [
+            (i, 1, 1, k, float(r.randrange(1, 99)), 5.0, 0.0, 0.0, "R", "F", x[4] + timedelta(days=9))
+            for i, x in enumerate(orders) for k in range(2)
+        ],
+        "events": [
+            (i, day + timedelta(days=r.randrange(200)), r.randrange(40), "view", r.uniform(0, 99), "")
+            for i in range(400)
+        ],
+        "supplier": [(1, "s", 1, 0.0)],
+        "nation": [(i, f"n{i}", 0) for i in range(3)],
+        "region": [(0, "r")],
+    }
+    for name, some in rows.items():
+        spark.createDataFrame(some, STAR_SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    queries = registered_queries()
+    changed = queries["changed_accounts"](spark, str(tmp_path))
+    plan = changed._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "user_id" not in plan
+    ids = [
+        {x.account_id for x in queries[q](spark, str(tmp_path)).collect()}
+        for q in ("newly_critical", "score_drops")
+    ]
+    got = [tuple(x) for x in changed.collect()]
+    assert sorted(got) == [(i, f"c{i}") for i in sorted(ids[0] | ids[1])]
+    assert got
