@@ -1,14 +1,20 @@
 """Near-duplicate embeddings by small-world graphs per shard.
 
 Vectors with equal contents and label are one class with a weight. The classes of a label are
-dealt to shards of bounded size, and each shard builds a hierarchical navigable small-world graph:
-layers of fewer and fewer nodes, in which a search walks towards a query from the top down, and on
-the lowest layer keeps a beam of the nearest nodes seen. Every shard of a label is asked with the
-vectors of every shard, so two shards are searched both ways. A beam that is full of links is too
-narrow and doubles. Queries are drawn and compared with a scan of the shard until enough of them
+dealt to cells, each to its nearest of some classes drawn as pivots, and those of a cell to shards
+of bounded size. Each shard builds a hierarchical navigable small-world graph: layers of fewer and
+fewer nodes, in which a search walks towards a query from the top down, and on the lowest layer
+keeps a beam of the nearest nodes seen. Every shard of a cell is asked with the vectors of every
+shard of it, so two shards are searched both ways. A query whose beam is full of links is compared
+with the whole shard. Queries are drawn and compared with a scan of the shard until enough of them
 have a link to a different vector; as long as the walks miss one of these links, all beams double,
-at the end to the whole shard. Where links are so rare that all queries are drawn, the scan is the
-answer, and it is exact.
+and soon comprise the whole shard. Where links are so rare that all queries are drawn, the scan is
+the answer, and it is exact.
+
+Links between cells are found exactly. Let x have the nearest pivot p and y the nearest pivot q, all
+of length 1, and |x - y| <= e, as it is where they link. Then (x.p - x.q) + (y.q - y.p) =
+(x - y).(p - q) <= e |p - q|, so one of the two brackets is at most e |p - q| / 2. A class visits
+each cell for which its own bracket is, and is compared there with all members.
 
 Links are counted in the task that finds them, and only a spanning forest of them leaves it.
 """
@@ -21,12 +27,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from heartwood.llm.common import components, store
 from heartwood.llm.vectors import matrix, usable
 
-#: classes of a shard, about
+#: classes of a shard, about, and of a cell where a label has fewer than ``CELLS`` of these
 SHARD = 1500
+#: cells of a label, at most about; classes that find their cells together, and visitors of a row
+CELLS, BLOCK = 4096, 8192
+#: shards and visitors that reach a Python worker at once, about
+BATCH_BYTES = 16 << 20
 #: neighbours of a node on a layer; on the lowest it may have twice as many
 NEIGHBOURS = 12
 BUILD_BEAM, FIRST_BEAM = 32, 24
@@ -206,27 +217,21 @@ class Graph:
             self.links[0] = np.concatenate([self.links[0], extra[:, : used.max()]], axis=1)
 
     def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, node) with similarity ``least`` or more that walks of a beam find; a beam
-        that holds nothing else doubles."""
-        out_q, out_n = [], []
-        entries = self.descend(queries)
-        todo = np.arange(len(queries))
-        while len(todo):
-            if width >= self.n:
-                hit = np.argwhere(queries[todo] @ self.x.T >= least)
-                out_q.append(todo[hit[:, 0]])
-                out_n.append(hit[:, 1])
-                break
-            full = np.zeros(len(todo), bool)
-            for first in range(0, len(todo), BATCH):
-                part = todo[first : first + BATCH]
-                nodes, near = self.walk(0, queries[part], entries[part], width)
-                full[first : first + BATCH] = near[:, -1] >= least - MARGIN
-                hit = (nodes >= 0) & (near >= least) & ~full[first : first + BATCH, None]
-                at, which = np.nonzero(hit)
+        """Pairs (query, node) with similarity ``least`` or more that walks of a beam find; a query
+        whose beam holds nothing else is compared with all nodes, for less than a wider beam."""
+        out_q, out_n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for first in range(0, len(queries), BATCH):
+            part = np.arange(first, min(first + BATCH, len(queries)))
+            full = np.ones(len(part), bool)
+            if width < self.n:
+                nodes, near = self.walk(0, queries[part], self.descend(queries[part]), width)
+                full = near[:, -1] >= least - MARGIN
+                at, which = np.nonzero((nodes >= 0) & (near >= least) & ~full[:, None])
                 out_q.append(part[at])
                 out_n.append(nodes[at, which])
-            todo, width = todo[full], 2 * width
+            at, which = np.nonzero(queries[part[full]] @ self.x.T >= least)
+            out_q.append(part[full][at])
+            out_n.append(which)
         return np.concatenate(out_q), np.concatenate(out_n)
 
 
@@ -258,48 +263,88 @@ def links_between(
         linked += len(np.unique(q[tells]))
     if done == len(order):
         return np.concatenate(found_q), np.concatenate(found_n)
-    drawn = order[:done]
+    drawn, rest = order[:done], order[done:]
     width = FIRST_BEAM
-    while True:
-        q, node = graph.within(queries, least - 1e-12, width)
-        tried = np.isin(q, drawn)
-        if width >= graph.n or must <= set(zip(q[tried].tolist(), node[tried].tolist())):
+    while width < graph.n:
+        q, node = graph.within(queries[drawn], least - 1e-12, width)
+        if must <= set(zip(drawn[q].tolist(), node.tolist())):
             break
-        width *= 2
+        width = 2 * width if 16 * width < graph.n else graph.n
     # what is scanned is known in full
-    return np.concatenate([*found_q, q[~tried]]), np.concatenate([*found_n, node[~tried]])
+    q, node = graph.within(queries[rest], least - 1e-12, width)
+    return np.concatenate([*found_q, rest[q]]), np.concatenate([*found_n, node])
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """Links that connect what all links (a, b) connect."""
-    root: dict[int, int] = {}
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    root = np.arange(len(names))
 
     def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
+        while root[x] != x:
             root[x] = root[root[x]]
             x = root[x]
         return x
 
     out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = find(x), find(y)
-        if p != q:
-            root[p] = q
-            out.append((x, y))
+    first, step = 0, 1024
+    while first < len(a):
+        x, y = a[first : first + step], b[first : first + step]
+        apart = root[x] != root[y]  # most links of a dense group connect nothing new
+        for i, j in zip(x[apart].tolist(), y[apart].tolist()):
+            p, q = find(i), find(j)
+            if p != q:
+                root[p] = q
+                out.append((int(names[i]), int(names[j])))
+        while (root != root[root]).any():
+            root = root[root]
+        first, step = first + step, max(step, len(names))
     return out
 
 
+def _settle(least: float):
+    """Function on some classes of a label and its pivots: each class's cell, and those it visits."""
+    reach = np.sqrt(max(0.0, 2 - 2 * least))
+
+    def run(classes: pa.Table, pivots: pa.Table) -> pa.Table:
+        n = len(classes)
+        cell, often, sees = np.zeros(n, np.int32), np.zeros(n + 1, np.int32), [np.zeros(0, np.int32)]
+        if n and len(pivots):
+            x = unit(matrix(classes.column("vector")))
+            q = unit(matrix(pivots.sort_by("node").column("vector")))
+            for first in range(0, n, 512):
+                near = x[first : first + 512] @ q.T
+                home = near.argmax(axis=1)
+                gap = near[np.arange(len(near)), home][:, None] - near
+                apart = np.sqrt(np.maximum(0, 2 - 2 * (q[home] @ q.T)))
+                visits = gap <= reach * apart / 2 + 1e-7
+                visits[np.arange(len(near)), home] = False
+                cell[first : first + 512] = home
+                often[1:][first : first + 512] = visits.sum(axis=1)
+                sees.append(np.nonzero(visits)[1].astype(np.int32))
+        out = classes.drop_columns(["total", "block"])
+        out = out.append_column("cell", pa.array(cell))
+        sees = pa.ListArray.from_arrays(np.cumsum(often, dtype=np.int32), np.concatenate(sees))
+        return out.append_column("sees", sees)
+
+    return run
+
+
 def _build(table: pa.Table) -> pa.Table:
     """A shard as one row: its classes, weights, vectors, and the layers of its graph."""
     x = matrix(table.column("vector"))
     graph = Graph(unit(x))
+    sees = pa.concat_arrays(table.column("sees").chunks)
     return pa.table(
         {
             "label": table.column("label").slice(0, 1),
             "size": table.column("size").slice(0, 1),
+            "cell": table.column("cell").slice(0, 1),
             "shard": table.column("shard").slice(0, 1),
             "node": pa.array([table.column("node").to_pylist()], pa.list_(pa.int64())),
             "weight": pa.array([table.column("weight").to_pylist()], pa.list_(pa.int64())),
+            "sees": pa.ListArray.from_arrays([0, len(sees)], sees),
             "vectors": pa.array([x.tobytes()], pa.binary()),
             "height": pa.array([graph.height.astype(np.int8).tobytes()], pa.binary()),
             "layers": pa.array([[a.tobytes() for a in graph.links]], pa.list_(pa.binary())),
@@ -307,6 +352,19 @@ def _build(table: pa.Table) -> pa.Table:
     )
 
 
+def _gather(table: pa.Table) -> pa.Table:
+    """Some visitors of a cell as one row, with vectors as wide as they come."""
+    names = ("other_node", "other_weight", "home")
+    x = table.column("vector").combine_chunks().flatten().to_numpy()
+    return pa.table(
+        {
+            **{c: table.column(c).slice(0, 1) for c in ("label", "size", "cell", "part")},
+            **{c: pa.array([table.column(c).to_pylist()], pa.list_(pa.int64())) for c in names},
+            "other_vectors": pa.array([x.tobytes()], pa.binary()),
+        }
+    )
+
+
 def _restored(x: np.ndarray, height: bytes, layers: list[bytes]) -> Graph:
     graph = Graph.__new__(Graph)
     graph.x, graph.n = x, len(x)
@@ -321,6 +379,68 @@ def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x * y).sum(axis=1) / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1))
 
 
+def _counted(nodes: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
+    has = links > 0
+    return pa.record_batch(
+        {"a": nodes[has], "b": pa.nulls(int(has.sum()), pa.int64()), "links": links[has]}
+    )
+
+
+def _linked(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    edges = _forest(a, b)
+    return pa.record_batch(
+        {
+            "a": pa.array([e[0] for e in edges], pa.int64()),
+            "b": pa.array([e[1] for e in edges], pa.int64()),
+            "links": pa.nulls(len(edges), pa.int64()),
+        }
+    )
+
+
+def _visit(least: float):
+    """Arrow function on shards and visitors of their cells: as ``_compare``, by a scan.
+
+    Two classes that visit each other's cells meet twice; the smaller cell counts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                of = {c: batch.column(c)[row] for c in batch.schema.names}
+                d, cell = of["size"].as_py(), of["cell"].as_py()
+                nodes, weights = (of[c].values.to_numpy() for c in ("node", "weight"))
+                others, loads = (of[c].values.to_numpy() for c in ("other_node", "other_weight"))
+                x = np.frombuffer(of["vectors"].as_buffer()).reshape(-1, d)
+                y = of["other_vectors"].as_buffer()
+                y = np.frombuffer(y, f"f{len(y) // (len(others) * d)}").astype(float).reshape(-1, d)
+                home = of["home"].values.to_numpy()
+                sees = of["sees"].values
+                often = sees.value_lengths().to_numpy()
+                seen = np.repeat(np.arange(len(x)) << 32, often) | sees.flatten().to_numpy()
+                one, two = unit(x), unit(y)
+                gain, back = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
+                ends = []
+                for first in range(0, len(y), SCAN):
+                    near = two[first : first + SCAN] @ one.T
+                    q, node = np.nonzero(near >= least - 1e-12)
+                    close = near[q, node] < least + 1e-12
+                    q += first
+                    keep = np.ones(len(q), bool)
+                    keep[close] = _cosines(y[q[close]], x[node[close]]) >= least
+                    both = np.isin(node << 32 | home[q], seen)
+                    keep &= ~both | (cell < home[q])
+                    q, node = q[keep], node[keep]
+                    np.add.at(gain, node, loads[q])
+                    np.add.at(back, q, weights[node])
+                    ends += _forest(others[q], nodes[node])
+                yield _counted(nodes, gain)
+                yield _counted(others, back)
+                a, b = np.array(ends, np.int64).reshape(-1, 2).T
+                yield _linked(a, b)
+
+    return run
+
+
 def _compare(least: float):
     """Arrow function on pairs of shards: link counts of classes, and a forest of the links."""
 
@@ -367,22 +487,8 @@ def _compare(least: float):
                 np.add.at(back, q, weights[node])
                 counted = [(nodes, gain)] if same else [(nodes, gain), (others, back)]
                 for names, more in counted:
-                    has = more > 0
-                    yield pa.record_batch(
-                        {
-                            "a": names[has],
-                            "b": pa.nulls(int(has.sum()), pa.int64()),
-                            "links": more[has],
-                        }
-                    )
-                edges = _forest(others[q], nodes[node])
-                yield pa.record_batch(
-                    {
-                        "a": pa.array([e[0] for e in edges], pa.int64()),
-                        "b": pa.array([e[1] for e in edges], pa.int64()),
-                        "links": pa.nulls(len(edges), pa.int64()),
-                    }
-                )
+                    yield _counted(names, more)
+                yield _linked(others[q], nodes[node])
 
     return run
 
@@ -430,19 +536,40 @@ def _from_names(rows: DataFrame, least: float) -> DataFrame:
         .withColumn("size", F.size("vector"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    group = ["label", "size"]
-    shards = classes.groupBy(*group).agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
+    label = ["label", "size"]
+    blocks = F.ceil(F.col("total") / BLOCK)
+    sized = (
+        classes.join(classes.groupBy(*label).agg(F.count("*").alias("total")), label)
+        .withColumn("block", F.pmod("node", blocks))
+    )
+    rate = F.greatest(F.lit(SHARD).cast("long"), F.ceil(F.col("total") / CELLS))
+    pivots = sized.where(F.pmod("check", rate) == 0).select(
+        *(F.col(c).alias(c) for c in (*label, "node", "vector")),  # columns of its own for cogroup
+        F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"),
+    )
+    settled = store(
+        sized.groupBy(*label, "block")
+        .cogroup(pivots.groupBy(*label, "block"))
+        .applyInArrow(
+            _settle(least),
+            StructType([*classes.schema.fields])
+            .add("cell", IntegerType())
+            .add("sees", ArrayType(IntegerType())),
+        )
+    )
+    group = [*label, "cell"]
+    shards = settled.groupBy(*group).agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     built = store(
-        classes.join(shards, group)
+        settled.join(shards, group)
         .withColumn("shard", F.pmod("check", "shards").cast("int"))
         .groupBy(*group, "shard")
         .applyInArrow(
             _build,
-            "label string, size int, shard int, node array<long>, weight array<long>, "
-            "vectors binary, height binary, layers array<binary>",
+            "label string, size int, cell int, shard int, node array<long>, weight array<long>, "
+            "sees array<array<int>>, vectors binary, height binary, layers array<binary>",
         )
     )
-    # every two shards of a label, by number first; their contents are joined by shard
+    # every two shards of a cell, by number first; their contents are joined by shard
     numbers = built.select(*group, "shard")
     pairs = numbers.join(numbers.withColumnRenamed("shard", "other"), group).where("shard <= other")
     other = built.select(
@@ -457,8 +584,36 @@ def _from_names(rows: DataFrame, least: float) -> DataFrame:
     found = store(
         pairs.join(built, [*group, "shard"])
         .join(other, [*group, "other"])
-        .mapInArrow(_compare(least), "a long, b long, links long")
+        .mapInArrow(_compare(least), "a long, b long, links long"),
+        BATCH_BYTES,
+    )
+    visits = settled.select(
+        *label,
+        F.explode("sees").alias("cell"),
+        F.col("cell").cast("long").alias("home"),
+        F.col("node").alias("other_node"),
+        F.col("weight").alias("other_weight"),
+        "vector",
+    )
+    parts = visits.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    visitors = store(
+        visits.join(parts, group)
+        .withColumn("part", F.pmod(F.xxhash64("other_node"), "parts").cast("int"))
+        .groupBy(*group, "part")
+        .applyInArrow(
+            _gather,
+            "label string, size int, cell int, part int, other_node array<long>, "
+            "other_weight array<long>, home array<long>, other_vectors binary",
+        )
+    )
+    crossed = store(
+        numbers.join(visitors.select(*group, "part"), group)
+        .join(built.drop("height", "layers"), [*group, "shard"])
+        .join(visitors, [*group, "part"])
+        .mapInArrow(_visit(least), "a long, b long, links long"),
+        BATCH_BYTES,
     )
+    found = found.union(crossed)
     counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(
         F.sum("links").alias("links")
     )

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from heartwood.llm import embedding_dedup
@@ -153,3 +154,51 @@ def test_doubles_keep_their_precision(spark):
     assert sorted(tuple(r) for r in near_duplicates(docs, least).collect()) == [
         (1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False)
     ]
+
+
+def test_links_between_cells(spark, monkeypatch):
+    # cells far smaller than what links, so most links cross them, often both ways
+    monkeypatch.setattr(embedding_dedup, "SHARD", 12)
+    r = np.random.default_rng(14)
+    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(r.normal(size=(300, 3)))]
+    rows += [(300 + i, rows[7][1], rows[7][2]) for i in range(20)]
+    assert run(spark, rows) == brute(rows, 0.98)
+
+
+def test_linked_classes_meet_and_others_seldom():
+    r = np.random.default_rng(15)
+    x = r.normal(size=(4000, 64))
+    x[:400] = x[400:800] + 0.14 / np.sqrt(64) * np.abs(x[400:800]) * r.normal(size=(400, 64))
+    x[1000:1300] = x[1000] + 0.08 * r.normal(size=(300, 64))
+    order = r.permutation(len(x))
+    x = x[order]
+    vectors = [pa.array(list(v), pa.list_(pa.float64())) for v in (x, x[:40])]
+    classes = pa.table(
+        {"node": np.arange(len(x)), "vector": vectors[0], "total": [len(x)] * len(x), "block": [0] * len(x)}
+    )
+    pivots = pa.table({"node": np.arange(40), "vector": vectors[1]})
+    out = embedding_dedup._settle(0.98)(classes, pivots)
+    cell, sees = out.column("cell").to_pylist(), [set(v) for v in out.column("sees").to_pylist()]
+    links = np.argwhere(unit(x) @ unit(x).T >= 0.98)
+    assert len(links) > 50_000
+    assert all(cell[i] == cell[j] or cell[i] in sees[j] or cell[j] in sees[i] for i, j in links)
+    sizes = np.bincount(cell, minlength=40)
+    looked = (sizes**2).sum() / 2 + sum(sizes[list(v)].sum() for v in sees)
+    assert looked < 0.5 * len(x) ** 2 / 2
+
+
+def test_dense_groups_do_not_widen_all_beams(monkeypatch):
+    r = np.random.default_rng(16)
+    x = unit(r.normal(size=(1500, 64)))
+    x[:150] = unit(x[0] + 0.01 * r.normal(size=(150, 64)))
+    x = x[r.permutation(len(x))]
+    graph, widths, walk = Graph(x), [], Graph.walk
+
+    def counted(self, level, queries, beam, width):
+        widths.append(width)
+        return walk(self, level, queries, beam, width)
+
+    monkeypatch.setattr(Graph, "walk", counted)
+    q, node = links_between(graph, x, 0.98, same=True)
+    assert set(zip(q, node)) == set(map(tuple, np.argwhere(x @ x.T >= 0.98)))
+    assert max(widths) < len(x) / 8
