@@ -12,34 +12,70 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import store, text_id
+from heartwood.llm.common import SPACES, give_back, store, text_buffers, text_id
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: rows that a task gives at once, about
+LINES = 100_000
 
 
-def line_key(line: Column) -> Column:
-    """The line without white space ``[\\x20\\x09-\\x0D]`` at both ends, A-Z lower-cased."""
-    return F.translate(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), UPPER, LOWER)
+def _line_rows(min_length: int):
+    """Arrow function: a row per line whose key has ``min_length`` code points or more."""
+
+    def lines(batch: pa.RecordBatch, keys: list[bytes], rows: list[int], pos: list[int]):
+        pair = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+        at = pa.array(rows, pa.int64())
+        return pa.record_batch(
+            {
+                "key_a": pair[:, 0].copy(),
+                "key_b": pair[:, 1].copy(),
+                **{c: batch.column(c).take(at) for c in ("doc_id", "text_a", "text_b")},
+                "pos": pa.array(pos, pa.int32()),
+            }
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys: list[bytes] = []
+            rows: list[int] = []
+            pos: list[int] = []
+            data, offsets = text_buffers(batch.column("text"))
+            for row, (lo, hi) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                # of bytes, lower() changes A-Z only
+                for k, line in enumerate(data[lo:hi].tobytes().lower().split(b"\n")):
+                    key = line.strip(SPACES)
+                    # a code point has one to four bytes
+                    if len(key) < min_length or (
+                        len(key) < 4 * min_length and len(key.decode("utf-8", "replace")) < min_length
+                    ):
+                        continue
+                    keys.append(blake2b(key, digest_size=16).digest())
+                    rows.append(row)
+                    pos.append(k)
+                if len(keys) >= LINES:
+                    yield lines(batch, keys, rows, pos)
+                    keys, rows, pos = [], [], []
+            if keys:
+                yield lines(batch, keys, rows, pos)
+        give_back()
+
+    return run
 
 
 def _line_hashes(docs: DataFrame, min_length: int) -> DataFrame:
-    """A row per line whose key is long enough: key_a, key_b, doc_id, text_a, text_b, pos."""
-    lines = docs.select(
-        "doc_id", "text_a", "text_b", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")
-    ).withColumn("key", line_key(F.col("line")))
-    return lines.where(F.length("key") >= min_length).select(
-        F.xxhash64("key").alias("key_a"),
-        F.xxhash64(F.lit("second"), "key").alias("key_b"),
-        "doc_id",
-        "text_a",
-        "text_b",
-        "pos",
+    """A row per line whose key is long enough: key_a, key_b, doc_id, text_a, text_b, pos.
+
+    A key is the line without white space ``[\\x20\\x09-\\x0D]`` at both ends, A-Z lower-cased.
+    """
+    return docs.select("doc_id", "text_a", "text_b", "text").mapInArrow(
+        _line_rows(min_length),
+        "key_a long, key_b long, doc_id long, text_a long, text_b long, pos int",
     )
 
 

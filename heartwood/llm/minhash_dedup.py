@@ -12,7 +12,7 @@
 5. In buckets that still hold several components, members outside the largest one are compared
    with all members of other components: by sketch, and on full sets where that leaves a chance,
    nearest first and only until two components are joined. A pair is tried in the first bucket
-   it shares. Full sets come to the bucket once for each member, not for each pair.
+   it shares. Full sets come to the bucket once for each member that has a pair by sketch.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ SKETCH_BITS = 512
 SLACK = 0.25
 #: members of a bucket on either side of a comparison in one task
 MEMBERS = 2048
+#: pairs whose sketches are compared at once, about
+PAIRS = 50_000
 BLOCK = 1 << 19
 
 _SALTS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -175,6 +177,87 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``estimated_similarity`` of odd sketches by rows."""
+    ones = np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1)
+    return 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(np.maximum(1 - 2 * ones / SKETCH_BITS, 1e-9))
+
+
+def _with_partner(least: float):
+    """Arrow function on rows sorted by band, block, own_block and own (true first): those that
+    have a candidate on the other side of their block pair, which is in another component, near by
+    sketch, and shares no earlier band."""
+
+    def read(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        out = {
+            c: batch.column(c).to_numpy(zero_copy_only=False)
+            for c in ("band", "block", "own_block", "own", "node", "inside")
+        }
+        for c in ("sketch", "bands"):
+            values = batch.column(c).flatten().to_numpy()
+            out[c] = values.reshape(batch.num_rows, -1)
+        return out
+
+    def marked(part: dict[str, np.ndarray]) -> pa.RecordBatch:
+        n = len(part["band"])
+        new = np.ones(n, bool)
+        new[1:] = False
+        for c in ("band", "block", "own_block"):
+            new[1:] |= part[c][1:] != part[c][:-1]
+        first = np.flatnonzero(new)
+        stop = np.append(first[1:], n)
+        owned = np.add.reduceat(part["own"].astype(np.int64), first)
+        own = np.flatnonzero(part["own"])
+        # the others of a row's block pair: their number, and where they begin
+        times, begin = np.repeat(stop - first - owned, owned), np.repeat(first + owned, owned)
+        until = np.cumsum(times)
+        found = np.zeros(n, bool)
+        at = 0
+        while at < len(own):
+            last = max(at + 1, int(np.searchsorted(until, until[at] - times[at] + PAIRS, "right")))
+            k = times[at:last]
+            i = np.repeat(own[at:last], k)
+            j = np.arange(len(i)) + np.repeat(begin[at:last] - np.cumsum(k) + k, k)
+            at = last
+            apart = part["inside"][i] != part["inside"][j]
+            i, j = i[apart], j[apart]
+            near = _near(part["sketch"][i], part["sketch"][j]) >= least
+            i, j = i[near], j[near]
+            bands = part["bands"][i]
+            earliest = (bands == part["bands"][j]).argmax(axis=1)
+            here = bands[np.arange(len(i)), earliest] == part["band"][i]
+            found[i[here]] = found[j[here]] = True
+        keep = np.flatnonzero(found)
+        names = ("band", "block", "own_block", "own", "node", "inside")
+        return pa.record_batch({c: part[c][keep] for c in names})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []  # rows of the last block pair so far
+        key = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = read(batch)
+            end = tuple(part[c][-1] for c in ("band", "block", "own_block"))
+            same = np.logical_and.reduce(
+                [part[c] == x for c, x in zip(("band", "block", "own_block"), end)]
+            )
+            cut = int(np.argmax(same))
+            if cut or key != end:
+                done = [*held, {c: x[:cut] for c, x in part.items()}]
+                whole = {c: np.concatenate([d[c] for d in done]) for c in part}
+                if len(whole["band"]):
+                    yield marked(whole)
+                held = []
+            held.append({c: x[cut:] for c, x in part.items()})
+            key = end
+        if held:
+            yield marked({c: np.concatenate([d[c] for d in held]) for c in held[0]})
+        give_back()
+
+    return run
+
+
 def _links_across(least: float, percent: int):
     """Arrow function on members of a bucket outside its main component and members of it all:
     confirmed links that join different components."""
@@ -189,7 +272,7 @@ def _links_across(least: float, percent: int):
             node, inside = (left.column(c).to_pylist() for c in ("node", "inside"))
             others = right.column("node").to_pylist()
             of = right.column("inside").to_numpy()
-            bits = np.stack(lists(right.column("sketch"))).view(np.uint64)
+            bits = np.stack(lists(right.column("sketch")))
             bands = np.stack(lists(right.column("bands")))
             sets, own_sets = lists(right.column("shingles")), lists(left.column("shingles"))
             sketches, own_bands = lists(left.column("sketch")), lists(left.column("bands"))
@@ -202,10 +285,7 @@ def _links_across(least: float, percent: int):
                 return x
 
             for i in range(len(node)):
-                ones = np.bitwise_count(bits ^ sketches[i].view(np.uint64)).sum(axis=1)
-                near = 1 + SKETCH_BITS / (4 * SAMPLES) * np.log(
-                    np.maximum(1 - 2 * ones / SKETCH_BITS, 1e-9)
-                )
+                near = _near(bits, sketches[i])
                 first = (bands == own_bands[i]).argmax(axis=1)
                 here = own_bands[i][first] == band
                 at = np.flatnonzero((near >= least) & (of != inside[i]) & here)
@@ -229,12 +309,19 @@ def _links_across(least: float, percent: int):
 
 
 def _across(
-    members: DataFrame, facts: DataFrame, linked: DataFrame, least: float, percent: int
+    members: DataFrame,
+    signs: DataFrame,
+    sets: DataFrame,
+    linked: DataFrame,
+    least: float,
+    percent: int,
 ) -> DataFrame:
     """Confirmed links (a, b) between different components that share a bucket.
 
-    ``facts`` has node, sketch, bands and shingles. Both sides of a bucket, members outside its
-    main component and all members, are dealt to blocks, and every two blocks meet.
+    ``signs`` has node, sketch and bands, ``sets`` node and shingles. Both sides of a bucket,
+    members outside its main component and all members, are dealt to blocks, and every two blocks
+    meet: first without sets, which tells the rows that have a candidate, then only those with
+    their sets.
     """
     placed = (
         members.select("band", "node")
@@ -253,21 +340,39 @@ def _across(
         )
         .where("parts > 1")
     )
-    there = placed.join(mixed, "band").join(facts, "node")
+    there = placed.join(mixed, "band").join(signs, "node")
 
     def dealt(rows: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
         return rows.withColumn(
             own, F.pmod(F.xxhash64("node", F.lit(1)), F.col(own_n)).cast("int")
         ).withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
 
+    key = ["band", "block", "own_block"]
+    names = [*key, "own", "node", "inside"]
     apart = dealt(there.where("inside <> home"), "own_block", "own_blocks", "block", "blocks")
     every = dealt(there, "block", "blocks", "own_block", "own_blocks")
-    key = ["band", "block", "own_block"]
+    met = store(
+        apart.withColumn("own", F.lit(True))
+        .select(*names, "sketch", "bands")
+        .unionByName(every.withColumn("own", F.lit(False)).select(*names, "sketch", "bands"))
+        .repartition(*key)
+        .sortWithinPartitions(*[F.col(c) for c in key], F.col("own").desc())
+        .mapInArrow(
+            _with_partner(least),
+            "band long, block int, own_block int, own boolean, node long, inside long",
+        )
+    )
+    facts = met.join(signs, "node").join(sets, "node")
     columns = [*key, "node", "inside", "sketch", "bands", "shingles"]
+
+    def side(own: bool) -> DataFrame:  # both sides come from one frame
+        rows = facts.where("own" if own else "not own")
+        return rows.select(*[F.col(c).alias(c) for c in columns])
+
     return (
-        apart.select(*[F.col(c).alias(c) for c in columns])  # both sides come from one frame
+        side(True)
         .groupBy(*key)
-        .cogroup(every.select(*columns).groupBy(*key))
+        .cogroup(side(False).groupBy(*key))
         .applyInArrow(_links_across(least, percent), "a long, b long")
         .distinct()
     )
@@ -354,8 +459,8 @@ def _from_signatures(named: DataFrame, signatures: DataFrame, percent: int) -> D
 
     best = candidates.groupBy("a").agg(F.max_by("b", F.struct("similar", "b")).alias("b"))
     linked = components(_confirmed(best, sets, percent))
-    facts = classes.select("node", "sketch", "bands").join(sets, "node")
-    across = store(_across(members, facts, linked, least, percent))
+    signs = classes.select("node", "sketch", "bands")
+    across = store(_across(members, signs, sets, linked, least, percent))
     if not across.isEmpty():
         linked = _joined(linked, across)
 

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heartwood.llm.common import give_back, mix, text_buffers, text_id
+from heartwood.llm.words import byte_values, powers
 
 GRAM = 32
 TILE = 1 << 17
@@ -37,6 +38,8 @@ CHUNK = 1 << 16
 #: symbols of a round: as many bytes as keep the number of different symbols within 16 bits
 STEPS = (8, 5, 4, 2, 1)
 
+_VALUES = byte_values()
+
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each GRAM bytes on end."""
@@ -207,14 +210,10 @@ def shard_order(data: np.ndarray, shard: np.ndarray, depth: int) -> np.ndarray:
     return np.argsort(rank, kind="stable").astype(np.int32)
 
 
-def merged_intervals(
+def _interleaved(
     spans: list[bytes], weights: np.ndarray, shard: np.ndarray, window: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Which places of the spans on end begin a window that occurs twice, weights counted.
-
-    Returns that mark for each place, and the length of the prefix (in whole rounds) that a
-    place shares with another one, ``window`` at most.
-    """
+    """``merged_intervals`` by the merge of all suffixes."""
     # one byte after each span, so that its end is a place too: the empty suffix
     lengths = np.array([len(s) for s in spans]) + 1
     data = np.frombuffer(b"\0".join(spans) + b"\0", np.uint8)
@@ -270,13 +269,114 @@ def merged_intervals(
     return repeated | copied, common
 
 
+def _window_hashes(data: np.ndarray, starts: np.ndarray, window: int) -> np.ndarray:
+    """A 64-bit hash of the ``window`` bytes from each of ``starts`` (in order) on."""
+    out = np.empty(len(starts), np.uint64)
+    up, down = powers(TILE + window)
+    total = np.zeros(TILE + window + 1, np.uint64)
+    for begin in range(0, len(data), TILE):
+        piece = data[begin : begin + TILE + window]
+        np.cumsum(_VALUES[piece] * up[: len(piece)], out=total[1 : len(piece) + 1])
+        lo, hi = np.searchsorted(starts, [begin, begin + TILE])
+        at = starts[lo:hi] - begin
+        out[lo:hi] = (total[at + window] - total[at]) * down[at]
+    return out
+
+
+def _met_twice(hashes: np.ndarray) -> np.ndarray:
+    """Which hashes occur more than once."""
+    order = np.argsort(hashes)
+    same = np.diff(hashes[order]) == 0
+    out = np.zeros(len(hashes), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
+def _pieces(hashes: np.ndarray, starts: np.ndarray, window: int, size: int) -> np.ndarray:
+    """Where among windows (places in order) the pieces begin that windows on end make up: each is
+    cut where a copy of that window begins or ends one, unless that makes the pieces too long."""
+    new = np.r_[True, np.diff(starts) != 1]
+    ends = np.append(new[1:], True)
+    cut = new | np.isin(hashes, hashes[new])
+    cut[1:] |= np.isin(hashes[:-1], hashes[ends])
+    return np.flatnonzero(cut if np.count_nonzero(cut) * window <= 16 * size else new)
+
+
+def _repeated(
+    spans: list[bytes], weights: np.ndarray, shard: np.ndarray, window: int
+) -> np.ndarray:
+    """The marks of ``merged_intervals``, by a merge of those bytes only that need one.
+
+    Equal windows have equal hashes, so a window whose hash is met once is not repeated. The others
+    make up pieces, most of which are copies of each other and become one with a weight; its
+    windows are repeated. Pieces that stand alone are merged with those they share a hash with.
+    """
+    lengths = np.array([len(s) for s in spans])
+    offsets = np.cumsum(lengths + 1) - lengths - 1
+    joined = b"\0".join(spans) + b"\0"
+    data = np.frombuffer(joined, np.uint8)
+    marks = np.zeros(len(data), bool)
+    n = np.maximum(lengths - window + 1, 0)
+    owner = np.repeat(np.arange(len(spans)), n)
+    starts = np.arange(len(owner)) + np.repeat(offsets - np.cumsum(n) + n, n)
+    hashes = _window_hashes(data, starts, window)
+    may = _met_twice(hashes) | (weights >= 2)[owner]
+    starts, owner, hashes = starts[may], owner[may], hashes[may]
+    if not len(starts):
+        return marks
+    first = _pieces(hashes, starts, window, len(data))
+    stop = np.append(first[1:], len(starts))
+    number: dict[bytes, int] = {}
+    piece = np.array(
+        [
+            number.setdefault(joined[a : b + window], len(number))
+            for a, b in zip(starts[first].tolist(), starts[stop - 1].tolist())
+        ]
+    )
+    weight = np.bincount(piece, weights[owner[first]], len(number)).astype(np.int64)
+    of = np.repeat(piece, stop - first)
+    alone = (weight == 1)[of]
+    marks[starts[~alone]] = True
+    if not alone.any():
+        return marks
+    merged = np.unique(of[np.isin(hashes, hashes[alone])])
+    shown = first[np.unique(piece, return_index=True)[1][merged]]
+    texts = list(number)
+    texts = [texts[k] for k in merged.tolist()]
+    found, _ = _interleaved(texts, weight[merged], shard[owner[shown]], window)
+    at = 0
+    for place, text in zip(starts[shown].tolist(), texts):
+        windows = len(text) - window + 1
+        marks[place : place + windows] |= found[at : at + windows]
+        at += len(text) + 1
+    return marks
+
+
+def merged_intervals(
+    spans: list[bytes],
+    weights: np.ndarray,
+    shard: np.ndarray,
+    window: int,
+    prefixes: bool = True,
+) -> tuple[np.ndarray, np.ndarray | None]:
+    """Which places of the spans on end begin a window that occurs twice, weights counted.
+
+    Returns that mark for each place, and the length of the prefix (in whole rounds) that a
+    place shares with another one, ``window`` at most; without ``prefixes`` None.
+    """
+    if prefixes:
+        return _interleaved(spans, weights, shard, window)
+    return _repeated(spans, weights, shard, window), None
+
+
 def _merge(window: int):
     """Arrow function on rows sorted by name and span: the ranges of removed bytes."""
 
     def flush(spans, weights, members, shards=8):
         n = len(spans)
         marks, _ = merged_intervals(
-            spans, np.array(weights), np.arange(n, dtype=np.int32) % shards, window
+            spans, np.array(weights), np.arange(n, dtype=np.int32) % shards, window, False
         )
         found, at = [], 0
         for span, held in zip(spans, members):

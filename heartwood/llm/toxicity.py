@@ -233,18 +233,28 @@ def _fit(
     w, v, constant = np.zeros(m), random.normal(0, 0.01, (m, factors)), 0.0
     gw, gv, gc = np.full(m, 1e-8), np.full((m, factors), 1e-8), 1e-8
     weight = np.where(label == 1, 0.5 / max(label.sum(), 1), 0.5 / max((1 - label).sum(), 1))
+    terms, owner = terms.astype(np.int64), owner.astype(np.int64)
     order = np.argsort(terms, kind="stable")
     by_term, rows = terms[order], owner[order]
     heads = np.flatnonzero(np.r_[True, by_term[1:] != by_term[:-1]])[: len(by_term)]
-    first = np.searchsorted(owner, np.arange(n))
+    known = by_term[heads]
     has = np.bincount(owner, minlength=n) > 0
+    first = np.searchsorted(owner, np.flatnonzero(has))
+    del order, by_term
+    at_terms = np.empty(len(terms))
+
+    def summed(x: np.ndarray, at: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Sums of x[at] over the ranges from each of ``begins`` on."""
+        return np.add.reduceat(np.take(x, at, out=at_terms, mode="clip"), begins)
+
     for _ in range(rounds):
-        total, square, z = np.zeros((n, factors)), np.zeros(n), np.full(n, constant)
+        total, square, z = np.zeros((factors, n)), np.zeros(n), np.full(n, constant)
         if len(terms):
-            total[has] = np.add.reduceat(v[terms], first[has])
-            square[has] = np.add.reduceat((v[terms] ** 2).sum(axis=1), first[has])
-            z[has] += np.add.reduceat(w[terms], first[has])
-        z += 0.5 * ((total**2).sum(axis=1) - square)
+            for f in range(factors):
+                total[f, has] = summed(np.ascontiguousarray(v[:, f]), terms, first)
+            square[has] = summed((v**2).sum(axis=1), terms, first)
+            z[has] += summed(w, terms, first)
+        z += 0.5 * ((total**2).sum(axis=0) - square)
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) * weight
         dc = error.sum()
         gc += dc**2
@@ -252,9 +262,10 @@ def _fit(
         if not len(terms):
             continue
         dw = np.zeros(m)
-        dw[by_term[heads]] = np.add.reduceat(error[rows], heads)
+        dw[known] = summed(error, rows, heads)
         dv = np.zeros((m, factors))
-        dv[by_term[heads]] = np.add.reduceat(error[rows, None] * total[rows], heads)
+        for f in range(factors):
+            dv[known, f] = summed(error * total[f], rows, heads)
         dv -= v * dw[:, None]
         dw += decay * w
         dv += decay * v

@@ -10,16 +10,16 @@ from heartwood.llm.common import SPACES, mix
 TILE = 1 << 18
 
 
-def _byte_values() -> np.ndarray:
+def byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-_VALUES = _byte_values()
+_VALUES = byte_values()
 _FACTOR = 0x5851F42D4C957F2D
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of an odd number and of its inverse, modulo 2**64."""
     have = _POWERS.get(0)
     if have is None or len(have) < n:
@@ -77,7 +77,7 @@ def word_hashes(
         last = int(np.searchsorted(ends, starts[first] + TILE, side="right"))
         last = max(last, first + 1)
         lo, hi = int(starts[first]), int(ends[last - 1])
-        up, down = _powers(hi - lo + 1)
+        up, down = powers(hi - lo + 1)
         total = np.zeros(hi - lo + 1, np.uint64)
         np.cumsum(_VALUES[folded[lo:hi]] * up[: hi - lo], out=total[1:])
         s, e = starts[first:last] - lo, ends[first:last] - lo
