@@ -430,7 +430,9 @@ def _from_signatures(named: DataFrame, signatures: DataFrame, percent: int) -> D
     )
     buckets = classes.select("node", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot"))
-    members = buckets.join(shared.where("n > 1"), "band").select("band", "node", "pivot")
+    # few buckets have several members, so their keys are hashed and the many others not sorted
+    several = shared.where("n > 1").hint("shuffle_hash")
+    members = store(buckets.join(several, "band").select("band", "node", "pivot"))
     sketches = classes.select("node", "sketch")
     near = (
         members.where("node <> pivot")
@@ -442,7 +444,7 @@ def _from_signatures(named: DataFrame, signatures: DataFrame, percent: int) -> D
         .select("node", "pivot", "similar")
     )
     least = percent / 100 - SLACK
-    members, near = store(members), store(near)
+    near = store(near)
     candidates = near.where(F.col("similar") >= least).select(
         F.col("node").alias("a"), F.col("pivot").alias("b"), "similar"
     )
@@ -498,26 +500,24 @@ def _with_least(signed: DataFrame, classes: DataFrame, linked: DataFrame) -> Dat
 def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: the one with the smallest doc_id;
     of repeated rows with one doc_id and text one stays. All columns stay."""
+    # a missing id as a value and a mark of its own: the join's keys are then those of the grouping
+    key = [F.coalesce("_id", F.lit(0)).alias("_key"), F.col("_id").isNull().alias("_none")]
+    names = ["text_a", "text_b", "_key", "_none"]
     keep = (
         near_duplicates(docs, percent)
         .where("kept")
-        .select(F.col("doc_id").alias("_id"), "text_a", "text_b")
+        .withColumnRenamed("doc_id", "_id")
+        .select("text_a", "text_b", *key)
         .distinct()
     )
     named = docs.select(
         F.struct(*docs.columns).alias("_row"),
-        F.col("doc_id").cast("long").alias("_key"),
+        F.col("doc_id").cast("long").alias("_id"),
         *text_id(F.col("text")),
-    )
+    ).select("_row", "text_a", "text_b", *key)
     return (
-        named.join(
-            keep.withColumnsRenamed({"text_a": "_a", "text_b": "_b"}),
-            (F.col("text_a") == F.col("_a"))
-            & (F.col("text_b") == F.col("_b"))
-            & F.col("_key").eqNullSafe(F.col("_id")),
-            "left_semi",
-        )
-        .groupBy("text_a", "text_b", "_key")
+        named.join(keep, names, "left_semi")
+        .groupBy(*names)
         .agg(F.first("_row").alias("_row"))
         .select("_row.*")
     )

@@ -11,6 +11,7 @@ the pieces of its length.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from heartwood.llm.byte_bpe import byte_letters
 from heartwood.llm.common import give_back, store
 
 #: entries of a worker's word table; a full table keeps its short words only
@@ -36,6 +38,144 @@ TEXTS = 64
 SALTS = 64
 
 
+class _Merges:
+    """Byte-pair merges of many words at once, for words that the tokenizer takes as they are."""
+
+    #: letters that are composed and that every Unicode version takes for such, and signs after
+    #: them, which the tokenizer takes apart from letters
+    plain = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]*)")
+    #: the parts of a tokenizer's file that decide how a plain word is encoded
+    normalizer = [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ]
+    cut = (
+        r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    )
+    bits = 18
+
+    @classmethod
+    def of(cls, path: str) -> _Merges | None:
+        """The merges of a tokenizer's file, if it is of the kind that is known here."""
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        model = spec["model"]
+        before = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+        known = (
+            model.get("type") == "BPE"
+            and model.get("end_of_word_suffix") == "</w>"
+            and not any(
+                model.get(x)
+                for x in ("dropout", "continuing_subword_prefix", "fuse_unk", "ignore_merges")
+            )
+            and (spec.get("normalizer") or {}).get("normalizers") == cls.normalizer
+            and before[0].get("pattern") == {"Regex": cls.cut}
+            and (before[0].get("behavior"), before[0].get("invert")) == ("Removed", True)
+            and before[1].get("type") == "ByteLevel"
+            and not before[1].get("add_prefix_space")
+            and not before[1].get("use_regex")
+            and len(before) == 2
+            # a special token is found before anything is cut
+            and all(t["content"][:1] in ("<", " ") for t in spec["added_tokens"])
+        )
+        letters = {b: c for c, b in byte_letters().items()}
+        names = model.get("vocab", {})
+        if not known or any(c + end not in names for c in letters.values() for end in ("", "</w>")):
+            return None
+        return cls(names, model["merges"], letters)
+
+    def __init__(self, names: dict[str, int], merges: list, letters: dict[int, str]):
+        self.inner = np.array([names[letters[b]] for b in range(256)], np.int64)
+        self.last = np.array([names[letters[b] + "</w>"] for b in range(256)], np.int64)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        self.made = np.array([names[a + b] for a, b in pairs], np.int64)
+        keys = np.array([names[a] << 32 | names[b] for a, b in pairs], np.int64)
+        # open addressing; a pair that is listed twice counts as the later one
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.ranks = np.full(1 << self.bits, len(keys), np.int64)
+        self.none = len(keys)
+        slots = self._slots(keys)
+        for key, slot, rank in zip(keys.tolist(), slots.tolist(), range(len(keys))):
+            while self.keys[slot] not in (-1, key):
+                slot = (slot + 1) & ((1 << self.bits) - 1)
+            self.keys[slot], self.ranks[slot] = key, rank
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _rank(self, keys: np.ndarray) -> np.ndarray:
+        """The rank of each pair, or as many as there are merges if it is none."""
+        slots = self._slots(keys)
+        got = self.keys[slots]
+        ranks = np.where(got == keys, self.ranks[slots], self.none)
+        rest = np.flatnonzero((got != keys) & (got != -1))
+        while len(rest):
+            slots[rest] = (slots[rest] + 1) & ((1 << self.bits) - 1)
+            got = self.keys[slots[rest]]
+            ranks[rest[got == keys[rest]]] = self.ranks[slots[rest[got == keys[rest]]]]
+            rest = rest[(got != keys[rest]) & (got != -1)]
+        return ranks
+
+    def ids(self, letters: list[bytes], signs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words on end, given as their letters and the signs after them, and the n + 1
+        places where those of each begin."""
+        parts = [x for pair in zip(letters, signs) for x in pair]
+        ids, count = self._merged([x for x in parts if x])
+        has = np.array([bool(x) for x in parts])
+        counts = np.zeros(len(parts), np.int64)
+        counts[has] = count
+        return ids, np.append(0, np.cumsum(counts[::2] + counts[1::2]))
+
+    def _merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words on end, and how many each has.
+
+        A round makes the first of the lowest merges of each word that has one.
+        """
+        length = np.array([len(w) for w in words])
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum(length)
+        out = self.inner[data]
+        out[ends - 1] = self.last[data[ends - 1]]
+        count = length.copy()
+        # symbols of words that are not done: where the word's begin in out, what they are
+        at, size, sym = ends - length, length, out.copy()
+        word = np.arange(len(words))
+        while len(word):
+            first = np.cumsum(size) - size
+            rank = np.full(len(sym), self.none)
+            rank[:-1] = self._rank(sym[:-1] << 32 | sym[1:])
+            rank[first + size - 1] = self.none
+            low = np.minimum.reduceat(rank, first)
+            place = np.where(rank == np.repeat(low, size), np.arange(len(sym)), len(sym))
+            place = np.minimum.reduceat(place, first)
+            done = low == self.none
+            keep = np.repeat(~done, size)
+            if done.any():
+                for_done = np.flatnonzero(~keep)
+                to = np.repeat((at - first)[done], size[done]) + for_done
+                out[to] = sym[for_done]
+                count[word[done]] = size[done]
+            merged = place[~done]
+            sym[merged] = self.made[low[~done]]
+            keep[merged + 1] = False
+            sym = sym[keep]
+            word, at, size = word[~done], at[~done], size[~done] - 1
+        begins = ends - length
+        keep = np.arange(len(out)) < np.repeat(begins + count, length)
+        return out[keep], count
+
+
+def _holes(found: list) -> list[int]:
+    """Where a list has None."""
+    out, at = [], -1
+    for _ in range(found.count(None)):
+        at = found.index(None, at + 1)
+        out.append(at)
+    return out
+
+
 class WordTokens:
     """Token ids of texts, by a table of the words met so far.
 
@@ -48,13 +188,14 @@ class WordTokens:
     #: what special tokens look like; the tokenizer finds them before it lower-cases
     special = re.compile(r"<\|.*?\|>", re.DOTALL)
     #: stops and commas that belong to a longer run of other characters
-    runs = re.compile(r"[^\w\s][.,]|_[.,]")
+    runs = re.compile(r"[.,](?<=[^\w\s].|_.)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = _Merges.of(path)
         self.table: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
@@ -76,26 +217,49 @@ class WordTokens:
         return "".join([*out, lower[at:]])
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words as one text; a token belongs to the word in which it begins."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        begins = np.array([o[0] for o in found.offsets], np.int64)
-        ends = np.cumsum(np.array([len(w) + 1 for w in words]))
-        cuts = [0, *(4 * np.searchsorted(begins, ends)).tolist()]
-        data = ids.tobytes()
+        """Encode words: plain ones by merges, the others as one text; there a token belongs to
+        the word in which it begins."""
+        if self.merges is not None:
+            is_plain = self.merges.plain.fullmatch
+            plain, letters, signs, others = [], [], [], []
+            for w in words:
+                match = is_plain(w) if len(w) <= 200 else None
+                if match is None:
+                    others.append(w)
+                else:
+                    plain.append(w)
+                    letters.append(match[1].lower().encode())
+                    signs.append(match[2].encode())
+            if plain:
+                self._keep(plain, *self.merges.ids(letters, signs))
+            words = others
+        if words:
+            found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            begins = np.array([o[0] for o in found.offsets], np.int64)
+            ends = np.cumsum(np.array([len(w) + 1 for w in words]))
+            cuts = np.append(0, np.searchsorted(begins, ends))
+            self._keep(words, np.array(found.ids, np.int64), cuts)
+
+    def _keep(self, words: list[str], ids: np.ndarray, cuts: np.ndarray) -> None:
+        data, cuts = ids.astype("<u4").tobytes(), (4 * cuts).tolist()
         for w, a, b in zip(words, cuts, cuts[1:]):
             self.table[w] = data[a:b]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [self.words(t) for t in texts]
         if len(self.table) > WORDS:  # short words are the common ones
             self.table = {w: x for w, x in self.table.items() if len(w) <= 7}
-        missing = list(set().union(*split).difference(self.table))
+        table = self.table
+        split = [self.words(t) for t in texts]
+        found = [list(map(table.get, words)) for words in split]
+        holes = [_holes(some) for some in found]
+        missing = list({words[i] for words, here in zip(split, holes) for i in here})
         for k in range(0, len(missing), 4000):
             self._learn(missing[k : k + 4000])
-        table = self.table
-        out = [b"".join([table[w] for w in words]) for words in split]
+        for words, some, here in zip(split, found, holes):
+            for i in here:
+                some[i] = table[words[i]]
+        out = [b"".join(some) for some in found]
         for w in missing:
             if len(w) > 200:
                 del table[w]

@@ -68,23 +68,32 @@ class Machine:
 def text_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct term buckets of texts that lie on end, with the text of each."""
     hashes, owner = word_hashes(data, offsets, letter_words(), PREFIXES)
-    key = np.concatenate([(h % np.uint64(BUCKETS)).astype(np.int64) for h in hashes])
+    key = np.concatenate([(h & np.uint64(BUCKETS - 1)).view(np.int64) for h in hashes])
     key = np.unique(np.tile(owner, len(hashes)) * BUCKETS + key)
     return key % BUCKETS, key // BUCKETS
 
 
 class _Places:
-    """Places of buckets in an ordered list, with a bit for each bucket there is."""
+    """Places of buckets in an ordered list: a bit for each bucket there is, and how many are listed
+    before each 64 of them."""
 
     def __init__(self, buckets: np.ndarray):
         self.buckets = buckets
-        self.bits = np.zeros(BUCKETS // 8, np.uint8)
-        np.bitwise_or.at(self.bits, buckets >> 3, (1 << (buckets & 7)).astype(np.uint8))
+        self.bits = np.zeros(BUCKETS // 64, np.uint64)
+        np.bitwise_or.at(self.bits, buckets >> 6, _bit(buckets))
+        counts = np.bitwise_count(self.bits).astype(np.int32)
+        self.before = np.cumsum(counts, dtype=np.int32) - counts
 
     def find(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of ``some`` buckets are in the list, and the places of those."""
-        has = (self.bits[some >> 3] >> (some & 7).astype(np.uint8) & 1).astype(bool)
-        return has, np.searchsorted(self.buckets, some[has])
+        has = (self.bits[some >> 6] & _bit(some)) != 0
+        some = some[has]
+        low = np.bitwise_count(self.bits[some >> 6] & (_bit(some) - np.uint64(1)))
+        return has, self.before[some >> 6] + low.astype(np.int64)
+
+
+def _bit(bucket: np.ndarray) -> np.ndarray:
+    return np.uint64(1) << (bucket & 63).astype(np.uint64)
 
 
 def _known_terms(
@@ -95,7 +104,7 @@ def _known_terms(
     n = np.int64(max(len(places.buckets), 1))
     found = []
     for h in hashes:
-        has, at = places.find((h % np.uint64(BUCKETS)).astype(np.int64))
+        has, at = places.find((h & np.uint64(BUCKETS - 1)).view(np.int64))
         found.append(owner[has] * n + at)
     key = np.unique(np.concatenate(found))
     return key % n, key // n
