@@ -6,8 +6,9 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 
-from heartwood.llm import line_dedup, minhash_dedup, packing, suffix_dedup, toxicity
+from heartwood.llm import common, line_dedup, minhash_dedup, packing, suffix_dedup, toxicity
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -129,6 +130,24 @@ def test_rows_without_a_candidate_get_no_sets(monkeypatch):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("few", [-1, 1 << 20])
+def test_few_links_need_no_rounds(spark, monkeypatch, few):
+    """The driver finds the same components as rounds do, which it then leaves out."""
+    rounds = []
+    settled = common._is_settled
+    monkeypatch.setattr(common, "_is_settled", lambda e: rounds.append(1) or settled(e))
+    monkeypatch.setattr(common, "FEW_LINKS", few)
+    links = [(i, i + 1) for i in range(30)] + [(99, 40), (50, 99), (7, 7), (None, 3), (-5, 60)]
+    links += [(61, 60), (99, 40)]
+    df = spark.createDataFrame(links, "a long, b long")
+    found = common.components(df)
+    assert found.dtypes == [("node", "bigint"), ("component", "bigint")]
+    want = {i: 0 for i in range(1, 31)} | {99: 40, 50: 40, 60: -5, 61: -5}
+    assert {r.node: r.component for r in found.collect()} == want and found.count() == len(want)
+    assert common.components(df.where("a = b")).count() == 0
+    assert bool(rounds) == (few < 0)
+
+
 def test_kept_rows_are_shuffled_once(spark):
     """The join with the kept ids and the grouping of repeated rows share one exchange."""
     docs = spark.createDataFrame([(4, "a b"), (4, "a b"), (None, "c")], "doc_id long, text string")
