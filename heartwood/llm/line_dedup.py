@@ -1,6 +1,7 @@
 """Removal of repeated lines, decided on hashes and returned as per-document bitmaps.
 
-Lines travel as two 64-bit hashes of their key with the document and the position, never as text.
+Lines travel as two 64-bit halves of a hash of their key (BLAKE2b, taken in Python workers, where
+lower-casing A-Z by bytes is cheap) with the document and the position, never as text.
 They are range-partitioned by hash and document, so that even one line in every document is dealt
 to many tasks, and sorted by hash, document and position within each. One pass over a partition
 then sees each hash's occurrences in order: the first one, how many documents hold it, and the
@@ -52,7 +53,8 @@ def _line_rows(min_length: int):
                     key = line.strip(SPACES)
                     # a code point has one to four bytes
                     if len(key) < min_length or (
-                        len(key) < 4 * min_length and len(key.decode("utf-8", "replace")) < min_length
+                        len(key) < 4 * min_length
+                        and len(key.decode("utf-8", "replace")) < min_length
                     ):
                         continue
                     keys.append(blake2b(key, digest_size=16).digest())

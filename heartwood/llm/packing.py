@@ -50,9 +50,8 @@ class _Merges:
         {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
         {"type": "Lowercase"},
     ]
-    cut = (
-        r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    )
+    cut = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: of a slot in the table of pairs
     bits = 18
 
     @classmethod

@@ -10,7 +10,10 @@ equal ones have to meet in one task without sending every suffix around:
 2. The bytes under the other runs (spans) are dealt to tasks by name. Equal spans, as copies
    of a text have them, become one with a weight. All windows of a span that stands for
    copies are repeated, so it is merged only if a different span has its name too.
-3. In a task, spans are dealt to shards. Each shard's suffixes are sorted once; that gives the
+3. In a task, windows are hashed first. A window whose hash is met once is not repeated; of the
+   bytes under the others, pieces that are copies of each other become one with a weight, and
+   only pieces that stand alone are merged, with those that share a hash with them.
+   Spans are dealt to shards. Each shard's suffixes are sorted once; that gives the
    shard's Burrows-Wheeler transform. The transforms are merged by refining their interleave:
    it is first right for suffixes as compared by no byte, and each round sorts it stably by
    the symbol before each suffix, which makes it right for ``step`` more bytes. Rows that
